@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, pii, simhash, sp_wfst, toxicity
+from . import decontam, html_extract, jpeg_media, lpt_shards, pii, simhash, sp_wfst, toxicity, url_rules, warc_revisit
 from .common import table
 
 #: Name of the tokenizer model that the SentencePiece query and stage read.
@@ -24,6 +24,24 @@ def tokenizer_bytes(path: str | None = None) -> bytes:
         return f.read()
 
 
+def op1_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op2_jpeg_thumbnails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = jpeg_media.read_media(jpeg_media.store_texts(table(spark, sf_dir, "documents")))
+    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height")
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(spark, table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op4_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = lpt_shards.shard(spark, table(spark, sf_dir, "documents"), 24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op5_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(spark, docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -44,16 +62,54 @@ def op8_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def warc_records(pages: DataFrame) -> DataFrame:
+    """A crawl's records made from ``pages`` by rule, for want of a WARC table: one or two full responses of each
+    page and revisits of them, some before the first response, with a changed ETag, or without validators."""
+    tag = "md5(coalesce(html, ''))"
+    base = "timestamp'2024-01-01 00:00:00'"
+    day = "'Mon, 01 Jan 2024 00:00:' || lpad(cast(page_id % 60 as string), 2, '0') || ' GMT'"
+    page = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", F.expr(tag).alias("tag"), F.expr(day).alias("day"))
+    line = lambda name, value, when="true": f"if({when}, '{name}: ' || {value} || '\r\n', '')"
+    full = "'HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nCache-Control: max-age=60\r\n' || "
+    same = "'HTTP/1.1 304 Not Modified\r\nCache-Control: max-age=3600\r\nContent-Type: text/none\r\n' || "
+    first = full + line("ETag", "'\"' || tag || '\"'", "page_id % 7 <> 3") + " || " + line("Last-Modified", "day", "page_id % 2 = 0")
+    second = full + line("ETag", "'\"v2-' || tag || '\"'")
+    etag = "if(page_id % 5 = 0, 'W/', '') || if(page_id % 13 = 0, '\"x\"', if(page_id % 3 = 0, '\"v2-', '\"') || tag || '\"')"
+    revisit = same + line("etag", etag, "page_id % 7 <> 3") + " || " + line("Last-Modified", "day", "page_id % 2 = 0")
+    kinds = [
+        ("response", 0, "200", "url", "page_id * 97", first, "tag", "true"),
+        ("response", 1, "200", "replace(url, 'http://', 'https://')", "page_id * 97 + 1800", second, "md5(tag)", "page_id % 3 = 0"),
+        ("revisit", 2, "304", "url || '#later'", "page_id * 97 + 3600 * (page_id % 11 + 1)", revisit, "cast(null as string)", "true"),
+        ("revisit", 3, "304", "url", "page_id * 97 - 1", revisit, "cast(null as string)", "page_id % 4 = 0"),
+    ]
+    made = [
+        f"struct(page_id * 4 + {k} as record_id, {url} as url, {base} + make_dt_interval(0, 0, 0, {at}) as warc_date, {status} as status, '{kind}' as kind, {head} as head, {digest} as payload_digest, {when} as made)"
+        for kind, k, status, url, at, head, digest, when in kinds
+    ]
+    rows = page.select(F.explode(F.expr(f"array({', '.join(made)})")).alias("r")).select("r.*").where("made").drop("made")
+    return rows.withColumn("headers", warc_revisit.parse_headers("head")).drop("head")
+
+
+def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc_revisit.resolve(spark, warc_records(table(spark, sf_dir, "pages")))
+    return found.select("record_id", F.expr("record_id div 4").alias("page_id"), "url_key", "source_id", "outcome", F.to_json("headers").alias("headers"), "payload_digest")
+
+
 def op10_decontamination_lsa(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
+        op1_html_layout,
+        op2_jpeg_thumbnails,
+        op3_url_rules,
+        op4_lpt_shards,
         op5_toxicity_cnn,
         op6_pii_feistel,
         op7_sentencepiece_wfst,
         op8_simhash_gray,
+        op9_warc_revisits,
         op10_decontamination_lsa,
     ]
     return {f.__name__: f for f in own}
