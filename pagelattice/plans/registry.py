@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from . import readings
+
 FLAGSHIP = "reading_relation"
+MODULES = (readings,)
 
 
 def queries() -> dict:
-    return {}
+    return {name: f for m in MODULES for name, (f, _) in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {name: sql for m in MODULES for name, (_, sql) in m.QUERIES.items() if sql}
