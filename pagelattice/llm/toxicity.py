@@ -125,9 +125,20 @@ def pooled(model: Model, codes: np.ndarray, ends: np.ndarray, rows: np.ndarray,
     return (np.concatenate(found, axis=1), where) if at else np.concatenate(found, axis=1)
 
 
+def _in_slices(model: Model, codes: np.ndarray, ends: np.ndarray, rows: np.ndarray, words: int = 1 << 17) -> np.ndarray:
+    """Logits of all texts before the shift, holding about ``words`` words at a time."""
+    out, lo = np.empty(len(ends)), 0
+    while lo < len(ends):
+        base = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, base + words, side="right")))
+        out[lo:hi] = pooled(model, codes[base : ends[hi - 1]], ends[lo:hi] - base, rows) @ model.out + model.out_bias
+        lo = hi
+    return out
+
+
 def logits(model: Model, column: pa.Array) -> np.ndarray:
     codes, ends, rows, spoken = encode(column)
-    return pooled(model, codes, ends, rows) @ model.out + model.out_bias + model.shift[spoken]
+    return _in_slices(model, codes, ends, rows) + model.shift[spoken]
 
 
 def _wilson(pos: np.ndarray, n: np.ndarray, z: float) -> np.ndarray:
@@ -151,8 +162,10 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7, epochs: int = 6,
     prior = float(y.mean())
     # evidence: in how many texts, and in how many toxic ones, a row is met; languages apart, for each has its own words
     doc = np.repeat(np.arange(len(ends)), ends - starts)
+    del texts
     for t in range(4):
-        met = np.unique(doc * ROWS + rows[codes, t])
+        met = np.sort(doc * ROWS + rows[codes, t])
+        met = met[np.concatenate([[True], met[1:] != met[:-1]])] if len(met) else met
         d, r = met // ROWS, met % ROWS
         seen, toxic = np.bincount(r, minlength=ROWS), np.bincount(r, weights=y[d], minlength=ROWS)
         low = np.clip(_wilson(toxic, seen, z), 1e-6, 1 - 1e-6)
@@ -211,7 +224,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7, epochs: int = 6,
             gb = float(g.sum())
             mb, vb = mb + 0.1 * (gb - mb), vb + 0.001 * (gb * gb - vb)
             model.out_bias -= rate * (mb / (1 - 0.9**step)) / (np.sqrt(vb / (1 - 0.999**step)) + 1e-8)
-    raw = pooled(model, codes, ends, rows) @ model.out + model.out_bias
+    raw = _in_slices(model, codes, ends, rows)
     everywhere = _threshold(raw, y)
     goal = np.log(CUT / (1 - CUT))
     for k in range(len(LANGS)):
@@ -249,10 +262,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_positive: int, max_neg
     return parts[0].unionAll(parts[1]).toPandas()
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_negative: int = 5000, max_chars: int = 12_000, seed: int = 7) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 2500, max_negative: int = 4500, max_chars: int = 8_000, seed: int = 7) -> Model:
     rows = training_rows(docs, labels, max_positive, max_negative, max_chars)
     rows = rows.assign(text=rows["text"].fillna("")).sort_values(["doc_id", "text"], kind="stable")
-    return train(rows["text"].tolist(), rows["toxic"].to_numpy(), seed)
+    texts, marks = rows["text"].tolist(), rows["toxic"].to_numpy()
+    del rows
+    return train(texts, marks, seed)
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
