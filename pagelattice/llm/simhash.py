@@ -226,4 +226,5 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, radius: int = 2, id_co
     named = linked.groupBy("root").agg(F.min("least").alias("least_of_all"))
     moved = linked.join(named, "root").select("fp", "least_of_all")
     labels = least.join(moved, "fp", "left").select("fp", F.coalesce("least_of_all", "least").alias("component_id"))
+    labels = materialize(spark, labels, "labels")  # a plain scan on both sides lets Spark split a hot fingerprint's rows
     return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
