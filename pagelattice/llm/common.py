@@ -74,6 +74,27 @@ def words_of(column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary, ends
 
 
+_POWER = np.cumprod(np.concatenate([[1], np.full(4095, 0x9E3779B97F4A7C15, np.uint64)]).astype(np.uint64))
+
+
+def hash_words(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each string, computed over all bytes at once (polynomial, then mixed)."""
+    words = pa.concat_arrays([words.cast(pa.large_binary())])
+    at = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    body = np.frombuffer(words.buffers()[2] or b"", np.uint8)[at[0] : at[-1]] if len(words) else np.zeros(0, np.uint8)
+    size = np.diff(at)
+    out = np.zeros(len(words), np.uint64)
+    some = np.flatnonzero(size)
+    if len(some):
+        place = np.arange(len(body)) - np.repeat(at[:-1] - at[0], size)
+        terms = (body.astype(np.uint64) + np.uint64(1)) * _POWER[place & 4095]
+        out[some] = np.add.reduceat(terms, (at[:-1] - at[0])[some])
+    out ^= size.astype(np.uint64)
+    for shift, factor in ((32, 0xD6E8FEB86659FD93), (29, 0xA0761D6478BD642F)):
+        out = (out ^ (out >> np.uint64(shift))) * np.uint64(factor)
+    return out ^ (out >> np.uint64(32))
+
+
 def drop_codes(codes: np.ndarray, ends: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Drop the words whose code isn't in ``keep`` (a mask by code) and move the ends along."""
     good = keep[codes] if len(codes) else np.zeros(0, bool)

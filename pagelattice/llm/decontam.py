@@ -6,9 +6,9 @@
    halves, and passages of a bounded sample of documents (``sample_docs``, by hash order), over the
    benchmark's own words, since no other word adds to a product with an item. Each pass of the
    subspace iteration is a Spark job that sums A^T(A Q) over the tasks; only that small matrix returns.
-3. A second pass slides windows over every whole text, six strides long for each item, where four strides
-   hold the item: so any stretch of 1.25 times its length lies within a window. The cosine of item and
-   window in the latent space, the window's length taken over all its words, must reach ``min_cosine``.
+3. A second pass puts windows over every whole text, seven fifths as long as the item, wherever words of the
+   item begin to occur. The cosine of item and window in the latent space, the window's length taken over
+   all its words, must reach ``min_cosine``.
    Windows are met through an inverted index of the items' words; the commonest words of an item, which
    could give no such cosine by themselves, have no postings, and the others must give ``RARE`` of it.
 4. Each candidate pair is checked: the longest common subsequence of words must hold ``verbatim`` of the
@@ -25,7 +25,6 @@ repeated rows each return a row; further columns are ignored.
 from __future__ import annotations
 
 import string
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,12 +34,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, drop_codes, materialize, words_of
+from .common import chunks, drop_codes, hash_words, materialize, words_of
 
 BUCKETS = 1 << 18
 #: An item's commonest words, up to this share of the cosine asked for, have no postings; the other words
 #: must give this share of it.
 COMMON, RARE = 0.95, 0.5
+#: Cells of a window.
+CELLS = 7
 _EDGE = string.punctuation + "…«»„“”‘’¿¡"
 
 
@@ -48,6 +49,7 @@ _EDGE = string.punctuation + "…«»„“”‘’¿¡"
 class Block:
     item_ids: list
     tokens: list  # lists of words of each item
+    coded: list  # the same as features
     answers: list  # sets of words
     window: np.ndarray  # by item: words in a window
     stride: np.ndarray  # by item: words between windows, a whole fraction of the window
@@ -67,8 +69,12 @@ def tokens(text: str | None) -> list[str]:
     return [w for w in (x.strip(_EDGE) for x in (text or "").lower().split()) if w]
 
 
+def buckets(words: pa.Array) -> np.ndarray:
+    return (hash_words(words) & np.uint64(BUCKETS - 1)).astype(np.int64)
+
+
 def bucket(word: str) -> int:
-    return zlib.crc32(word.encode()) & (BUCKETS - 1)
+    return int(buckets(pa.array([word], pa.large_string()))[0])
 
 
 def encode(column: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
@@ -76,8 +82,7 @@ def encode(column: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarr
     codes, vocabulary, ends = words_of(column)
     words = pc.utf8_trim(vocabulary, characters=_EDGE)
     codes, ends = drop_codes(codes, ends, pc.not_equal(words, "").to_numpy(zero_copy_only=False))
-    crc = zlib.crc32
-    return codes, ends, words, np.array([crc(w) for w in words.cast(pa.large_binary()).to_pylist()], np.int64) & (BUCKETS - 1)
+    return codes, ends, words, buckets(words)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +91,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in chunks(batches):
         codes, ends, _, own = encode(part.column(0))
         starts = np.concatenate([[0], ends[:-1]])
-        met = np.unique(np.repeat(np.arange(len(ends)), ends - starts) * BUCKETS + own[codes])
+        met = np.sort(np.repeat(np.arange(len(ends)), ends - starts) * BUCKETS + own[codes])
+        met = met[np.concatenate([[True], met[1:] != met[:-1]])] if len(met) else met
         seen += np.bincount(met & (BUCKETS - 1), minlength=BUCKETS)
         docs += len(ends)
     if docs:
@@ -104,10 +110,9 @@ def document_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _grids(lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Window and stride for each item: lengths are rounded up to steps of a quarter, so items share grids."""
-    strides = sorted({max(1, int(1.25**k) // 4) for k in range(80)})
-    stride = np.array([next(s for s in strides if 4 * s >= n) for n in lengths], np.int64)
-    return 6 * stride, stride
+    """Window and stride for each item: ``CELLS`` strides make a window, two fewer hold the item."""
+    stride = np.maximum(1, -(-np.array(lengths, np.int64) // (CELLS - 2)))
+    return CELLS * stride, stride
 
 
 def _passage_matrix(codes: np.ndarray, ends: np.ndarray, feature: np.ndarray, idf: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -208,25 +213,17 @@ def search(block: Block, column: pa.Array, min_cosine: float, paraphrase: float,
     item = block.post_item[post]
     doc = np.searchsorted(ends, at, side="right")
     cell = (at - starts[doc]) // block.stride[item]
-    # windows are six cells long: what each (item, text, cell) holds goes to the windows that begin in it or in the five before
-    bits = max(1, int((len(codes) // int(block.stride.min()) + 1)).bit_length())
+    # windows begin one cell before a cell that holds some of an item's words, and are CELLS long
+    bits = int(len(codes) // int(block.stride.min()) + CELLS + 1).bit_length()
     key = ((item * len(ends) + doc) << bits) | cell
     order = np.argsort(key, kind="stable")
     key = key[order]
     heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    mass = np.add.reduceat(block.post_weight[post[order]], heads) if len(heads) else np.zeros(0)
+    added = np.concatenate([[0], np.cumsum(block.post_weight[post[order]])])
     key = key[heads]
-    back = np.arange(6)
-    first = (key & ((1 << bits) - 1))[:, None] - back
-    spread = (key[:, None] - back)[first >= 0]
-    spread_mass = np.repeat(mass[:, None], 6, axis=1)[first >= 0]
-    order = np.argsort(spread, kind="stable")
-    spread = spread[order]
-    heads = np.flatnonzero(np.concatenate([[True], spread[1:] != spread[:-1]])) if len(spread) else np.zeros(0, np.int64)
-    mass = np.add.reduceat(spread_mass[order], heads) if len(heads) else np.zeros(0)
-    key = spread[heads]
+    mass = added[np.append(heads, len(order))[np.searchsorted(key, key + CELLS - 1)]] - added[heads]
     item, doc = np.divmod(key >> bits, len(ends))
-    start = starts[doc] + (key & ((1 << bits) - 1)) * block.stride[item]
+    start = starts[doc] + np.maximum(0, (key & ((1 << bits) - 1)) - 1) * block.stride[item]
     stop = np.minimum(start + block.window[item], ends[doc])
     length = np.sqrt(total[stop] - total[start])
     good = mass >= block.floor[item] * length
@@ -240,10 +237,16 @@ def search(block: Block, column: pa.Array, min_cosine: float, paraphrase: float,
         f = feature[codes[at]]
         part = np.where(f >= 0, block.latent[f, np.repeat(i, size)], 0)
         cosine = np.add.reduceat(part, np.cumsum(size) - size) / length[lo : lo + step]
-        shared = np.add.reduceat((f >= 0) & block.member[f, np.repeat(i, size)], np.cumsum(size) - size, dtype=np.int64)
+        near = np.flatnonzero(cosine >= min_cosine)
         # a common subsequence is no longer than the words of the item that the window has
-        for k in np.flatnonzero((cosine >= min_cosine) & (shared >= paraphrase * block.size[i])):
+        n = size[near]
+        f = feature[codes[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(s[near], n)]]
+        shared = np.add.reduceat((f >= 0) & block.member[f, np.repeat(i[near], n)], np.cumsum(n) - n, dtype=np.int64) if len(near) else n
+        for k in near[shared >= paraphrase * block.size[i[near]]]:
             q, d = int(i[k]), int(doc[lo + k])
+            have = feature[codes[s[k] : e[k]]]
+            if lcs(block.coded[q], have[have >= 0].tolist()) < paraphrase * block.size[q]:
+                continue  # hashes agree at least where words do
             text = words.take(pa.array(codes[s[k] : e[k]])).to_pylist()
             share = lcs(block.tokens[q], text) / len(block.tokens[q])
             if share < paraphrase:
@@ -296,7 +299,7 @@ def build_block(spark: SparkSession, items: list[tuple], counts: np.ndarray, n_d
         member[feature[[bucket(w) for w in t]], q] = True
     post_at = np.searchsorted([p[0] for p in posts], np.arange(len(vocabulary) + 1))
     return Block(
-        [items[k][0] for k in kept], toks, answers, window, stride, feature, (load @ latent.T).astype(np.float32), energy,
+        [items[k][0] for k in kept], toks, [feature[[bucket(w) for w in t]].tolist() for t in toks], answers, window, stride, feature, (load @ latent.T).astype(np.float32), energy,
         post_at, np.array([p[1] for p in posts], np.int64), np.array([p[2] for p in posts]), member, np.array([len(t) for t in toks]), np.array(floor),
     )
 
