@@ -92,28 +92,32 @@ def v_box(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("bigint").alias("q"))
     x0, y0 = F.expr("cast(l_partkey % 400 as int)"), F.expr("cast(l_suppkey % 300 as int)")
     return rows.select(
-        F.col("l_orderkey").cast("bigint").alias("page"), F.col("l_linenumber").cast("bigint").alias("ord"), x0.alias("x0"), y0.alias("y0"),
+        F.col("l_orderkey").cast("bigint").alias("page"), F.expr("cast(l_linenumber as bigint) * 1000000000 + l_partkey * 1000 + l_suppkey % 1000").alias("ord"), x0.alias("x0"), y0.alias("y0"),
         (x0 + 40 + F.col("q").cast("int") * 4).alias("x1"), (y0 + 20 + F.col("q").cast("int")).alias("y1"), F.expr("cast(l_partkey % 97 as double) / 97").alias("confidence"),
     )
 
 
 V_BOX = """
 v_box AS (
-  SELECT l_orderkey AS page, CAST(l_linenumber AS BIGINT) AS ord, x0, y0, x0 + 40 + q * 4 AS x1, y0 + 20 + q AS y1, CAST(l_partkey % 97 AS DOUBLE) / 97 AS confidence
+  SELECT l_orderkey AS page, CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey * 1000 + l_suppkey % 1000 AS ord, x0, y0, x0 + 40 + q * 4 AS x1, y0 + 20 + q AS y1, CAST(l_partkey % 97 AS DOUBLE) / 97 AS confidence
   FROM (SELECT *, l_partkey % 400 AS x0, l_suppkey % 300 AS y0, CAST(l_quantity AS BIGINT) AS q FROM lineitem))"""
 
 
 def v_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A 1-D mass profile: orders by day, days 30 to 49 of every hundred emptied, so it has gaps."""
+    """1-D mass profiles of 400 positions: orders by day; positions 30 to 54 of every hundred are empty."""
     orders = table(spark, sf_dir, "orders")
-    days = orders.select(F.datediff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01").cast("date")).cast("bigint").alias("pos"))
-    return days.where("pos >= 0").groupBy("pos").agg(F.count("*").alias("n")).select("pos", F.expr("if(pos % 100 between 30 and 49, 0L, n)").alias("mass"))
+    days = orders.select(F.datediff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01").cast("date")).cast("bigint").alias("day")).where("day >= 0")
+    mass = days.groupBy(F.expr("day div 400").alias("profile"), F.expr("day % 400").alias("pos")).agg(F.count("*").alias("n"))
+    every = mass.select("profile").distinct().select("profile", F.explode(F.expr("sequence(0L, 399L)")).alias("pos"))
+    return every.join(mass, ["profile", "pos"], "left").select("profile", "pos", F.expr("if(pos % 100 between 30 and 54, 0L, coalesce(n, 0L))").alias("mass"))
 
 
 V_PROFILE = """
 v_profile AS (
-  SELECT pos, CASE WHEN pos % 100 BETWEEN 30 AND 49 THEN 0 ELSE n END AS mass
-  FROM (SELECT pos, count(*) AS n FROM (SELECT CAST(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS BIGINT) AS pos FROM orders) WHERE pos >= 0 GROUP BY pos))"""
+  SELECT e.profile, e.pos, CASE WHEN e.pos % 100 BETWEEN 30 AND 54 THEN 0 ELSE coalesce(n, 0) END AS mass
+  FROM (SELECT profile, unnest(range(400)) AS pos FROM (SELECT DISTINCT day // 400 AS profile FROM (SELECT CAST(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS BIGINT) AS day FROM orders) WHERE day >= 0)) e
+  LEFT JOIN (SELECT day // 400 AS profile, day % 400 AS pos, count(*) AS n FROM (SELECT CAST(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS BIGINT) AS day FROM orders) WHERE day >= 0 GROUP BY ALL) m
+  ON e.profile = m.profile AND e.pos = m.pos)"""
 
 
 def v_htmlblock(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import readings
+from . import layout, readings
 
 FLAGSHIP = "reading_relation"
-MODULES = (readings,)
+MODULES = (readings, layout)
 
 
 def queries() -> dict:
