@@ -101,7 +101,7 @@ def phantom_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def label_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = v_block(spark, sf_dir).select("doc_id", F.col("block").alias("ord"), F.expr("cast(block % 3 * 30 as int)").alias("x"), F.expr("cast(block * 10 as int)").alias("y")).where("ord < 20")
+    labels = v_block(spark, sf_dir).select("doc_id", F.col("block").alias("ord"), F.expr("cast(block % 3 * 30 as int)").alias("x"), F.expr("cast(block * 10 as int)").alias("y"))
     return L.push_down_labels(labels, ["doc_id"]).select("doc_id", "ord", F.col("y").cast("bigint").alias("y"))
 
 

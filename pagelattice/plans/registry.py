@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import layout, readings
+from . import bands, layout, readings
 
 FLAGSHIP = "reading_relation"
-MODULES = (readings, layout)
+MODULES = (readings, layout, bands)
 
 
 def queries() -> dict:
