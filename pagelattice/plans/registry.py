@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import bands, layout, readings
+from . import bands, layout, readings, rules
 
 FLAGSHIP = "reading_relation"
-MODULES = (readings, layout, bands)
+MODULES = (readings, layout, bands, rules)
 
 
 def queries() -> dict:
