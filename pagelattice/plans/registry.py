@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import bands, layout, readings, rules
+from . import bands, layout, readings, reports, rules
 
 FLAGSHIP = "reading_relation"
-MODULES = (readings, layout, bands, rules)
+MODULES = (readings, layout, bands, rules, reports)
 
 
 def queries() -> dict:
