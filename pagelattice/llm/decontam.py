@@ -50,6 +50,7 @@ class Block:
     item_ids: list
     tokens: list  # lists of words of each item
     coded: list  # the same as features
+    where: list  # places of the features in each
     answers: list  # sets of words
     window: np.ndarray  # by item: words in a window
     stride: np.ndarray  # by item: words between windows, a whole fraction of the window
@@ -183,15 +184,20 @@ def randomised_svd(spark: SparkSession, sample: DataFrame, extra: tuple, feature
     return np.linalg.qr(z @ turn[:, best])[0].astype(np.float32)
 
 
-def lcs(a: list, b: list) -> int:
-    """Length of the longest common subsequence of two word lists (bit-parallel)."""
+def places(a: list) -> dict:
+    """Where each word of a list stands, as bits."""
     where: dict = {}
     for k, w in enumerate(a):
         where[w] = where.get(w, 0) | (1 << k)
-    full = (1 << len(a)) - 1
-    v = full
+    return where
+
+
+def lcs(a: list, b: list, where: dict | None = None) -> int:
+    """Length of the longest common subsequence of two word lists (bit-parallel; ``where``: places(a))."""
+    get = (places(a) if where is None else where).get
+    v = full = (1 << len(a)) - 1
     for w in b:
-        if m := where.get(w):
+        if m := get(w):
             u = v & m
             v = ((v + u) | (v - u)) & full
     return len(a) - v.bit_count()
@@ -216,7 +222,7 @@ def search(block: Block, column: pa.Array, min_cosine: float, paraphrase: float,
     # windows begin one cell before a cell that holds some of an item's words, and are CELLS long
     bits = int(len(codes) // int(block.stride.min()) + CELLS + 1).bit_length()
     key = ((item * len(ends) + doc) << bits) | cell
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key = key[order]
     heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
     added = np.concatenate([[0], np.cumsum(block.post_weight[post[order]])])
@@ -245,7 +251,8 @@ def search(block: Block, column: pa.Array, min_cosine: float, paraphrase: float,
         for k in near[shared >= paraphrase * block.size[i[near]]]:
             q, d = int(i[k]), int(doc[lo + k])
             have = feature[codes[s[k] : e[k]]]
-            if lcs(block.coded[q], have[have >= 0].tolist()) < paraphrase * block.size[q]:
+            have = have[(have >= 0) & block.member[have, q]]
+            if lcs(block.coded[q], have.tolist(), block.where[q]) < paraphrase * block.size[q]:
                 continue  # hashes agree at least where words do
             text = words.take(pa.array(codes[s[k] : e[k]])).to_pylist()
             share = lcs(block.tokens[q], text) / len(block.tokens[q])
@@ -282,6 +289,7 @@ def build_block(spark: SparkSession, items: list[tuple], counts: np.ndarray, n_d
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
     window, stride = _grids([len(t) for t in toks])
     energy = idf**2
+    coded = [feature[[bucket(w) for w in t]].tolist() for t in toks]
     answers, posts, floor = [], [], []
     for q, (k, t) in enumerate(zip(kept, toks, strict=True)):
         own_answer = set(tokens(items[k][2]))
@@ -299,7 +307,7 @@ def build_block(spark: SparkSession, items: list[tuple], counts: np.ndarray, n_d
         member[feature[[bucket(w) for w in t]], q] = True
     post_at = np.searchsorted([p[0] for p in posts], np.arange(len(vocabulary) + 1))
     return Block(
-        [items[k][0] for k in kept], toks, [feature[[bucket(w) for w in t]].tolist() for t in toks], answers, window, stride, feature, (load @ latent.T).astype(np.float32), energy,
+        [items[k][0] for k in kept], toks, coded, [places(c) for c in coded], answers, window, stride, feature, (load @ latent.T).astype(np.float32), energy,
         post_at, np.array([p[1] for p in posts], np.int64), np.array([p[2] for p in posts]), member, np.array([len(t) for t in toks]), np.array(floor),
     )
 
