@@ -72,8 +72,11 @@ def read_pack(spark: SparkSession, base: str, overlays: list[str], product_group
     (group_id, cardinality, observation, field_key, ..., ord); a key that comes again replaces the earlier one.
     """
     packs = spark.read.schema(PACK).option("multiLine", "true").json([base, *sorted(overlays)]).withColumn("file", F.input_file_name())
+    # overlays come after the base, whatever its name
+    later = ~F.col("file").endswith("/" + base.rsplit("/", 1)[-1])
+    packs = packs.withColumn("file", F.concat(later.cast("int").cast("string"), F.col("file")))
     applies = F.col("applies_to").isNull() | (
-        F.coalesce(F.array_contains("applies_to.product_group", product_group), F.lit(True)) & F.coalesce(F.array_contains("applies_to.ad_type", ad_type), F.col("applies_to.ad_type").isNull())
+        F.coalesce(F.array_contains("applies_to.product_group", F.lit(product_group).cast("string")), F.lit(True)) & F.coalesce(F.array_contains("applies_to.ad_type", F.lit(ad_type).cast("string")), F.col("applies_to.ad_type").isNull())
     )
     groups = packs.where(applies).select("file", F.posexplode("call_groups").alias("g_no", "g"))
     one = lambda col, observed: groups.select("file", "g_no", "g.group_id", "g.cardinality", F.lit(observed).alias("observation"), F.posexplode(f"g.{col}").alias("f_no", "f"))
