@@ -66,15 +66,25 @@ def max_tokens(n_fields: Column) -> Column:
     return F.least(F.lit(8000), 400 * n_fields + 1500)
 
 
+def read_small(spark: SparkSession, path: str) -> str:
+    """Text of a small configuration file from any store that Spark can reach."""
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(sc._jsc.hadoopConfiguration()).open(where)
+    try:
+        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 def read_pack(spark: SparkSession, base: str, overlays: list[str], product_group: str, ad_type: str | None) -> DataFrame:
     """Fields of a pack: the base file's, and those of each overlay that applies, in order of file names.
 
     (group_id, cardinality, observation, field_key, ..., ord); a key that comes again replaces the earlier one.
     """
-    packs = spark.read.schema(PACK).option("multiLine", "true").json([base, *sorted(overlays)]).withColumn("file", F.input_file_name())
-    # overlays come after the base, whatever its name
-    later = ~F.col("file").endswith("/" + base.rsplit("/", 1)[-1])
-    packs = packs.withColumn("file", F.concat(later.cast("int").cast("string"), F.col("file")))
+    # base first, then overlays by name; Spark's readers would skip names that begin with an underscore
+    texts = [(f"{k:04d}", read_small(spark, p)) for k, p in enumerate([base, *sorted(overlays)])]
+    packs = spark.createDataFrame(texts, "file string, body string").select("file", F.from_json("body", PACK).alias("p")).select("file", "p.*")
     applies = F.col("applies_to").isNull() | (
         F.coalesce(F.array_contains("applies_to.product_group", F.lit(product_group).cast("string")), F.lit(True)) & F.coalesce(F.array_contains("applies_to.ad_type", F.lit(ad_type).cast("string")), F.col("applies_to.ad_type").isNull())
     )
