@@ -1,8 +1,8 @@
 """URL filter: association rules mined by FP-growth, matched by inverted index.
 
-URLs become sets of tokens (host labels and their pieces, domain suffixes, path words, query keys). Among
-the labelled URLs, Spark's FP-growth finds the token combinations that the blocked ones share, and counts
-them in all labelled URLs; a combination becomes a rule if enough URLs have it (support), enough of these
+URLs become sets of tokens (host labels and their pieces, path words, query keys). Spark's FP-growth mines
+the labelled URLs' frequent token combinations, the label being one more item of the blocked ones, so it
+counts each combination with and without the label; a combination becomes a rule if enough URLs have it (support), enough of these
 are blocked (confidence), and no shorter rule that it holds is as confident. Rules are found by their
 rarest token: a URL looks up its tokens, and a rule under one of them applies if the URL has the rest.
 Listed rules of the form host/path come before the mined ones; of several that fit, the longest wins.
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 #: (verdict, host/path): a rule fits its host and all subdomains if the path begins with the rule's.
 LISTED = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+#: Item that stands for the label; no token looks like it.
+BLOCKED = "!"
 
 
 def host_of(url: str = "url") -> Column:
@@ -37,16 +39,14 @@ def path_of(url: str = "url") -> Column:
 
 
 def tokens_of(url: str, host: str, path: str) -> Column:
-    """The URL's token set: ``h:`` host labels and their hyphenated pieces, ``d:`` domain suffixes, ``p:``
-    words of the path that aren't numbers, ``q:`` query keys, ``s:`` the scheme."""
+    """The URL's token set: ``h:`` host labels and their hyphenated pieces, ``p:`` words of the path that
+    aren't numbers, ``q:`` query keys."""
     labels = F.split(F.col(host), "[.]")
     pieces = F.transform(F.flatten(F.transform(labels, lambda x: F.array_union(F.array(x), F.split(x, "-")))), lambda x: F.concat(F.lit("h:"), x))
-    suffixes = F.expr(f"transform(sequence(1, size(split({host}, '[.]'))), k -> concat('d:', substring_index({host}, '.', -k)))")
     words = F.transform(F.filter(F.split(F.lower(F.col(path)), "[^a-z]+"), lambda x: F.length(x) > 1), lambda x: F.concat(F.lit("p:"), x))
     query = F.regexp_extract(F.col(url), r"(?s)^[^?#]*[?]([^#]*)", 1)
     keys = F.transform(F.filter(F.split(query, "&"), lambda x: x != ""), lambda x: F.concat(F.lit("q:"), F.substring_index(x, "=", 1)))
-    scheme = F.array(F.concat(F.lit("s:"), F.lower(F.substring_index(F.col(url), "://", 1))))
-    some = F.array_distinct(F.concat(pieces, suffixes, words, keys, scheme))
+    some = F.array_distinct(F.concat(pieces, words, keys))
     return F.when(F.col(host) == "", F.array().cast("array<string>")).otherwise(F.filter(some, lambda x: F.length(x) > 2))
 
 
@@ -72,17 +72,18 @@ def mine(
     if not blocked:
         rows.unpersist()
         return spark.createDataFrame([], empty)
-    # combinations must make up min_support of all URLs: among the blocked ones that's this share at least
+    # tokens too rare for a rule, or in more than half of all URLs, tell nothing
     floor = max(min_count, min_support * total)
-    model = FPGrowth(itemsCol="tokens", minSupport=min(1.0, min_confidence * floor / blocked), numPartitions=int(spark.conf.get("spark.sql.shuffle.partitions")))
-    found = model.fit(rows.where("bad = 1").select("tokens")).freqItemsets
-    found = found.where(f"size(items) <= {max_tokens}").select(F.array_sort("items").alias("items"), F.col("freq").alias("hits"))
-    # how many labelled URLs have each combination: by the first item, then a check of the others
-    keyed = found.withColumn("anchor", F.element_at("items", 1))
-    each = rows.select("tokens", F.explode("tokens").alias("anchor"))
-    met = each.join(F.broadcast(keyed.select("items", "anchor")), "anchor").where("size(array_except(items, tokens)) = 0")  # combinations number at most what max_tokens and the support allow
-    counted = met.groupBy("items").agg(F.count("*").alias("n"))
-    rules = found.join(counted, "items").withColumn("confidence", F.col("hits") / F.col("n")).where(F.col("n") >= floor).where(F.col("confidence") >= min_confidence)
+    telling = rows.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("n")).where(F.col("n").between(floor, total / 2))
+    kept_tokens = telling.agg(F.coalesce(F.collect_set("t"), F.array().cast("array<string>")).alias("t"))  # at most tokens of all URLs / floor
+    baskets = rows.withColumn("items", F.array_intersect("tokens", kept_tokens.scalar())).where("size(items) > 0")
+    baskets = baskets.select(F.when(F.col("bad") == 1, F.array_append("items", F.lit(BLOCKED))).otherwise(F.col("items")).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, min_confidence * floor / total), numPartitions=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found = model.fit(baskets).freqItemsets.where(f"size(items) <= {max_tokens + 1}")
+    # support of a combination with the label over its support: the rule's confidence
+    hits = found.where(F.array_contains("items", BLOCKED) & (F.size("items") > 1)).select(F.array_sort(F.array_remove("items", BLOCKED)).alias("items"), F.col("freq").alias("hits"))
+    every = found.where(~F.array_contains("items", BLOCKED)).select(F.array_sort("items").alias("items"), F.col("freq").alias("n")).where(F.col("n") >= floor)
+    rules = hits.join(every, "items").where(F.size("items") <= max_tokens).withColumn("confidence", F.col("hits") / F.col("n")).where(F.col("confidence") >= min_confidence)
     best = rules.orderBy(F.desc("confidence"), F.desc("n"), "items").limit(max_rules).collect()
     rows.unpersist()
     kept: list = []
