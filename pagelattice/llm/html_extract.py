@@ -302,10 +302,10 @@ def render(node: Node, hidden: set[str], visible: bool = True, out: _Text | None
 
 
 def _walk(node: Node, out: _Text, hidden: set[str], visible: bool, lists: list, pre: bool) -> None:
-    number = 0
+    closed = node.tag == "details" and "open" not in node.attrs
     for kid in node.kids:
         if isinstance(kid, str):
-            if not visible:
+            if not visible or closed:
                 continue
             if pre:
                 for k, line in enumerate(kid.split("\n")):
@@ -324,7 +324,7 @@ def _walk(node: Node, out: _Text, hidden: set[str], visible: bool, lists: list,
         if tag == "br":
             out.break_line(forced=True)
             continue
-        if node.tag == "details" and "open" not in node.attrs and tag != "summary":
+        if closed and tag != "summary":
             continue
         block = tag in BLOCK
         if block:
@@ -361,7 +361,6 @@ def _walk(node: Node, out: _Text, hidden: set[str], visible: bool, lists: list,
             out.break_line()
             if tag in SPACED and not (tag in ("ul", "ol") and lists):
                 out.space()
-        number += 1
 
 
 def extract(source: str | None) -> str:
