@@ -43,9 +43,15 @@ def casefold(x: Column) -> Column:
     return F.replace(F.lower(x), F.lit("ß"), F.lit("ss"))
 
 
+def keep(x: Column, alphabet: str) -> Column:
+    """Only the characters of an alphabet. Taking them out in runs is several times faster than replacing
+    single strangers by a negated class."""
+    return F.array_join(F.regexp_extract_all(x, F.lit(f"[{alphabet}]+"), F.lit(0)), "")
+
+
 def norm(x: Column, alphabet: str = "0-9A-Za-z가-힣") -> Column:
     """Comparison form of a reading: folded, number signs as digits, only the alphabet kept."""
-    return F.regexp_replace(plain_numbers(casefold(x)), f"[^{alphabet}]", "")
+    return keep(plain_numbers(casefold(x)), alphabet)
 
 
 def numeric_signature(x: Column) -> Column:
@@ -135,7 +141,7 @@ def is_truncated(r: Column) -> Column:
 
 
 def token_norm(x: Column) -> Column:
-    return F.regexp_replace(casefold(x), "[^0-9a-z가-힣.%]", "")
+    return keep(casefold(x), "0-9a-z가-힣.%")
 
 
 def tokens(x: Column) -> Column:

@@ -12,20 +12,36 @@ GROW_X, GROW_Y, ORPHAN_SHARE, MIN_LINES = 1.5, 0.6, 0.5, 2
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least index of each one's component, by joining the ends of each edge."""
+    """Least index of each one's component, by joining the ends of each edge until nothing moves."""
     root = np.arange(n)
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    for i, j in zip(a.tolist(), b.tolist(), strict=True):
-        i, j = find(i), find(j)
-        if i != j:
-            root[max(i, j)] = min(i, j)
-    return np.array([find(i) for i in range(n)], dtype=np.int64)
+    while len(a):
+        ra, rb = root[a], root[b]
+        differ = ra != rb
+        a, b, ra, rb = a[differ], b[differ], ra[differ], rb[differ]
+        np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
+        while (root[root] != root).any():
+            root = root[root]
+    return root
+
+
+def by_pages(rows: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
+    """``run`` over frames of whole pages, many at a time: pages are dealt out by key and come one after the
+    other, so a task holds the pages of one Arrow batch and no call is made for each page."""
+
+    def stream(batches):
+        held = None
+        for batch in batches:
+            batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            if batch.empty:
+                continue
+            last = (batch[keys] == batch[keys].iloc[-1]).all(axis=1)
+            held, whole = batch[last], batch[~last]
+            if len(whole):
+                yield run(whole.reset_index(drop=True))
+        if held is not None and len(held):
+            yield run(held.reset_index(drop=True))
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "ord").mapInPandas(stream, schema)
 
 
 def cluster_lines(lines: DataFrame, keys: list[str], schema: str) -> DataFrame:
@@ -34,13 +50,15 @@ def cluster_lines(lines: DataFrame, keys: list[str], schema: str) -> DataFrame:
     Boxes grow by 1.5 and 0.6 median heights of the page, at least a point; touching edges don't count.
     """
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows[(rows.x1 > rows.x0) & (rows.y1 > rows.y0)].sort_values("ord")
-        if rows.empty:
-            return pd.DataFrame({**{k: [] for k in keys}, "ord": [], "cluster": []})
-        height = float(np.median(rows.y1 - rows.y0))
-        gx, gy = max(1.0, height * GROW_X), max(1.0, height * GROW_Y)
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        page = rows.groupby(keys, sort=False, dropna=False).ngroup()
+        height = (rows.y1 - rows.y0).groupby(page).transform("median").to_numpy(float)
+        page = page.to_numpy()
+        gx, gy = np.maximum(1.0, height * GROW_X), np.maximum(1.0, height * GROW_Y)
         x0, x1, y0, y1 = rows.x0.to_numpy() - gx, rows.x1.to_numpy() + gx, rows.y0.to_numpy() - gy, rows.y1.to_numpy() + gy
+        # pages are set below one another, far enough not to touch
+        away = (y1.max() - y0.min() + 1) * page
+        y0, y1 = y0 + away, y1 + away
         # sweep by top edge: only boxes that begin before this one ends can touch it
         order = np.argsort(y0, kind="stable")
         stop = np.searchsorted(y0[order], y1[order], side="left")
@@ -49,10 +67,11 @@ def cluster_lines(lines: DataFrame, keys: list[str], schema: str) -> DataFrame:
         b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(many) - many, many)
         a, b = order[a], order[b]
         touch = (x0[a] < x1[b]) & (x0[b] < x1[a]) & (y0[a] < y1[b]) & (y0[b] < y1[a])
-        ids = rows.ord.to_numpy()
-        return pd.DataFrame({**{k: v for k, v in zip(keys, key, strict=True)}, "ord": ids, "cluster": ids[_roots(len(ids), a[touch], b[touch])]})
+        root = _roots(len(rows), a[touch], b[touch])  # rows come by ord, so the least index has the least ord
+        return pd.DataFrame({**{k: rows[k] for k in keys}, "ord": rows.ord, "cluster": rows.ord.to_numpy()[root]})
 
-    return lines.where("x0 is not null").select(*keys, "ord", "x0", "y0", "x1", "y1").groupBy(*keys).applyInPandas(run, schema)
+    boxes = lines.where("x1 > x0 and y1 > y0").select(*keys, "ord", "x0", "y0", "x1", "y1")
+    return by_pages(boxes, keys, run, schema)
 
 
 def clusters(lines: DataFrame, clustered: DataFrame, keys: list[str]) -> DataFrame:

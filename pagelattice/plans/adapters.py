@@ -17,9 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a table of a few files, which would keep most cores idle; larger scans stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) * 4 < cores else df
+
+
 def v_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text lines of a document (one page each) with boxes and confidences."""
-    docs = table(spark, sf_dir, "documents").where("doc_id is not null and text is not null")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).where("doc_id is not null and text is not null")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("ord", "text"))
     x0, y0 = F.expr("cast((ord % 3) * 200 as int)"), F.expr("cast((ord div 3) * 24 + (doc_id + ord) % 5 as int)")
     wide = F.expr("cast(8 * least(length(text), 24) + ((ord * 13) % 60) as int)")
@@ -122,7 +128,7 @@ v_profile AS (
 
 def v_htmlblock(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headings, paragraphs and list items of pages in order, as blocks for chunking; list items count as tables."""
-    pages = table(spark, sf_dir, "pages").where("page_id is not null and html is not null")
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html")).where("page_id is not null and html is not null")
     found = F.regexp_extract_all("html", F.lit(r"(?s)(<h1>.*?</h1>|<p>.*?</p>|<li>.*?</li>)"), F.lit(1))
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.posexplode(found).alias("ord", "raw"))
     kind = F.when(F.col("raw").startswith("<li>"), "table").otherwise("text")

@@ -10,6 +10,7 @@ from ..operators import clusters as C
 from ..operators import layout as L
 from ..operators import readings as R
 from ..operators import rules as U
+from ..session import stage_table
 from ..streaming.ingest import sessions, windows
 from . import rules as rule_queries
 from .adapters import table, v_block, v_cond, v_doc, v_line_tiled, v_spec
@@ -20,7 +21,7 @@ KEYS = ["doc_id"]
 def parse(lines: DataFrame, blocks: DataFrame, keys: list[str]) -> DataFrame:
     """Regions of pages in view order: repeats suppressed, lines assigned, strays absorbed, phantoms dropped,
     text rebuilt in reading order, then read again by the reader port and compared."""
-    kept = L.suppress(lines, keys)
+    kept = stage_table(L.suppress(lines, keys), "kept")
     height = kept.groupBy(*keys).agg(F.max("y1").alias("canvas_h"))
     first = L.first_blocks(blocks, keys)
     owned = L.assign_lines(kept, first, keys)
@@ -28,8 +29,10 @@ def parse(lines: DataFrame, blocks: DataFrame, keys: list[str]) -> DataFrame:
     schema = ", ".join(f"{k} {t}" for k, t in lines.dtypes if k in keys) + ", ord bigint, block bigint"
     absorbed = L.absorb_unassigned(stray, first.join(height, keys), keys, schema).where("block is not null")
     placed = owned.where("block is not null").unionByName(stray.join(absorbed, [*keys, "ord"]).select(*owned.columns))
+    placed = stage_table(placed, "placed")
     low = L.phantom_lines(placed, [*keys, "block"]).select(*keys, "ord")
     clean = placed.join(low, [*keys, "ord"], "left_anti")
+    clean = stage_table(clean, "clean")
     text = L.merged_text(clean, [*keys, "block"])
     boxes = clean.groupBy(*keys, "block").agg(F.min("y0").alias("min_y"), F.min("x0").alias("min_x"))
     regions = first.join(text, [*keys, "block"], "left").join(boxes, [*keys, "block"], "left").join(height, keys).withColumn("text", F.coalesce("text", F.lit("")))

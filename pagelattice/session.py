@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -41,3 +42,19 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()
     )
+
+
+def stage_table(df, tag: str):
+    """A stage's outcome as a table in the folder that all executors share (``spark.checkpoint.dir``), read back.
+
+    Later steps then start from files instead of the whole lineage. Only a session without such a folder
+    (tests on one machine) gets one here.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        spark.sparkContext.setCheckpointDir("/tmp/checkpoints")
+        folder = spark.sparkContext.getCheckpointDir()
+    path = f"{folder.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
