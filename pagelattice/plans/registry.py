@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import bands, layout, pipelines, readings, reports, rules
+from . import bands, layout, misc, pipelines, readings, reports, rules
 
 FLAGSHIP = "reading_relation"
-MODULES = (readings, layout, bands, rules, reports, pipelines)
+MODULES = (readings, layout, bands, rules, reports, pipelines, misc)
 
 
 def queries() -> dict:
