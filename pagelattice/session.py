@@ -9,7 +9,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -44,17 +44,24 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     )
 
 
-def stage_table(df, tag: str):
-    """A stage's outcome as a table in the folder that all executors share (``spark.checkpoint.dir``), read back.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Later steps then start from files instead of the whole lineage. Only a session without such a folder
-    (tests on one machine) gets one here.
+    Only a session on one machine that names none (tests) gets one here; a cluster must name it.
     """
-    spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir("/tmp/checkpoints")
         folder = spark.sparkContext.getCheckpointDir()
-    path = f"{folder.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def stage_table(df: DataFrame, tag: str) -> DataFrame:
+    """A stage's outcome as a table in the shared folder, read back: later steps start from files instead of
+    the whole lineage, whatever executors are lost."""
+    path = f"{shared_folder(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
