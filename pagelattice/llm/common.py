@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import stage_table
+
 #: Text bytes that one Python step holds at a time; a single longer text is a chunk of its own.
 CHUNK_BYTES = 4 << 20
 
@@ -19,26 +20,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only where a session names none (unit tests on one machine) is one chosen here.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = "/tmp/checkpoints"
-        spark.sparkContext.setCheckpointDir(folder)
-        folder = spark.sparkContext.getCheckpointDir()
-    return folder.rstrip("/")
-
-
 def materialize(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
     """Cut the lineage: write ``df`` as a table in the shared folder and read it back."""
-    path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return stage_table(df, tag)
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
