@@ -1,137 +1,24 @@
-"""Kernels over one 1-D density profile (numpy), for operators that take a whole profile at once."""
+"""Pixels to 1-D density profiles, and the fixed values of splitting by density."""
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Density up to which a position counts as empty; pixel step that counts as an edge; retries for a span cap (fixed values).
-CLEAN, EDGE, RETRIES = 0.004, 25, 8
-#: Overlap of bands, snap window, span cap of tiles, least height and aspect of reader bands, in pixels (fixed values).
-OVERLAP, SNAP, TILE, BAND_MIN, BAND_RATIO = 200, 160, 1600, 900, 2.0
+#: Density up to which a position counts as empty; brightness step that counts as an edge (fixed values).
+CLEAN, EDGE = 0.004, 25
+#: Overlap of bands, snap window, span of tiles and height up to which a canvas isn't tiled, least height and
+#: aspect of reader bands, in pixels; further tries for a span cap (fixed values).
+OVERLAP, SNAP, TILE, UNTILED, BAND_MIN, BAND_RATIO, RETRIES = 200, 160, 1600, 4000, 900, 2.0, 8
 
 
 def edge_profile(luma: np.ndarray, axis: str = "y") -> np.ndarray:
-    """Share of edge pixels in each row (axis y) or column: brightness steps over ``EDGE`` to the right or below."""
-    luma = luma.astype(np.int32)
-    dx, dy = np.zeros_like(luma), np.zeros_like(luma)
-    dx[:, :-1], dy[:-1, :] = np.abs(luma[:, 1:] - luma[:, :-1]), np.abs(luma[1:, :] - luma[:-1, :])
-    mask = np.maximum(dx, dy) > EDGE
-    mask[-1, :], mask[:, -1] = False, False
-    # shares are kept to 255 steps, as an 8-bit picture of them would
-    return np.floor(mask.mean(axis=1 if axis == "y" else 0) * 255 + 0.5) / 255
-
-
-def equal_mass_targets(profile: np.ndarray, n: int) -> list[int]:
-    """Positions that part the mass in n equal shares; equal lengths where there is no mass."""
-    total = float(profile.sum())
-    if n <= 1:
-        return []
-    if total <= 0:
-        return [int(len(profile) / n * k) for k in range(1, n)]
-    acc = np.cumsum(profile)
-    found = [int(np.searchsorted(acc * n, total * k)) for k in range(1, n)]
-    return [p for p in found if p < len(profile)]
-
-
-def snap_to_clean(profile: np.ndarray, pos: int, window: int) -> tuple[int, bool]:
-    """Nearest empty position within the window, the lower one of two; (pos, False) if there is none."""
-    if pos < len(profile) and profile[pos] <= CLEAN:
-        return pos, True
-    lo, hi = max(1, pos - window), min(len(profile) - 1, pos + window)
-    clean = np.flatnonzero(profile[lo : hi + 1] <= CLEAN) + lo
-    return (int(clean[np.lexsort((clean, np.abs(clean - pos)))[0]]), True) if len(clean) else (pos, False)
-
-
-def plan_cuts(profile: np.ndarray, n: int, window: int = SNAP, max_shift: float | None = None) -> tuple[list[int], list[bool]]:
-    """Cuts into n bands, each snapped; one that doesn't get past the last falls back to its target, or is left out."""
-    uniform = len(profile) / n if n else 0
-    cuts: list[int] = []
-    flags: list[bool] = []
-    for k, target in enumerate(equal_mass_targets(profile, n), 1):
-        if max_shift is not None:
-            target = int(min(max(target, uniform * (k - max_shift)), uniform * (k + max_shift)))
-        pos, ok = snap_to_clean(profile, target, window)
-        if cuts and pos <= cuts[-1]:
-            pos, ok = target, False
-        if not cuts or pos > cuts[-1]:
-            cuts.append(pos)
-            flags.append(ok)
-    return cuts, flags
-
-
-def band_count(length: int, span: int, overlap: int = OVERLAP) -> int:
-    """Bands of ``span`` that overlap and cover a length; a rest within the overlap is taken in by the last."""
-    return 1 if length <= span else 1 + max(0, -(-(length - overlap - span) // (span - overlap)))
-
-
-def bands_from_cuts(profile: np.ndarray, cuts: list[int], flags: list[bool] | None = None, overlap: int = OVERLAP) -> list[tuple[int, int, float, bool]]:
-    """(offset, end, mass share without the overlap, snapped) of each band; all but the first begin earlier by the overlap."""
-    edges = [0, *cuts, len(profile)]
-    total = float(profile.sum()) or 1.0
-    out = []
-    for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
-        offset = max(0, a - overlap) if i else 0
-        if b - offset >= 1:
-            out.append((offset, b, float(profile[a:b].sum()) / total, flags[i - 1] if flags and 0 < i <= len(flags) else True))
-    return out
-
-
-def content_bands(profile: np.ndarray, n: int | None = None, span: int | None = None, max_span: int | None = None, max_shift: float | None = None, overlap: int = OVERLAP, window: int = SNAP) -> list[tuple[int, int, float, bool]]:
-    """Bands of equal mass; with ``max_span`` their number grows until the longest fits, or the best try stays."""
-    if n is None:
-        n = band_count(len(profile), span or max(BAND_MIN, len(profile)), overlap)
-    if max_span:
-        n = max(n, -(-len(profile) // max_span))
-    if n <= 1:
-        return [(0, len(profile), 1.0, True)]
-
-    def build(count: int) -> list[tuple[int, int, float, bool]]:
-        return bands_from_cuts(profile, *plan_cuts(profile, count, window, max_shift), overlap)
-
-    longest = lambda bands: max(b - a for a, b, _, _ in bands)
-    bands = best = build(n)
-    for k in range(1, (RETRIES if max_span else 0) + 1):
-        if longest(bands) <= max_span:
-            return bands
-        bands = build(n + k)
-        if longest(bands) < longest(best):
-            best = bands
-    return bands if not max_span or longest(bands) <= max_span else best
-
-
-def content_spans(profile: np.ndarray, min_gap: int = 20, min_mass: float = 0.10) -> list[tuple[int, int, float]]:
-    """Spans between the middles of gaps of ``min_gap`` empty positions that hold ``min_mass`` of the whole."""
-    clean = np.concatenate([[False], profile <= CLEAN, [False]]).astype(np.int8)
-    turn = np.diff(clean)
-    gaps = [(a, b) for a, b in zip(np.flatnonzero(turn == 1), np.flatnonzero(turn == -1), strict=True) if b - a >= min_gap]
-    edges = sorted({0, len(profile), *((int(a) + int(b)) // 2 for a, b in gaps)})
-    total = float(profile.sum()) or 1.0
-    return [(a, b, m) for a, b in zip(edges, edges[1:], strict=False) if (m := float(profile[a:b].sum()) / total) >= min_mass]
-
-
-def snap_off_boxes(cut: int, boxes: list[tuple[int, int]], window: int, length: int) -> int:
-    """Nearest position within the window that no (top, bottom) box crosses; the cut itself if there is none."""
-    for delta in range(window + 1):
-        for pos in (cut - delta, cut + delta):
-            if 0 < pos < length and not any(a < pos < b for a, b in boxes):
-                return pos
-    return cut
-
-
-def sweep_bands(profile: np.ndarray, width: int, boxes: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """(offset, end) of the bands of a long canvas: planned by mass, then moved off the boxes."""
-    height = len(profile)
-    span = max(BAND_MIN, int(width * BAND_RATIO))
-    if height <= span:
-        return [(0, height)]
-    cuts, _ = plan_cuts(profile, band_count(height, span))
-    if boxes:
-        cuts = sorted({c for c in (snap_off_boxes(c, boxes, SNAP, height) for c in cuts) if 0 < c < height})
-    return [(a, b) for a, b, _, _ in bands_from_cuts(profile, cuts)]
-
-
-def tiles(profile: np.ndarray, max_height: int = 4000) -> list[tuple[int, int]]:
-    """(offset, end) of the tiles of a canvas: one up to ``max_height``, else bands of at most ``TILE``."""
-    if len(profile) <= max_height:
-        return [(0, len(profile))]
-    return [(a, b) for a, b, _, _ in content_bands(profile, span=TILE, max_span=TILE)]
+    """Share of edge pixels in each row (axis y) or column: brightness steps over ``EDGE`` to the right or below.
+
+    The last row and column, which have no neighbour, hold no edges; shares are kept to 255 steps.
+    """
+    level = np.asarray(luma, np.int16)
+    steps = np.maximum(np.abs(np.diff(level, axis=1))[:-1], np.abs(np.diff(level, axis=0))[:, :-1]) > EDGE
+    along = 1 if axis == "y" else 0
+    share = np.zeros(level.shape[1 - along])
+    share[:-1] = steps.sum(axis=along) / level.shape[along]
+    return np.rint(share * 255) / 255

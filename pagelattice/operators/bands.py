@@ -1,7 +1,7 @@
 """Density-based splitting of canvases: spans, equal-mass cuts, snapping, bands and their owners.
 
 Profiles are long tables (keys, pos, mass), one row for each position, so the splits are plain windows and
-joins; ``band_arrays`` takes whole profiles as arrays where a split depends on the one before.
+joins; only a cut's fallback, which looks at the cut before, is a fold.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ def equal_mass_targets(profile: DataFrame, keys: list[str], n: Column | int) ->
     """(keys, k, target): first position where the running mass reaches k/n of the whole; equal lengths without mass."""
     n = n if isinstance(n, Column) else F.lit(n)
     order = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    acc = profile.withColumn("acc", F.sum("mass").over(order))
+    acc = profile.select(*keys, "pos", "mass").withColumn("acc", F.sum("mass").over(order))
     whole = profile.groupBy(*keys).agg(F.sum("mass").alias("total"), (F.max("pos") + 1).alias("length"), F.first(n).alias("n"))
     # k runs up to n - 1, so a page has few rows here
     shares = whole.where("n > 1").withColumn("k", F.explode(F.expr("sequence(1, cast(n - 1 as int))")))
@@ -105,19 +105,72 @@ def band_extent(owned: DataFrame, bands: DataFrame, regions: DataFrame, keys: li
     return out.select(*keys, "band", "regions", F.greatest(F.lit(0), F.least("offset", "y0")).alias("top"), F.greatest("stop", "y1").alias("bottom"), ((F.col("y0") < F.col("offset")) | (F.col("y1") > F.col("stop"))).alias("grown"))
 
 
-def band_arrays(profiles: DataFrame, key: str, how: str = "content_bands", **options) -> DataFrame:
-    """Splits of whole profiles (``key``, ``profile`` array of doubles) by a kernel of that name: one row for each piece."""
-    kernel = getattr(P, how)
-    widths = {"content_bands": 4, "content_spans": 3, "tiles": 2}[how]
-    names = {4: ["offset", "stop", "share", "snapped"], 3: ["start", "stop", "share"], 2: ["offset", "stop"]}[widths]
-    kinds = {"offset": "bigint", "start": "bigint", "stop": "bigint", "share": "double", "snapped": "boolean"}
+def content_bands(profile: DataFrame, keys: list[str], n: Column | int, max_span: int | None = None, max_shift: float | None = None, overlap: int = P.OVERLAP, window: int = P.SNAP) -> DataFrame:
+    """Bands of equal mass; with ``max_span`` as many more as it takes for the longest to fit, up to ``P.RETRIES``.
 
-    def run(batches):
-        for batch in batches:
-            rows = [(k, i, *piece) for k, p in zip(batch[key], batch["profile"], strict=True) for i, piece in enumerate(kernel(np.asarray(p, float), **options))]
-            yield pd.DataFrame(rows, columns=[key, "piece", *names])
-
-    return profiles.select(key, "profile").mapInPandas(run, f"{key} bigint, piece bigint, " + ", ".join(f"{n} {kinds[n]}" for n in names))
+    All numbers of bands that may be needed are tried side by side, each as a split of its own. The least
+    that fits wins; if none does, the one with the shortest longest band. (keys, n, band, offset, stop, mass)
+    """
+    n = n if isinstance(n, Column) else F.lit(n)
+    pages = profile.groupBy(*keys).agg((F.max("pos") + 1).alias("length"), F.first(n).cast("bigint").alias("least"))
+    if max_span:
+        least = F.greatest("least", F.ceil(F.col("length") / max_span))
+        tries = pages.withColumn("attempt", F.explode(F.sequence(least, least + P.RETRIES)))
+    else:
+        tries = pages.withColumn("attempt", F.greatest("least", F.lit(1)))
+    tries = tries.select(*keys, "length", "attempt")
+    each = profile.select(*keys, "pos", "mass").join(tries.drop("length"), keys)
+    own = [*keys, "attempt"]
+    targets = equal_mass_targets(each, own, F.col("attempt"))
+    if max_shift is not None:
+        targets = clamp_targets(targets, max_shift)
+    cuts = plan_cuts(snap_to_clean(targets, each, own, window), own).drop("length")
+    planned = tries.join(cuts, own, "left").withColumn("cuts", F.coalesce("cuts", F.array().cast("array<struct<cut:bigint,snapped:boolean>>")))
+    bands = bands_from_cuts(planned, each, own, overlap)
+    if max_span:
+        longest = bands.groupBy(*own).agg(F.max(F.col("stop") - F.col("offset")).alias("longest"))
+        # a try that fits counts by its number, the others by their longest band, after all that fit
+        rank = F.when(F.col("longest") <= max_span, F.struct(F.lit(0).alias("a"), F.lit(0).cast("bigint").alias("b"), "attempt")).otherwise(F.struct(F.lit(1).alias("a"), F.col("longest").alias("b"), "attempt"))
+        bands = bands.join(longest.groupBy(*keys).agg(F.min_by("attempt", rank).alias("attempt")), own)
+    return bands.select(*keys, F.col("attempt").alias("n"), "band", "offset", "stop", "mass")
+
+
+def off_boxes(cuts: DataFrame, boxes: DataFrame, keys: list[str], window: int = P.SNAP) -> DataFrame:
+    """Moves cuts (keys, k, cut, length) off the boxes (keys, top, bottom) they cross: to the nearest free place.
+
+    A free place next to a crossed cut is always an edge of some box, so only edges within the window are
+    candidates; the upper one of two at equal distance wins, and without any the cut stays.
+    """
+    spots = cuts.select(*keys, "k", "cut", "length", F.col("cut").alias("spot")).unionByName(
+        cuts.join(boxes.select(*keys, F.explode(F.array("top", "bottom")).alias("spot")), keys).where(F.abs(F.col("spot") - F.col("cut")) <= window).where("spot > 0 and spot < length").select(*keys, "k", "cut", "length", "spot")
+    )
+    b = boxes.select(*[F.col(k).alias(f"__{k}") for k in keys], "top", "bottom")
+    same = [F.col(k) == F.col(f"__{k}") for k in keys]
+    free = spots.join(b, [*same, F.col("top") < F.col("spot"), F.col("spot") < F.col("bottom")], "left_anti")
+    best = free.groupBy(*keys, "k").agg(F.min_by("spot", F.struct(F.abs(F.col("spot") - F.col("cut")), "spot")).alias("moved"))
+    return cuts.join(best, [*keys, "k"], "left").withColumn("cut", F.coalesce("moved", "cut")).drop("moved")
+
+
+def sweep_bands(profile: DataFrame, widths: DataFrame, boxes: DataFrame, keys: list[str]) -> DataFrame:
+    """Bands of long canvases for a reader (widths: keys, width): planned by mass, then moved off the boxes."""
+    pages = profile.groupBy(*keys).agg((F.max("pos") + 1).alias("length")).join(widths, keys)
+    pages = pages.withColumn("span", reader_span(F.col("width"))).withColumn("n", band_count(F.col("length"), F.col("span")))
+    each = profile.join(pages.where("length > span").select(*keys, "n"), keys)
+    cuts = plan_cuts(snap_to_clean(equal_mass_targets(each, keys, F.col("n")), each, keys), keys)
+    flat = cuts.select(*keys, "length", F.posexplode("cuts").alias("k", "c")).select(*keys, "length", "k", "c.cut")
+    moved = off_boxes(flat, boxes, keys).where("cut > 0 and cut < length")
+    again = moved.groupBy(*keys, "length").agg(F.array_sort(F.collect_set(F.struct("cut", F.lit(True).alias("snapped")))).alias("cuts"))
+    planned = pages.select(*keys, "length").join(again.drop("length"), keys, "left").withColumn("cuts", F.coalesce("cuts", F.array().cast("array<struct<cut:bigint,snapped:boolean>>")))
+    return bands_from_cuts(planned, profile, keys).select(*keys, "band", "offset", "stop")
+
+
+def tiles(profile: DataFrame, keys: list[str]) -> DataFrame:
+    """Tiles of canvases: one up to ``P.UNTILED``, else equal-mass bands no longer than ``P.TILE``."""
+    pages = profile.groupBy(*keys).agg((F.max("pos") + 1).alias("length"))
+    low = pages.where(F.col("length") <= P.UNTILED).select(*keys, F.lit(0).alias("band"), F.lit(0).cast("bigint").alias("offset"), F.col("length").alias("stop"))
+    tall = pages.where(F.col("length") > P.UNTILED).select(*keys, band_count(F.col("length"), F.lit(P.TILE)).alias("n"))
+    split = content_bands(profile.join(tall, keys), keys, F.col("n"), max_span=P.TILE)
+    return low.unionByName(split.select(*keys, "band", F.col("offset").cast("bigint").alias("offset"), "stop"))
 
 
 def edge_profiles(pictures: DataFrame, key: str, axis: str = "y") -> DataFrame:

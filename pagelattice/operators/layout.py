@@ -7,6 +7,7 @@ fold over the sorted boxes of one page, a page being the unit that always fits a
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -207,31 +208,30 @@ def absorb_unassigned(lines: DataFrame, regions: DataFrame, keys: list[str], sch
     """
 
     def fold(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        boxes = {int(r.block): [r.x0, r.y0, r.x1, r.y1] for r in right.sort_values("block").itertuples() if not pd.isna(r.x0)}
-        height = right[canvas_h].max() if len(right) else None
-        limit = max(300, int(height * 0.15)) if height and not pd.isna(height) else None
-        out = []
-        for line in left.sort_values("ord").itertuples():
-            target = None
-            if not pd.isna(line.x0) and boxes:
-                cx, cy = (line.x0 + line.x1) / 2, (line.y0 + line.y1) / 2
-                inside = [k for k, b in boxes.items() if b[0] <= cx <= b[2] and b[1] <= cy <= b[3]]
-                if inside:
-                    target = min(inside, key=lambda k: (boxes[k][2] - boxes[k][0]) * (boxes[k][3] - boxes[k][1]))
-                elif limit is not None:
-                    near = []
-                    for k, b in boxes.items():
-                        narrow = max(1, min(line.x1 - line.x0, b[2] - b[0]))
-                        share = max(0, min(line.x1, b[2]) - max(line.x0, b[0])) / narrow
-                        if share >= 0.5:
-                            near.append((max(0, line.y0 - b[3], b[1] - line.y1), -share, k))
-                    if near and min(near)[0] <= limit:
-                        target = min(near)[2]
-            if target is not None:
-                b = boxes[target]
-                boxes[target] = [min(b[0], line.x0), min(b[1], line.y0), max(b[2], line.x1), max(b[3], line.y1)]
-            out.append((*key, int(line.ord), target))
-        return pd.DataFrame(out, columns=[*keys, "ord", "block"]).astype({"block": "Int64"})
+        right = right[right.x0.notna()].sort_values("block")
+        grown = right[["x0", "y0", "x1", "y1"]].to_numpy(float)  # the regions' boxes, as they are so far
+        tall = right[canvas_h].max() if len(right) else 0
+        reach = max(300, int(tall * 0.15)) if tall > 0 else -1.0
+        left = left.sort_values("ord")
+        homes = []
+        for box in left[["x0", "y0", "x1", "y1"]].to_numpy(float):
+            if np.isnan(box[0]) or not len(grown):
+                homes.append(None)
+                continue
+            size = grown[:, 2:] - grown[:, :2]
+            middle = (box[:2] + box[2:]) / 2
+            holds = ((grown[:, :2] <= middle) & (middle <= grown[:, 2:])).all(axis=1)
+            shared = np.clip(np.minimum(grown[:, 2], box[2]) - np.maximum(grown[:, 0], box[0]), 0, None) / np.maximum(1, np.minimum(size[:, 0], box[2] - box[0]))
+            away = np.clip(np.maximum(grown[:, 1] - box[3], box[1] - grown[:, 3]), 0, None)
+            open_ = holds if holds.any() else (shared >= 0.5) & (away <= reach)
+            # holders compete by area, neighbours by distance and then by shared columns; ties to the first
+            order = np.lexsort((-shared, away)) if not holds.any() else np.argsort(size.prod(axis=1), kind="stable")
+            best = next((k for k in order if open_[k]), None)
+            homes.append(None if best is None else int(right["block"].iloc[best]))
+            if best is not None:
+                grown[best] = [*np.minimum(grown[best, :2], box[:2]), *np.maximum(grown[best, 2:], box[2:])]
+        out = pd.DataFrame({k: [v] * len(left) for k, v in zip(keys, key, strict=True)})
+        return out.assign(ord=left["ord"].to_numpy(), block=pd.array(homes, dtype="Int64"))
 
     return lines.groupBy(*keys).cogroup(regions.groupBy(*keys)).applyInPandas(fold, schema)
 

@@ -53,9 +53,8 @@ def band_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def content_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arrays = v_profile(spark, sf_dir).groupBy("profile").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "mass"))), lambda s: s["mass"].cast("double")).alias("profile_"))
-    arrays = arrays.select("profile", F.col("profile_")).withColumnsRenamed({"profile": "page", "profile_": "profile"})
-    return B.band_arrays(arrays, "page", "content_bands", n=3, max_span=120, overlap=10, window=WINDOW)
+    out = B.content_bands(v_profile(spark, sf_dir), KEYS, 3, max_span=120, overlap=10, window=WINDOW)
+    return out.select("profile", *[F.col(c).cast("bigint").alias(c) for c in ("n", "band", "offset", "stop", "mass")])
 
 
 def band_owner(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,5 @@
 import numpy as np
-from hypothesis import given
-from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
 
 from pagelattice.functions import profiles as P
@@ -15,81 +14,102 @@ def page(height, width, rows):
     return luma
 
 
-def test_cuts_follow_the_mass():
-    p = P.edge_profile(page(1200, 400, [(100, 200), (700, 1150)]))
-    cuts, _ = P.plan_cuts(p, 2)
-    bands = P.bands_from_cuts(p, cuts, overlap=0)
-    assert cuts[0] > 600 and abs(bands[0][2] - bands[1][2]) < 0.25
-    cuts, flags = P.plan_cuts(P.edge_profile(page(1200, 400, [(0, 560), (640, 1200)])), 2)
-    assert 545 <= cuts[0] <= 650 and flags == [True]
-    assert P.plan_cuts(P.edge_profile(page(1200, 400, [(0, 1200)])), 3)[1].count(False) >= 1
-    assert P.edge_profile(np.full((50, 60), 90)).max() <= P.CLEAN
+def table(spark, *profiles):
+    rows = [(k, i, float(v)) for k, p in enumerate(profiles) for i, v in enumerate(p)]
+    return spark.createDataFrame(rows, "p long, pos long, mass double")
 
 
-def test_spans():
-    p = P.edge_profile(page(900, 60, [(20, 260), (330, 570), (640, 860)]))
-    assert len(P.content_spans(p)) == 3
-    assert abs(sum(s[2] for s in P.content_spans(p)) - 1) < 1e-9
-    assert len(P.content_spans(P.edge_profile(page(900, 60, [(20, 800)])))) == 1
+def cuts_of(spark, profile, n):
+    rows = table(spark, profile)
+    found = B.plan_cuts(B.snap_to_clean(B.equal_mass_targets(rows, ["p"], n), rows, ["p"]), ["p"]).first()
+    return [(c["cut"], c["snapped"]) for c in found["cuts"]]
 
 
-def test_span_cap():
-    p = P.edge_profile(page(6000, 60, [(200, 2600), (3400, 5800)]))
-    free, capped = P.content_bands(p, n=3), P.content_bands(p, n=3, max_span=1600)
-    assert max(b - a for a, b, *_ in free) > 1600 >= max(b - a for a, b, *_ in capped) and len(capped) > len(free)
+def test_cuts_follow_the_mass(spark):
+    p = P.edge_profile(page(1200, 40, [(100, 200), (700, 1150)]))
+    ((cut, _),) = cuts_of(spark, p, 2)
+    assert cut > 600 and abs(p[:cut].sum() - p[cut:].sum()) < 0.25 * p.sum()
+    ((cut, snapped),) = cuts_of(spark, P.edge_profile(page(1200, 40, [(0, 560), (640, 1200)])), 2)
+    assert 545 <= cut <= 650 and snapped
+    assert not all(ok for _, ok in cuts_of(spark, P.edge_profile(page(1200, 40, [(0, 1200)])), 3))
+    assert P.edge_profile(np.full((50, 60), 90)).max() <= P.CLEAN
 
 
-def test_sweeps():
-    assert P.sweep_bands(np.ones(1120), 1990, []) == [(0, 1120)]
-    bands = P.sweep_bands(np.ones(6554), 720, [])
-    assert bands[-1][1] == 6554 and all(a[1] - b[0] == P.OVERLAP for a, b in zip(bands, bands[1:], strict=False))
-    cut = bands[0][1]
-    assert P.sweep_bands(np.ones(6554), 720, [(cut - 20, cut + 30)])[0][1] == cut - 20
-    assert P.sweep_bands(np.ones(6554), 720, [(cut - 400, cut + 400)])[0][1] == cut
+def test_even_cuts_without_mass(spark):
+    assert [c for c, _ in cuts_of(spark, np.zeros(100), 4)] == [25, 50, 75]
 
 
-def _by_walking(length, span, overlap):
-    if length <= span:
-        return 1
-    n = y = 0
-    while y < length:
-        end = min(y + span, length)
-        if length - end <= overlap:
-            end = length
-        n += 1
-        if end >= length:
-            break
-        y = end - overlap
-    return n
+def test_spans(spark):
+    p = P.edge_profile(page(900, 60, [(20, 260), (330, 570), (640, 860), (880, 890)]))
+    got = B.content_spans(table(spark, p, P.edge_profile(page(900, 60, [(20, 800)]))), ["p"]).collect()
+    assert sorted(r["p"] for r in got) == [0, 0, 0, 1]
+    assert abs(sum(r["share"] for r in got if r["p"] == 0) - 1) < 1e-9
 
 
-@given(st.integers(1, 20000), st.integers(901, 3000))
-def test_band_count(length, span):
-    assert P.band_count(length, span) == _by_walking(length, span, P.OVERLAP)
+def test_span_cap(spark):
+    rows = table(spark, P.edge_profile(page(6000, 12, [(200, 2600), (3400, 5800)])))
+    long = lambda bands: max(r["stop"] - r["offset"] for r in bands)
+    free, capped = (B.content_bands(rows, ["p"], 3, max_span=m).collect() for m in (None, 1600))
+    assert long(free) > 1600 >= long(capped) and len(capped) > len(free)
+    hard = B.content_bands(rows, ["p"], 3, max_span=250).collect()  # overlaps alone are longer than that
+    assert long(hard) > 250 and sorted(r["offset"] for r in hard)[0] == 0
 
 
-@given(st.lists(st.sampled_from([0, 0, 1, 5]), min_size=5, max_size=200), st.integers(1, 6))
-def test_bands_cover(mass, n):
-    bands = P.content_bands(np.array(mass, float), n=n, overlap=3, window=4)
-    assert bands[0][0] == 0 and bands[-1][1] == len(mass)
-    assert all(b[0] <= a[1] for a, b in zip(bands, bands[1:], strict=False))
+@pytest.mark.parametrize("n", [1, 2, 5])
+def test_bands_cover(spark, n):
+    rng = np.random.default_rng(n)
+    profiles = [np.where(rng.random(150) < 0.4, 0, rng.integers(0, 6, 150)) for _ in range(5)]
+    got = B.content_bands(table(spark, *profiles), ["p"], n, overlap=4, window=5).orderBy("p", "band").collect()
+    for k, p in enumerate(profiles):
+        own = [r for r in got if r["p"] == k]
+        assert own[0]["offset"] == 0 and own[-1]["stop"] == 150
+        assert all(b["offset"] == a["stop"] - 4 for a, b in zip(own, own[1:], strict=False))
+        assert abs(sum(r["mass"] for r in own) - p.sum()) < 1e-9
 
 
-def test_tables_agree_with_kernels(spark):
+def test_tables_agree_with_scanning(spark):
     rng = np.random.default_rng(5)
-    masses = [np.where(np.arange(300) % 90 < 30, 0, rng.integers(0, 5, 300)) for _ in range(4)]
-    rows = spark.createDataFrame([(k, i, int(v)) for k, m in enumerate(masses) for i, v in enumerate(m)], "p int, pos long, mass long")
-    targets = B.equal_mass_targets(rows, ["p"], 5)
-    snapped = B.snap_to_clean(targets, rows, ["p"], 20)
-    cuts = {r["p"]: [c["cut"] for c in r["cuts"]] for r in B.plan_cuts(snapped, ["p"]).collect()}
-    spans = B.content_spans(rows, ["p"]).groupBy("p").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("s")).collect()
-    for k, m in enumerate(masses):
-        assert cuts[k] == P.plan_cuts(m.astype(float), 5, 20)[0]
-    for r in spans:
-        assert [tuple(x) for x in r["s"]] == [(a, b) for a, b, _ in P.content_spans(masses[r["p"]].astype(float))]
+    profiles = [np.where(np.arange(300) % 90 < 30, 0, rng.integers(0, 5, 300)) for _ in range(3)]
+    rows = table(spark, *profiles)
+    snapped = B.snap_to_clean(B.equal_mass_targets(rows, ["p"], 5), rows, ["p"], 20).collect()
+    for r in snapped:
+        p = profiles[r["p"]]
+        target = next(i for i in range(300) if p[: i + 1].sum() * 5 >= p.sum() * r["k"])
+        clean = [i for i in range(max(1, target - 20), target + 21) if i < 300 and p[i] == 0]
+        assert r["target"] == target and r["snapped"] == bool(clean)
+        assert r["pos"] == (min(clean, key=lambda i: (abs(i - target), i)) if clean else target)
+
+
+@pytest.mark.parametrize("overlap", [50, 200])
+def test_band_count(spark, overlap):
+    rows = spark.createDataFrame([(length, span) for length in range(1, 9000, 97) for span in (901, 1440, 3000)], "length long, span long")
+    for r in rows.select("length", "span", B.band_count(F.col("length"), F.col("span"), overlap).alias("n")).collect():
+        # the least number of bands that reach to within an overlap of the end
+        reach = lambda n: r["span"] + (n - 1) * (r["span"] - overlap)
+        assert r["n"] == next(n for n in range(1, 99) if reach(n) >= r["length"] - (overlap if r["length"] > r["span"] else 0))
+
+
+def test_sweeps(spark):
+    rows = table(spark, np.ones(1120), np.ones(6554), np.ones(6554), np.ones(6554))
+    widths = spark.createDataFrame([(0, 1990), (1, 720), (2, 720), (3, 720)], "p long, width long")
+    none = spark.createDataFrame([], "p long, top long, bottom long")
+    plain = B.sweep_bands(rows, widths, none, ["p"]).orderBy("p", "band").collect()
+    assert [(r["offset"], r["stop"]) for r in plain if r["p"] == 0] == [(0, 1120)]
+    own = [r for r in plain if r["p"] == 1]
+    assert own[-1]["stop"] == 6554 and len(own) > 2 and all(a["stop"] - b["offset"] == P.OVERLAP for a, b in zip(own, own[1:], strict=False))
+    cut = own[0]["stop"]
+    walls = spark.createDataFrame([(2, cut - 20, cut + 30), (3, cut - 400, cut + 400)], "p long, top long, bottom long")
+    first = {r["p"]: r["stop"] for r in B.sweep_bands(rows, widths, walls, ["p"]).where("band = 0").collect()}
+    assert first == {0: 1120, 1: cut, 2: cut - 20, 3: cut}
+
+
+def test_tiles(spark):
+    got = B.tiles(table(spark, np.ones(4000), np.ones(4500)), ["p"]).orderBy("p", "band").collect()
+    assert [(r["offset"], r["stop"]) for r in got if r["p"] == 0] == [(0, 4000)]
+    assert all(r["stop"] - r["offset"] <= P.TILE for r in got if r["p"] == 1)
 
 
 def test_pictures_to_profiles(spark):
-    rows = spark.createDataFrame([(1, page(40, 30, [(5, 15)]).tolist())], "page long, luma array<array<int>>")
-    got = B.edge_profiles(rows, "page").first()["profile"]
-    assert np.allclose(got, P.edge_profile(page(40, 30, [(5, 15)])))
+    luma = page(40, 30, [(5, 15)])
+    got = B.edge_profiles(spark.createDataFrame([(1, luma.tolist())], "page long, luma array<array<int>>"), "page").first()["profile"]
+    assert np.allclose(got, P.edge_profile(luma)) and got[3] == 0 < got[4] and got[30] == 0
