@@ -8,13 +8,13 @@ from pagelattice.operators import readings as R
 from pagelattice.operators import triage as G
 
 RELATIONS = [
-    ("경품안내 총777명추첨 N pay 포인트 쿠폰 네이버페이 20,000원", "총 777명 추첨", "tail_cut"),
-    ("상품명 NH올원e적금", "NH올원e적금", "head_drop"),
+    ("경품안내 총777명추첨 N pay 포인트 쿠폰 가상페이 20,000원", "총 777명 추첨", "tail_cut"),
+    ("상품명 AB두루e적금", "AB두루e적금", "head_drop"),
     ("가입기간 12 개월", "12 개월", "head_drop"),
-    ("[NH대박7적금]가입고객", "「NH대박7적금」 가입고객", "same"),
+    ("[AB큰복7적금]가입고객", "「AB큰복7적금」 가입고객", "same"),
     ("최대 연3.6%(기본3.1%)", "최대 연 3.6% (기본 3.1%)", "same"),
     ("가" * 100 + "나", "가" * 100, "same"),
-    ("최고연", "최고 연 7.1% 인생 대박적금이 온다", "expanded"),
+    ("최고연", "최고 연 7.1% 인생 큰복적금이 온다", "expanded"),
     ("", "아무 글", "expanded"),
     ("아무 글", "", "tail_cut"),
     (None, None, "same"),
@@ -23,7 +23,7 @@ RELATIONS = [
     ("10.1%p 조건", "① 0.1%p 조건", "diverged"),
     ("참여방법 1", "참여 방법 ①", "same"),
     ("우리아이 계좌개설", "① 우리아이 계좌개설", "same"),
-    ("농협은행이 777명에게 쓴다!", "농협은행이 777명에게 쏜다!", "diverged"),
+    ("마을은행이 777명에게 쓴다!", "마을은행이 777명에게 쏜다!", "diverged"),
     ("연 3% 적용", "연 5% 적용", "diverged"),
 ]
 
@@ -36,8 +36,8 @@ def test_relations(spark):
 
 
 def test_norm(spark):
-    row = spark.createDataFrame([("0.1%p : 「NH올원e통장」", "⑩ ⑴ ⓽ ①")], "a string, b string").select(T.norm(F.col("a")), T.norm(F.col("b"))).first()
-    assert tuple(row) == ("01pnh올원e통장", "10191")
+    row = spark.createDataFrame([("0.1%p : 「AB두루e통장」", "⑩ ⑴ ⓽ ①")], "a string, b string").select(T.norm(F.col("a")), T.norm(F.col("b"))).first()
+    assert tuple(row) == ("01pab두루e통장", "10191")
 
 
 @settings(max_examples=1, deadline=None)
