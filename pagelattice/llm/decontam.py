@@ -40,6 +40,8 @@ BUCKETS = 1 << 18
 #: An item's commonest words, up to this share of the cosine asked for, have no postings; the other words
 #: must give this share of it.
 COMMON, RARE = 0.95, 0.5
+#: Parts that the bounded sample is dealt out in; text bytes that a search holds at a time.
+SAMPLE_PARTS, SEARCH_BYTES = 12, 2 << 20
 #: Cells of a window.
 CELLS = 7
 _EDGE = string.punctuation + "…«»„“”‘’¿¡"
@@ -327,7 +329,8 @@ def matches(
     counts, n_docs = document_counts(rows)
     picked = rows.where("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
     short = rows.where("length(text) <= 20000").join(F.broadcast(picked.distinct()), "doc_id", "left_semi")  # sample_docs rows at most
-    sample = materialize(spark, short.select("text").repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))), "passages")
+    # the sample is of one size however large the input, and each of its parts sends a matrix to the driver
+    sample = materialize(spark, short.select("text").repartition(SAMPLE_PARTS), "passages")
     parts, items = [], []
     idf_rows = queries.toLocalIterator()  # the query set, a block at a time
 
@@ -339,7 +342,7 @@ def matches(
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             block = shared.value
-            for part in chunks(batches):
+            for part in chunks(batches, max_bytes=SEARCH_BYTES):
                 found = search(block, part.column(1), min_cosine, paraphrase, verbatim, answer_share)
                 if found:
                     ids = part.column(0).to_pylist()

@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, large_text
+from .common import chunks, give_back, large_text
 
 SPACE = "\u2581"
 #: Piece types, model types and defaults of the public model format (fixed values).
@@ -259,6 +259,12 @@ class Machine:
             got = self.words[word] = self._solve(word)
         return got
 
+    def forget(self) -> None:
+        """Drop the memos at the end of a task: workers live on and do other work."""
+        self.words.clear()
+        self.follows.clear()
+        give_back()
+
     def normalise(self, texts: pa.Array) -> pa.Array:
         """N: texts as symbols."""
         if self.remove_extra:
@@ -340,6 +346,7 @@ def _encode(batches: Iterator[pa.RecordBatch], shared, with_ids: bool) -> Iterat
         count = pc.list_value_length(lists).cast(pa.int32())
         cols = [part.column(0), count, exact] + ([lists.cast(pa.list_(pa.int32()))] if with_ids else [])
         yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_pieces", "exact", "ids"][: len(cols)])
+    m.forget()
 
 
 def encode_documents(docs: DataFrame, model: bytes, with_ids: bool = True) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, drop_codes, words_of
+from .common import chunks, drop_codes, give_back, words_of
 
 CUT = 0.7
 ROWS = 1 << 16
@@ -262,12 +262,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_positive: int, max_neg
     return parts[0].unionAll(parts[1]).toPandas()
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 2500, max_negative: int = 4500, max_chars: int = 8_000, seed: int = 7) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 2000, max_negative: int = 4000, max_chars: int = 6_000, seed: int = 7) -> Model:
     rows = training_rows(docs, labels, max_positive, max_negative, max_chars)
     rows = rows.assign(text=rows["text"].fillna("")).sort_values(["doc_id", "text"], kind="stable")
     texts, marks = rows["text"].tolist(), rows["toxic"].to_numpy()
     del rows
-    return train(texts, marks, seed)
+    model = train(texts, marks, seed)
+    del texts
+    give_back()
+    return model
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
