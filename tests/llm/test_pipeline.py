@@ -87,3 +87,45 @@ def test_stages_keep_null_ids_and_empty_tables(spark, folder):
     for _, f in corpus_pipeline.STAGES:
         assert f(spark, none, folder).count() == 0
     assert docs.where(F.col("doc_id").isNull()).count() == 1
+
+
+def test_near_copies_stage_against_brute_force(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    rows, k = [], 0
+    for group in range(60):
+        base = rng.choices(vocabulary, k=rng.randrange(30, 200))
+        for change in range(4):  # similarities on both sides of 0.8
+            text = base[:]
+            for _ in range(change * rng.randrange(0, 3)):
+                text[rng.randrange(len(text))] = "x"
+            rows.append((k, " ".join(text)))
+            k += 1
+    base = rng.choices(vocabulary, k=100)
+    for _ in range(40):  # a large group whose members are all a little different
+        text = base[:]
+        text[rng.randrange(100)] = rng.choice(vocabulary)
+        rows.append((k := k + 1, " ".join(text)))
+    rows += [(9001, "Two words"), (9002, "two  WORDS"), (9003, None), (9004, ""), (9005, "a b c d e"), (9006, "a b c d e f"), (None, rows[0][1])]
+
+    def shingled(text):
+        words = (text or "").lower().split()
+        return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+    own = {d: shingled(t) for d, t in rows if d is not None}
+    pairs = [(a, b) for a in own for b in own if a < b and len(own[a] & own[b]) >= 0.8 * len(own[a] | own[b])]
+    assert any(own[a] != own[b] and len(own[a] & own[b]) < 0.85 * len(own[a] | own[b]) for a, b in pairs)
+    root = sets_of(own, pairs)
+    docs = spark.createDataFrame([(d, t, "en", "s", None) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [r["doc_id"] for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, "").collect()]
+    assert set(kept) == {d for d in own if root[d] == d} | {None} and len(kept) == len(set(kept))
+
+
+def test_near_copies_in_blocks(spark, monkeypatch):
+    from pagelattice.llm import near_copies
+
+    words = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join(words[:k] + ["x"] + words[k + 1 :])) for k in range(60)]
+    monkeypatch.setattr(near_copies, "BLOCK", 7)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["component_id"] for r in near_copies.near_copies(spark, docs).collect()} == {0}
