@@ -10,7 +10,8 @@ told apart by its function words in the text itself, gets the threshold that par
 best, and scores are shifted so that this threshold stands at ``CUT``.
 
 Bounds: the model is fit on at most ``max_positive`` + ``max_negative`` labelled texts of at most
-``max_chars`` characters, taken in the order of a hash of doc_id; scoring covers every whole text.
+``max_chars`` characters, taken in the order of a hash of doc_id; executors encode them, and the driver holds
+four bytes a word. Scoring covers every whole text.
 
 Defined cases: null text counts as empty and gets the score of an empty text; a null label or doc_id
 trains nothing; several labels of a doc_id count as the largest; without labelled rows of both kinds every
@@ -25,12 +26,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, drop_codes, give_back, words_of
+from .common import chunks, drop_codes, give_back, materialize, words_of
 
 CUT = 0.7
 ROWS = 1 << 16
@@ -148,6 +148,15 @@ def _wilson(pos: np.ndarray, n: np.ndarray, z: float) -> np.ndarray:
 
 
 def train(texts: list[str], labels: np.ndarray, seed: int = 7, epochs: int = 6, batch: int = 64, rate: float = 0.01, z: float = 3.0) -> Model:
+    """A model of texts at hand; ``fit`` trains one from tables."""
+    return train_encoded(*encode(pa.array(texts, pa.string())), labels, seed, epochs, batch, rate, z)
+
+
+def train_encoded(
+    codes: np.ndarray, ends: np.ndarray, rows: np.ndarray, spoken: np.ndarray, labels: np.ndarray,
+    seed: int = 7, epochs: int = 6, batch: int = 64, rate: float = 0.01, z: float = 3.0,
+) -> Model:
+    """Train on texts as ``encode`` returns them."""
     rng = np.random.default_rng(seed)
     y = np.asarray(labels, np.float32)
     tables = np.zeros((4, ROWS, DIMS), np.float32)
@@ -157,17 +166,21 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7, epochs: int = 6,
     model = Model(tables, filters, bias, out, -2.0, np.zeros(len(LANGS), np.float32), trained=bool(len(y)) and 0 < y.sum() < len(y))
     if not model.trained:
         return model
-    codes, ends, rows, spoken = encode(pa.array(texts, pa.string()))
     starts = np.concatenate([[0], ends[:-1]])
     prior = float(y.mean())
     # evidence: in how many texts, and in how many toxic ones, a row is met; languages apart, for each has its own words
-    doc = np.repeat(np.arange(len(ends)), ends - starts)
-    del texts
+    met_in = np.zeros((2, 4, ROWS))
+    lo = 0
+    while lo < len(ends):  # some texts at a time
+        hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + (1 << 17), side="right")))
+        doc = np.repeat(np.arange(lo, hi), ends[lo:hi] - starts[lo:hi])
+        for t in range(4):
+            met = np.unique(doc * ROWS + rows[codes[starts[lo] : ends[hi - 1]], t])
+            met_in[0, t] += np.bincount(met % ROWS, minlength=ROWS)
+            met_in[1, t] += np.bincount(met % ROWS, weights=y[met // ROWS], minlength=ROWS)
+        lo = hi
     for t in range(4):
-        met = np.sort(doc * ROWS + rows[codes, t])
-        met = met[np.concatenate([[True], met[1:] != met[:-1]])] if len(met) else met
-        d, r = met // ROWS, met % ROWS
-        seen, toxic = np.bincount(r, minlength=ROWS), np.bincount(r, weights=y[d], minlength=ROWS)
+        seen, toxic = met_in[:, t]
         low = np.clip(_wilson(toxic, seen, z), 1e-6, 1 - 1e-6)
         tables[t, :, 0] = np.maximum(0, np.log(low / (1 - low)) - np.log(prior / (1 - prior)))
         high = np.clip(1 - _wilson(seen - toxic, seen, z), 1e-6, 1 - 1e-6)
@@ -248,7 +261,7 @@ def _threshold(raw: np.ndarray, y: np.ndarray) -> float:
     return float((edges[k] + edges[k + 1]) / 2)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_positive: int, max_negative: int, max_chars: int) -> pd.DataFrame:
+def training_rows(docs: DataFrame, labels: DataFrame, max_positive: int, max_negative: int, max_chars: int) -> DataFrame:
     """Labelled texts that may be learnt from: crc32(doc_id) mod 3 is not 1; a bounded number, by hash order."""
     own = labels.where("doc_id is not null and toxic is not null and crc32(cast(doc_id as string)) % 3 <> 1")
     own = own.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
@@ -259,16 +272,37 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_positive: int, max_neg
     texts = texts.where(f"doc_id is not null and length(coalesce(text, '')) <= {max_chars}")
     rows = texts.join(F.broadcast(ids[0].unionAll(ids[1])), "doc_id")  # at most 2 * (max_positive + max_negative) rows
     parts = [rows.where(f"toxic = {k}").orderBy(order, "doc_id", "text").limit(n) for k, n in ((1, max_positive), (0, max_negative))]
-    return parts[0].unionAll(parts[1]).toPandas()
-
-
-def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 2000, max_negative: int = 4000, max_chars: int = 6_000, seed: int = 7) -> Model:
-    rows = training_rows(docs, labels, max_positive, max_negative, max_chars)
-    rows = rows.assign(text=rows["text"].fillna("")).sort_values(["doc_id", "text"], kind="stable")
-    texts, marks = rows["text"].tolist(), rows["toxic"].to_numpy()
-    del rows
-    model = train(texts, marks, seed)
-    del texts
+    return parts[0].unionAll(parts[1])
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, toxic, text) to the texts' language and the four table rows of each word, eight bytes a word."""
+    for part in chunks(batches):
+        codes, ends, rows, spoken = encode(part.column(2))
+        words = np.ascontiguousarray(rows.astype("<u2")).view("<u8").ravel()
+        cut = [0, *ends.tolist()]
+        own = [words[codes[a:b]].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        names = ["doc_id", "toxic", "spoken", "words", "tie"]
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(spoken, pa.int32()), pa.array(own, pa.binary()), part.column(3)], names)
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_negative: int = 5000, max_chars: int = 12_000, seed: int = 7) -> Model:
+    rows = training_rows(docs, labels, max_positive, max_negative, max_chars).select("doc_id", "toxic", "text", F.xxhash64("text").alias("tie"))
+    packed = rows.mapInArrow(_packed, "doc_id bigint, toxic int, spoken int, words binary, tie bigint")
+    packed = materialize(docs.sparkSession, packed, "training")
+    held = [(r["doc_id"], r["tie"], r["toxic"], r["spoken"], np.frombuffer(r["words"], "<u8")) for r in packed.toLocalIterator()]  # a partition at a time
+    held.sort(key=lambda r: r[:3])
+    vocabulary = np.zeros(0, np.uint64)
+    for lo in range(0, len(held), 256):
+        vocabulary = np.union1d(vocabulary, np.concatenate([r[4] for r in held[lo : lo + 256]]))
+    ends = np.cumsum([len(r[4]) for r in held], dtype=np.int64)
+    marks, spoken = np.array([r[2] for r in held], np.int64), np.array([r[3] for r in held], np.int64)
+    codes = np.empty(int(ends[-1]) if len(ends) else 0, np.int32)
+    for k in range(len(held)):
+        codes[ends[k] - len(held[k][4]) : ends[k]] = np.searchsorted(vocabulary, held[k][4])
+        held[k] = None
+    of_word = vocabulary.astype("<u8").view("<u2").reshape(-1, 4).astype(np.int64)
+    model = train_encoded(codes, ends, of_word, spoken, marks, seed)
     give_back()
     return model
 

@@ -144,6 +144,18 @@ def test_held_out_labels_arent_learnt(spark):
 # --- decontamination
 
 
+
+def test_toxicity_learns_from_long_texts(spark):
+    fill = [" ".join(f"w{(k * 7 + j) % 400}" for j in range(1800)) for k in range(60)]  # over 8,000 characters each
+    rows = [(k, ("vile " * 40 if k % 2 else "fine " * 40) + fill[k]) for k in range(60)]
+    assert all(8000 < len(t) < 12_000 for _, t in rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int"))
+    assert model.trained
+    told = {r["doc_id"]: r["predicted"] for r in toxicity.score(spark, docs, model).where("held_out").collect()}
+    assert told == {k: k % 2 for k in told} and set(told.values()) == {0, 1}
+
+
 def plain_lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
