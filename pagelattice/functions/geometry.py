@@ -57,9 +57,9 @@ def vertical_gap(a: Column, b: Column) -> Column:
     return F.greatest(F.lit(0), a["y0"] - b["y1"], b["y0"] - a["y1"])
 
 
-def column_overlap(a: Column, b: Column) -> Column:
-    """Shared columns over the narrower width."""
-    return overlap_x(a, b) / F.greatest(F.lit(1), F.least(width(a), width(b)))
+def column_overlap(line: Column, region: Column) -> Column:
+    """Share of the line's width that lies within the region's columns."""
+    return overlap_x(line, region) / F.greatest(F.lit(1), width(line))
 
 
 def row_overlap(a: Column, b: Column) -> Column:
@@ -77,13 +77,26 @@ def shifted(b: Column, dx: Column, dy: Column) -> Column:
 
 
 def from_points(numbers: Column, canvas_w: Column, canvas_h: Column) -> Column:
-    """Box around a flat list x, y, x, y ... (a box, or the corners of a polygon), clamped to the canvas; null if degenerate."""
+    """Box of a flat list, clamped to the canvas: four numbers are the box itself, eight are the corners of a
+    quadrilateral; null for any other length, and where right isn't beyond left or bottom beyond top."""
+    corner = lambda k: F.get(numbers, F.lit(k))
     xs = F.filter(numbers, lambda v, k: k % 2 == 0)
     ys = F.filter(numbers, lambda v, k: k % 2 == 1)
+    four = F.size(numbers) == 4
+    edges = [F.when(four, corner(k)).otherwise(f(v)) for k, (f, v) in enumerate(((F.array_min, xs), (F.array_min, ys), (F.array_max, xs), (F.array_max, ys)))]
+    return _on_canvas(edges, F.size(numbers).isin(4, 8), canvas_w, canvas_h)
+
+
+def around(points: Column, canvas_w: Column, canvas_h: Column) -> Column:
+    """Box around a list of points [[x, y], ...], clamped to the canvas; null if degenerate."""
+    xs, ys = F.transform(points, lambda p: F.get(p, F.lit(0))), F.transform(points, lambda p: F.get(p, F.lit(1)))
+    return _on_canvas([F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)], F.size(points) > 0, canvas_w, canvas_h)
+
+
+def _on_canvas(edges: list[Column], known: Column, canvas_w: Column, canvas_h: Column) -> Column:
     clamp = lambda v, top: F.greatest(F.lit(0), F.least(v.cast("int"), top))
-    b = box(clamp(F.array_min(xs), canvas_w), clamp(F.array_min(ys), canvas_h), clamp(F.array_max(xs), canvas_w), clamp(F.array_max(ys), canvas_h))
-    good = (F.size(numbers) >= 4) & (F.size(numbers) % 2 == 0) & (b["x1"] > b["x0"]) & (b["y1"] > b["y0"])
-    return F.when(good, b)
+    b = box(clamp(edges[0], canvas_w), clamp(edges[1], canvas_h), clamp(edges[2], canvas_w), clamp(edges[3], canvas_h))
+    return F.when(known & (b["x1"] > b["x0"]) & (b["y1"] > b["y0"]), b)
 
 
 def percent_box(b: Column, canvas_w: Column, canvas_h: Column) -> Column:

@@ -16,13 +16,18 @@ NUMBER_SIGNS = ((0x2460, 20), (0x2474, 20), (0x24F5, 10))
 #: Share of a reading that may be missing or added before it counts (fixed values).
 TOLERANCE, MATCH_SHARE = 0.15, 0.8
 
+#: What relations are called (fixed values); the percentage stands between the two parts.
+CUT_LABEL = ("뒷부분 잘림(", "% 소실) — 정본이 더 완전")
+LABELS = {"head_drop": "앞 항목명 생략 — 값 자체는 온전", "expanded": "정본보다 많이 읽음 — 누락 회수 가능", "diverged": "정본과 내용이 다름 — 원본 확인 필요", "same": "표기 차이"}
+
 #: Patterns of the normal forms, figures and headings (fixed values).
 STABLE_DROPS = r"[0-9①②③④⑤⑥⑦⑧⑨⑩\s%p.,:;·「」『』\"'`~()\[\]{}\-—]+"
 COARSE_DROPS = r"[\s,.~:：%()\[\]{}'\"`「」『』<>·※*!?|#-]"
 EVAL_DROPS = r"[\s,~:：%()\[\]{}'\"`´『』「」〈〉<>【】·※*ㆍ■□|“”‘’]"
 EVAL_PICTURES = r"[\x{10000}-\x{10FFFF}☀-➿\x{FE0F}\x{200D}\x{FFFD}]"
-FIGURE_WITH_UNIT = r"([0-9][0-9,\.]*\s*(?:%p|%|원|명|팀|개월|좌)?)"
-FIGURE = r"([0-9][0-9,]*(?:\.[0-9]+)?\s*(?:%p|%|억원|만원|천원|원|명|팀|좌|개월|년|일|회|건))"
+# digits of any script count in figures, as text recognition also gives full-width ones
+FIGURE_WITH_UNIT = r"(\p{Nd}[\p{Nd},\.]*\s*(?:%p|%|원|명|팀|개월|좌)?)"
+FIGURE = r"(\p{Nd}[\p{Nd},]*(?:\.\p{Nd}+)?\s*(?:%p|%|억원|만원|천원|원|명|팀|좌|개월|년|일|회|건))"
 HEADING = r"^\s*(?:제?\s?[0-9]+\s?[.조항편장절관)]|[ⅠⅡⅢⅣⅤⅥⅦⅧⅨⅩ]+\s?\.?|[가-힣]\.|\([0-9]+\)|[0-9]+\)|[□■◎○●◇◆▷▶☞]|【[^】]*】)"
 
 
@@ -126,18 +131,14 @@ def gated(shape: Column, ocr: Column, cand: Column) -> Column:
 
 
 def relation_label(r: Column) -> Column:
-    """A relation in words, shares as whole percents."""
-    percent = lambda c: F.floor(c * 100).cast("string")
-    return (
-        F.when(r["kind"] == "tail_cut", F.concat(F.lit("tail cut "), percent(r["lost_tail"]), F.lit("%")))
-        .when(r["kind"] == "head_drop", F.concat(F.lit("head drop "), percent(r["lost_head"]), F.lit("%")))
-        .when(r["kind"] == "expanded", F.concat(F.lit("expanded "), percent(r["gained"]), F.lit("%")))
-        .otherwise(r["kind"])
-    )
+    """A relation in words; what a cut lost as a whole percentage, rounded half to even."""
+    cut = F.concat(F.lit(CUT_LABEL[0]), F.bround(r["lost_tail"] * 100, 0).cast("int").cast("string"), F.lit(CUT_LABEL[1]))
+    return F.when(r["kind"] == "tail_cut", cut).otherwise(F.try_element_at(F.create_map(*[F.lit(x) for kv in LABELS.items() for x in kv]), r["kind"]))
 
 
 def is_truncated(r: Column) -> Column:
-    return r["kind"].isin("tail_cut", "head_drop")
+    """Whether the candidate lost the end of the reading; a dropped head is no truncation."""
+    return r["kind"] == "tail_cut"
 
 
 def token_norm(x: Column) -> Column:
@@ -198,9 +199,14 @@ def numeric_core(x: Column) -> Column:
     return F.array_join(F.transform(found, lambda n: F.regexp_replace(F.replace(n, F.lit(","), F.lit("")), r"\.+$", "")), "|")
 
 
+def raw_figures(x: Column) -> Column:
+    """Amounts, counts, periods and rates of a text as they stand there, in order."""
+    return F.regexp_extract_all(x, F.lit(FIGURE), F.lit(1))
+
+
 def figures(x: Column) -> Column:
-    """Amounts, counts, periods and rates of a text, white space dropped, in order."""
-    return F.transform(F.regexp_extract_all(x, F.lit(FIGURE), F.lit(1)), lambda n: squash(n))
+    """Figures of a text, white space dropped, in order."""
+    return F.transform(raw_figures(x), lambda n: squash(n))
 
 
 def normal_ratio(x: Column) -> Column:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import time
+import zlib
 from collections.abc import Callable
 
 import pandas as pd
@@ -67,6 +68,38 @@ def echo_reader(texts: list[str]) -> list[str]:
     return [" ".join((t or "").split()) for t in texts]
 
 
+def stand_in_reader(texts: list[str]) -> list[str]:
+    """Deterministic stand-in for a reader that errs: by a checksum of the text it reads all of it, loses the end,
+    adds words, or mistakes the figures."""
+    out = []
+    for text in echo_reader(texts):
+        error = zlib.crc32(text.encode()) % 4
+        if error == 1:
+            text = text[: 2 * len(text) // 3]
+        elif error == 2:
+            text += " and a line more"
+        elif error == 3:
+            text = text.translate(_MISREAD)
+        out.append(text)
+    return out
+
+
+_MISREAD = str.maketrans("0123456789", "1234567890")
+
+
+def length_reader(texts: list[str]) -> list[str]:
+    """Deterministic stand-in whose answer is JSON with the request's length."""
+    return [json.dumps({"n": len(t or "")}) for t in texts]
+
+
+def keep_answers(cache: DataFrame, answered: DataFrame) -> DataFrame:
+    """The cache with new answers (key, answer[, error]): valid JSON alone is kept, and of several answers to one
+    key the cached one, else the least."""
+    good = answered.where(F.try_parse_json("answer").isNotNull()).select("key", "answer", F.lit(1).alias("age"))
+    both = cache.where(F.try_parse_json("answer").isNotNull()).select("key", "answer", F.lit(0).alias("age")).unionByName(good)
+    return both.groupBy("key").agg(F.min_by("answer", F.struct("age", "answer")).alias("answer"))
+
+
 def layout_rows(answers: DataFrame) -> DataFrame:
     """Lines of layout answers: three parallel arrays zipped, boxes that are no boxes dropped.
 

@@ -29,17 +29,20 @@ def by_pages(rows: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
     other, so a task holds the pages of one Arrow batch and no call is made for each page."""
 
     def stream(batches):
-        held = None
+        held: list = []  # parts of the page that may go on in the next batch
         for batch in batches:
-            batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
             if batch.empty:
                 continue
-            last = (batch[keys] == batch[keys].iloc[-1]).all(axis=1)
-            held, whole = batch[last], batch[~last]
-            if len(whole):
-                yield run(whole.reset_index(drop=True))
-        if held is not None and len(held):
-            yield run(held.reset_index(drop=True))
+            end = batch[keys].iloc[-1]
+            last = ((batch[keys] == end) | (batch[keys].isna() & end.isna())).all(axis=1)
+            goes_on = held and held[-1][keys].iloc[-1].equals(end)
+            if last.all() and (goes_on or not held):
+                held.append(batch)
+                continue
+            yield run(pd.concat([*held, batch[~last]], ignore_index=True))
+            held = [batch[last]]
+        if held:
+            yield run(pd.concat(held, ignore_index=True))
 
     return rows.repartition(*keys).sortWithinPartitions(*keys, "ord").mapInPandas(stream, schema)
 
@@ -93,32 +96,53 @@ def missed_blocks(lines: DataFrame, found: DataFrame, keys: list[str]) -> DataFr
     return counted.where(f"n >= {MIN_LINES} and orphans >= {ORPHAN_SHARE} * n").select(*keys, "cluster", "orphans", F.bround(1 - F.col("orphans") / F.col("n"), 3).alias("covered"))
 
 
-def card_votes(observations: DataFrame, regions: DataFrame, keys: list[str], n_observations: int, schema: str) -> DataFrame:
-    """Card numbers from several observations (keys, obs, block, card_no): adds ``card`` for each region.
+def key_schema(rows: DataFrame, keys: list[str]) -> str:
+    """The keys' part of a schema string."""
+    kinds = dict(rows.dtypes)
+    return ", ".join(f"`{k}` {kinds[k]}" for k in keys)
+
+
+def card_votes(observations: DataFrame, regions: DataFrame, keys: list[str], n_observations: int) -> DataFrame:
+    """Card numbers from several observations (keys, obs, block, card_no): (keys, block, card) for each region.
 
     Regions that most observations put in card 0 are common (0). Two others share a card if most put them
     into the same one; what hangs together through others is one card, numbered by top and left. Nothing
     comes out where half of the observations or more saw no cards, or where less than two cards remain.
     """
-    seen = observations.groupBy(*keys).agg(F.countDistinct("obs").alias("k")).where(F.col("k") > n_observations // 2)
-    votes = observations.join(seen, keys)
-    common = votes.groupBy(*keys, "block", "k").agg(F.count_if(F.col("card_no") == 0).alias("zero")).where("zero * 2 > k").select(*keys, "block")
-    members = regions.join(seen, keys).join(common, [*keys, "block"], "left_anti")
-    mine = votes.where("card_no > 0").join(common, [*keys, "block"], "left_anti").select(*keys, "obs", "card_no", "block", "k")
-    pairs = mine.alias("a").join(mine.alias("b"), [*keys, "obs", "card_no"]).where("a.block < b.block")
-    edges = pairs.groupBy(*keys, F.col("a.block").alias("a"), F.col("b.block").alias("b"), F.col("a.k").alias("k")).agg(F.count("*").alias("same")).where("same * 2 > k").select(*keys, "a", "b").toDF(*keys, "a", "b")
-
-    def run(key: tuple, nodes: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
-        ids = np.sort(nodes.block.to_numpy())
-        root = _roots(len(ids), np.searchsorted(ids, links.a.to_numpy()), np.searchsorted(ids, links.b.to_numpy())) if len(ids) else ids
-        return pd.DataFrame({**{k: [v] * len(ids) for k, v in zip(keys, key, strict=True)}, "block": ids, "component": ids[root] if len(ids) else ids})
-
-    parts = members.select(*keys, "block").toDF(*keys, "block").groupBy(*keys).cogroup(edges.groupBy(*keys)).applyInPandas(run, schema)
-    placed = parts.join(regions, [*keys, "block"]).withColumn("top", F.min("y0").over(Window.partitionBy(*keys, "component"))).withColumn("left", F.min("x0").over(Window.partitionBy(*keys, "component")))
-    ranked = placed.withColumn("card", F.dense_rank().over(Window.partitionBy(*keys).orderBy("top", "left", "component")))
-    enough = ranked.groupBy(*keys).agg(F.max("card").alias("cards")).where("cards >= 2").select(*keys)
-    out = ranked.select(*keys, "block", "card").unionByName(common.withColumn("card", F.lit(0)))
-    return out.join(enough, keys, "left_semi")
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        page = rows.groupby(keys, sort=False, dropna=False).ngroup()
+        vote = rows.assign(page=page)[rows.obs.notna()]
+        k = vote.groupby("page").obs.nunique()
+        k = k[k > n_observations // 2]
+        vote = vote[vote.page.isin(k.index)]
+        zero = (vote.card_no == 0).groupby([vote.page, vote.block]).sum()
+        common = zero[zero.to_numpy() * 2 > k.reindex(zero.index.get_level_values(0)).to_numpy()].index
+        region = rows.assign(page=page)[rows.obs.isna() & page.isin(k.index)]
+        shared = pd.MultiIndex.from_frame(region[["page", "block"]]).isin(common)
+        member = region[~shared].sort_values(["page", "block"], kind="stable").reset_index(drop=True)
+        mine = vote[(vote.card_no > 0) & ~pd.MultiIndex.from_frame(vote[["page", "block"]]).isin(common)][["page", "obs", "card_no", "block"]]
+        pairs = mine.merge(mine, on=["page", "obs", "card_no"])
+        pairs = pairs[pairs.block_x < pairs.block_y].groupby(["page", "block_x", "block_y"]).size()
+        pairs = pairs[pairs.to_numpy() * 2 > k.reindex(pairs.index.get_level_values(0)).to_numpy()].reset_index()
+        place = pd.Series(np.arange(len(member)), index=pd.MultiIndex.from_frame(member[["page", "block"]]))
+        ends = [place.reindex(pd.MultiIndex.from_frame(pairs[["page", c]])) for c in ("block_x", "block_y")]
+        met = ends[0].notna().to_numpy() & ends[1].notna().to_numpy()
+        root = _roots(len(member), ends[0].to_numpy()[met].astype(int), ends[1].to_numpy()[met].astype(int))
+        # cards by top, left and first region of what hangs together
+        spot = pd.DataFrame({"page": member.page, "root": root, "y0": member.y0, "x0": member.x0}).groupby(["page", "root"], as_index=False).min()
+        spot = spot.sort_values(["page", "y0", "x0", "root"], kind="stable")
+        spot["card"] = spot.groupby("page").cumcount() + 1
+        card = spot.set_index("root").card.reindex(root).to_numpy() if len(member) else np.zeros(0, int)
+        out = pd.concat([member.assign(card=card), region[shared].assign(card=0)])
+        several = spot.groupby("page").size()
+        out = out[out.page.isin(several[several > 1].index)]
+        return out[[*keys, "block", "card"]]
+
+    none = F.lit(None).cast("int")
+    votes = observations.select(*keys, F.col("block").alias("ord"), "block", F.col("obs").cast("int").alias("obs"), F.col("card_no").cast("int").alias("card_no"), none.alias("x0"), none.alias("y0"))
+    boxes = regions.select(*keys, F.col("block").alias("ord"), "block", none.alias("obs"), none.alias("card_no"), F.col("x0").cast("int").alias("x0"), F.col("y0").cast("int").alias("y0"))
+    return by_pages(votes.unionByName(boxes), keys, run, f"{key_schema(regions, [*keys, 'block'])}, card int")
 
 
 def separable(regions: DataFrame, keys: list[str], wide: float = 0.6, gap: float = 0.05) -> DataFrame:

@@ -13,6 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from .clusters import by_pages, key_schema
+
+#: Pairs of boxes that a sweep holds at a time; height of the strips that tall pages are joined by.
+MEETINGS, STRIP = 1 << 21, 1024
 
 #: Roles by layout label; what isn't here is body text (fixed values).
 ROLES = {
@@ -37,10 +41,24 @@ def first_blocks(blocks: DataFrame, keys: list[str], ord_col: str = "block") ->
     return blocks.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
 
 
+def strip_of(b: Column) -> Column:
+    """The horizontal strip of a page that a box's centre lies in."""
+    return F.floor((b["y0"] + b["y1"]) / 2 / STRIP).cast("bigint")
+
+
+def strips(boxes: DataFrame, column: str) -> DataFrame:
+    """``boxes`` once for each strip that they reach into, so that joins on page and strip stay small however
+    tall a page is; boxes that are null go."""
+    b = F.col(column)
+    every = F.sequence(F.floor(b["y0"] / STRIP).cast("bigint"), F.greatest(F.floor(b["y0"] / STRIP), F.floor(b["y1"] / STRIP)).cast("bigint"))
+    return boxes.where(b.isNotNull()).withColumn("__strip", F.explode(every))
+
+
 def assign_lines(lines: DataFrame, blocks: DataFrame, keys: list[str], ord_col: str = "block") -> DataFrame:
     """Each line with the first block, in block order, that holds its centre; null where none does."""
-    b = blocks.select(*keys, F.col(ord_col).alias("__block"), boxed().alias("__box"))
-    hit = lines.where("x0 is not null").join(b, keys).where(G.center_inside(boxed(), F.col("__box")))
+    b = strips(blocks.select(*keys, F.col(ord_col).alias("__block"), boxed().alias("__box")), "__box")
+    a = lines.where("x0 is not null").withColumn("__strip", strip_of(boxed()))
+    hit = a.join(b, [*keys, "__strip"]).where(G.center_inside(boxed(), F.col("__box")))
     first = hit.groupBy(*keys, "ord").agg(F.min("__block").alias(ord_col))
     return lines.join(first, [*keys, "ord"], "left")
 
@@ -91,25 +109,67 @@ def attach_scores(primary: DataFrame, detected: DataFrame, keys: list[str], min_
 
 def merge_digital_ocr(digital: DataFrame, ocr: DataFrame, keys: list[str], min_iou: float = 0.5) -> DataFrame:
     """Digital lines, and the OCR lines that overlap none of them by ``min_iou``."""
-    d = digital.select(*keys, boxed().alias("__box"))
-    fresh = ocr.join(d, [ocr[k] == d[k] for k in keys] + [G.iou(G.box(*[ocr[c] for c in ("x0", "y0", "x1", "y1")]), d["__box"]) >= min_iou], "left_anti")
-    return digital.withColumn("source", F.lit("digital")).unionByName(fresh.withColumn("source", F.lit("ocr")))
+    if min_iou < 0.5:
+        raise ValueError("below a half, a line's centre may lie outside of the one it overlaps")
+    d = strips(digital.select(*keys, boxed().alias("__box")), "__box")
+    o = ocr.withColumn("__strip", strip_of(boxed()))
+    fresh = o.join(d, [o[k] == d[k] for k in [*keys, "__strip"]] + [G.iou(G.box(*[o[c] for c in ("x0", "y0", "x1", "y1")]), d["__box"]) >= min_iou], "left_anti")
+    return digital.withColumn("source", F.lit("digital")).unionByName(fresh.drop("__strip").withColumn("source", F.lit("ocr")))
 
 
 def suppress(lines: DataFrame, keys: list[str], min_iou: float = 0.5, min_containment: float = 0.7) -> DataFrame:
     """Greedy suppression: by falling confidence, a line stays unless it repeats one that stayed.
 
-    Lines without a box always stay. The fold keeps only boxes; texts are joined back by ord.
+    Lines without a box always stay. Boxes meet in a sweep over the whole pages of a task, sorted by their top
+    edges; then, round by round, a box stays once all earlier boxes that it repeats have gone, and goes once one
+    of them stays.
     """
-    item = F.struct((-F.coalesce("confidence", F.lit(0.0))).alias("c"), "ord", boxed().alias("b"))
-    sorted_ = lines.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    kind = "array<struct<ord:bigint,b:struct<x0:int,y0:int,x1:int,y1:int>>>"
-
-    def step(kept: Column, x: Column) -> Column:
-        same = F.exists(kept, lambda k: (G.iou(k["b"], x["b"]) >= min_iou) | (G.containment(k["b"], x["b"]) >= min_containment))
-        return F.when(x["b"].isNull() | ~F.coalesce(same, F.lit(False)), F.concat(kept, F.array(F.struct(x["ord"].cast("bigint").alias("ord"), x["b"].alias("b"))))).otherwise(kept)
-
-    kept = sorted_.select(*keys, F.explode(F.transform(F.aggregate("items", F.array().cast(kind), step), lambda k: k["ord"])).alias("ord"))
+    if min_iou <= 0 or min_containment <= 0:
+        raise ValueError("thresholds must be above 0: boxes that don't touch never repeat each other")
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        page = rows.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
+        # earlier means more confident, ties to the lower ord; pages are apart
+        rank = np.empty(len(rows), np.int64)
+        rank[np.lexsort((rows.ord.to_numpy(), -rows.confidence.fillna(0.0).to_numpy(), page))] = np.arange(len(rows))
+        has = rows.x0.notna().to_numpy()
+        x0, y0, x1, y1 = (rows[c].fillna(0).to_numpy(np.int64) for c in ("x0", "y0", "x1", "y1"))
+        earlier, later = [], []
+        spot = np.flatnonzero(has & (y1 > y0) & (x1 > x0))
+        spot = spot[np.lexsort((y0[spot], page[spot]))]
+        away = (y1.max(initial=0) - y0.min(initial=0) + 1) * page
+        top, end = (y0 + away)[spot], (y1 + away)[spot]
+        many = np.searchsorted(top, end, side="left") - np.arange(len(spot)) - 1
+        total = np.concatenate([[0], np.cumsum(many)])
+        lo = 0
+        while lo < len(spot):  # a bounded number of meetings at a time
+            hi = max(lo + 1, int(np.searchsorted(total, total[lo] + MEETINGS, side="right")) - 1)
+            a = np.repeat(np.arange(lo, hi), many[lo:hi])
+            b = a + 1 + np.arange(len(a)) - np.repeat(total[lo:hi] - total[lo], many[lo:hi])
+            a, b = spot[a], spot[b]
+            inter = np.clip(np.minimum(x1[a], x1[b]) - np.maximum(x0[a], x0[b]), 0, None) * np.clip(np.minimum(y1[a], y1[b]) - np.maximum(y0[a], y0[b]), 0, None)
+            area_a, area_b = (x1[a] - x0[a]) * (y1[a] - y0[a]), (x1[b] - x0[b]) * (y1[b] - y0[b])
+            same = (inter / np.maximum(1, area_a + area_b - inter) >= min_iou) | (inter / np.maximum(1, np.minimum(area_a, area_b)) >= min_containment)
+            a, b = a[same], b[same]
+            swap = rank[a] > rank[b]
+            earlier.append(np.where(swap, b, a))
+            later.append(np.where(swap, a, b))
+            lo = hi
+        earlier, later = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (earlier, later))
+        stays, goes = np.ones(len(rows), bool), np.zeros(len(rows), bool)
+        stays[later] = False
+        while len(later):
+            goes[later[stays[earlier]]] = True
+            open_ = ~goes[earlier] & ~goes[later]
+            earlier, later = earlier[open_], later[open_]
+            waits = np.zeros(len(rows), bool)
+            waits[later] = True
+            stays = ~goes & ~waits
+        return rows.loc[stays & ~goes, [*keys, "ord"]]
+
+    box = [F.col(c).cast("int").alias(c) for c in ("x0", "y0", "x1", "y1")]
+    rows = lines.select(*keys, F.col("ord").cast("bigint").alias("ord"), F.col("confidence").cast("double").alias("confidence"), *box)
+    kept = by_pages(rows, keys, run, f"{key_schema(lines, keys)}, ord bigint")
     return lines.join(kept, [*keys, "ord"], "left_semi")
 
 
@@ -199,41 +259,51 @@ def phantom_lines(lines: DataFrame, keys: list[str], below: float = 0.8, row_sha
     return covered.where(F.col("covered") / F.greatest(F.lit(1), F.col("x1") - F.col("x0")) >= cover).select(*keys, "ord", "covered")
 
 
-def absorb_unassigned(lines: DataFrame, regions: DataFrame, keys: list[str], schema: str, canvas_h: str = "canvas_h") -> DataFrame:
+def absorb_unassigned(lines: DataFrame, regions: DataFrame, keys: list[str], canvas_h: str = "canvas_h") -> DataFrame:
     """Gives unassigned lines, one after the other, to the region that holds or is nearest to them.
 
-    Smallest region that holds the centre; else, among regions that share half the columns, the nearest
+    Smallest region that holds the centre; else, among regions that hold half of the line's width, the nearest
     within max(300, 15 % of the canvas). A region grows with every line, so later lines see it larger; this
-    order-dependent step runs in one fold for each page. Returns ``schema``: keys, ord, block (null: left).
+    order-dependent step runs over whole pages. If lines have a ``source``, only precise ones are given away.
+    Returns (keys, ord, block); block is null for lines that stay unassigned.
     """
 
-    def fold(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        right = right[right.x0.notna()].sort_values("block")
+    def fold(left: pd.DataFrame, right: pd.DataFrame) -> list:
         grown = right[["x0", "y0", "x1", "y1"]].to_numpy(float)  # the regions' boxes, as they are so far
-        tall = right[canvas_h].max() if len(right) else 0
+        tall = right.tall.max() if len(right) else 0
         reach = max(300, int(tall * 0.15)) if tall > 0 else -1.0
-        left = left.sort_values("ord")
         homes = []
-        for box in left[["x0", "y0", "x1", "y1"]].to_numpy(float):
-            if np.isnan(box[0]) or not len(grown):
+        for box, precise in zip(left[["x0", "y0", "x1", "y1"]].to_numpy(float), left.precise, strict=True):
+            if np.isnan(box[0]) or not precise or not len(grown):
                 homes.append(None)
                 continue
-            size = grown[:, 2:] - grown[:, :2]
             middle = (box[:2] + box[2:]) / 2
             holds = ((grown[:, :2] <= middle) & (middle <= grown[:, 2:])).all(axis=1)
-            shared = np.clip(np.minimum(grown[:, 2], box[2]) - np.maximum(grown[:, 0], box[0]), 0, None) / np.maximum(1, np.minimum(size[:, 0], box[2] - box[0]))
-            away = np.clip(np.maximum(grown[:, 1] - box[3], box[1] - grown[:, 3]), 0, None)
-            open_ = holds if holds.any() else (shared >= 0.5) & (away <= reach)
-            # holders compete by area, neighbours by distance and then by shared columns; ties to the first
-            order = np.lexsort((-shared, away)) if not holds.any() else np.argsort(size.prod(axis=1), kind="stable")
-            best = next((k for k in order if open_[k]), None)
-            homes.append(None if best is None else int(right["block"].iloc[best]))
-            if best is not None:
+            if holds.any():
+                best = int(np.argmin(np.where(holds, (grown[:, 2:] - grown[:, :2]).prod(axis=1), np.inf)))
+            else:
+                shared = np.clip(np.minimum(grown[:, 2], box[2]) - np.maximum(grown[:, 0], box[0]), 0, None) / max(1, box[2] - box[0])
+                away = np.clip(np.maximum(grown[:, 1] - box[3], box[1] - grown[:, 3]), 0, None)
+                # nearest first, then the larger share, then the earlier region
+                order = np.lexsort((-shared, np.where(shared >= 0.5, away, np.inf)))
+                best = int(order[0]) if shared[order[0]] >= 0.5 and away[order[0]] <= reach else -1
+            homes.append(None if best < 0 else right.ord.iloc[best])
+            if best >= 0:
                 grown[best] = [*np.minimum(grown[best, :2], box[:2]), *np.maximum(grown[best, 2:], box[2:])]
-        out = pd.DataFrame({k: [v] * len(left) for k, v in zip(keys, key, strict=True)})
-        return out.assign(ord=left["ord"].to_numpy(), block=pd.array(homes, dtype="Int64"))
-
-    return lines.groupBy(*keys).cogroup(regions.groupBy(*keys)).applyInPandas(fold, schema)
+        return homes
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        parts = []
+        for _, page in rows.groupby(keys, sort=False, dropna=False):
+            left = page[page.precise.notna()]
+            parts.append(left[[*keys, "ord"]].assign(block=pd.array(fold(left, page[page.precise.isna() & page.x0.notna()]), dtype="Int64")))
+        return pd.concat(parts)
+
+    precise = F.col("source").isin("ocr", "digital") if "source" in lines.columns else F.lit(True)
+    box = [F.col(c).cast("int").alias(c) for c in ("x0", "y0", "x1", "y1")]
+    left = lines.select(*keys, F.col("ord").cast("bigint").alias("ord"), *box, F.coalesce(precise, F.lit(False)).alias("precise"), F.lit(None).cast("int").alias("tall"))
+    right = regions.select(*keys, F.col("block").cast("bigint").alias("ord"), *box, F.lit(None).cast("boolean").alias("precise"), F.col(canvas_h).cast("int").alias("tall"))
+    return by_pages(left.unionByName(right), keys, run, f"{key_schema(lines, keys)}, ord bigint, block bigint")
 
 
 def push_down_labels(labels: DataFrame, keys: list[str], step: int = 24, near_x: int = 45) -> DataFrame:

@@ -85,6 +85,29 @@ def field_recall(gold: DataFrame, values: DataFrame, key: str) -> DataFrame:
     return out.select(key, "item_id", F.when(F.col("best") == 2, "hit").when(F.col("best") == 1, "partial").otherwise("miss").alias("outcome"), "source", F.coalesce("n_sources", F.lit(0)).alias("n_sources"))
 
 
+def passages_found(gold: DataFrame, docs: DataFrame, key: str, words: int = 8) -> DataFrame:
+    """(item_id, key) of each gold passage (item_id, text) that a document (key, text) holds verbatim.
+
+    The words of a passage but its first and last stand as whole words wherever it is held, so up to ``words``
+    of them, hashed, find the few documents to look at; only these give their texts. Passages without two such
+    words are looked for in all documents: they are part of the query set, and sent along with it.
+    """
+    cut = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
+    g = gold.where("text is not null and text <> ''").select("item_id", "text", cut.alias("w"))
+    g = g.select("item_id", "text", F.least(F.lit(words), F.size("w") - 2).alias("n"), "w").withColumn("h", F.xxhash64(F.array_join(F.slice("w", F.lit(2), F.greatest("n", F.lit(0))), " ")))
+    sizes = [r["n"] for r in g.where("n >= 2").select("n").distinct().collect()]  # at most ``words`` numbers
+    d = docs.select(key, F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ").alias("w"))
+    gram = lambda n: F.expr(f"transform(sequence(1, greatest(1, size(w) - {n - 1})), i -> xxhash64(array_join(slice(w, i, {n}), ' ')))")
+    every = F.array_distinct(F.concat(*[gram(n) for n in sizes])) if sizes else F.array().cast("array<bigint>")
+    met = d.select(key, F.explode(every).alias("h")).join(g.where("n >= 2").select("item_id", "h"), "h").select(key, "item_id").distinct()
+    texts = docs.select(key, F.col("text").alias("whole"))
+    found = met.join(texts, key).join(g.select("item_id", "text"), "item_id").where(F.contains("whole", "text")).select("item_id", key)
+    short = g.where("n < 2").agg(F.collect_list(F.struct("item_id", "text")).alias("items"))
+    lone = docs.select(key, "text", short.scalar().alias("short"))
+    lone = lone.select(key, F.explode(F.filter("short", lambda s: F.contains(F.col("text"), s["text"]))).alias("s")).select("s.item_id", key)
+    return found.unionByName(lone).distinct()
+
+
 def scorecard(results: DataFrame) -> DataFrame:
     """Passes, totals and whole percents of each metric, by file and in all (results: file, metric, passed)."""
     out = results.groupingSets([["file", "metric"], ["metric"]], "file", "metric").agg(F.count_if("passed").alias("passed"), F.count("*").alias("total"))

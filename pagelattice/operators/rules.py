@@ -131,12 +131,17 @@ def score_evidence(claims: DataFrame, texts: DataFrame, keys: list[str]) -> Data
 
 
 def unused_figures(texts: DataFrame, values: DataFrame, keys: list[str]) -> DataFrame:
-    """Figures of the regions' texts that no value of the document holds; the first place of each (keys, figure, ord)."""
-    found = texts.select(*keys, "ord", F.posexplode(T.figures(F.coalesce("text", F.lit("")))).alias("at", "figure"))
-    first = found.groupBy(*keys, "figure").agg(F.min(F.struct("ord", "at")).alias("first"))
+    """Figures of the regions' texts that no value of the document holds, as written at their first place:
+    (keys, figure, region_id, ord). Only the comparison ignores white space.
+
+    ``texts``: keys, region_id, ord, text; ``values``: keys, value.
+    """
+    found = texts.select(*keys, "region_id", "ord", F.posexplode(T.raw_figures(F.coalesce("text", F.lit("")))).alias("at", "figure"))
+    found = found.withColumn("folded", T.squash(F.col("figure")))
+    first = found.groupBy(*keys, "folded").agg(F.min(F.struct("ord", "at", "region_id", "figure")).alias("first"))
     blob = values.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(T.squash(F.coalesce("value", F.lit(""))))), "\n").alias("blob"))
-    out = first.join(blob, keys, "left").where(~F.contains(F.coalesce("blob", F.lit("")), F.col("figure")))
-    return out.select(*keys, "figure", F.col("first.ord").alias("ord"))
+    out = first.join(blob, keys, "left").where(~F.contains(F.coalesce("blob", F.lit("")), F.col("folded")))
+    return out.select(*keys, F.trim("first.figure").alias("figure"), F.col("first.region_id").alias("region_id"), F.col("first.ord").alias("ord"))
 
 
 def merge_unmapped(items: DataFrame, keys: list[str]) -> DataFrame:
@@ -155,16 +160,17 @@ def merge_unmapped(items: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def reclassify_handled(items: DataFrame, values: DataFrame, keys: list[str], least: int = 6, share: float = 0.6) -> DataFrame:
-    """Findings that other fields already hold become handled: contained either way, or most tokens known.
+    """Review-related findings that other fields already hold become handled: contained either way, or most
+    tokens known. Findings of other kinds, and blank ones, stay as they are.
 
     Values under ``least`` characters match nothing.
     """
     v = values.withColumn("sq", T.squash(F.coalesce("value", F.lit("")))).where(F.length("sq") >= least)
     of_doc = v.groupBy(*keys).agg(F.collect_set("sq").alias("known"), F.array_join(F.array_sort(F.collect_list("value")), " ").alias("blob"))
     rows = items.join(of_doc, keys, "left").withColumn("sq", T.squash(F.coalesce("text", F.lit(""))))
-    held = F.coalesce(F.exists("known", lambda k: F.contains(k, F.col("sq")) | F.contains(F.col("sq"), k)), F.lit(False)) & (F.col("sq") != "")
+    held = F.coalesce(F.exists("known", lambda k: F.contains(k, F.col("sq")) | F.contains(F.col("sq"), k)), F.lit(False))
     alike = F.coalesce(T.consistency(F.coalesce("text", F.lit("")), F.coalesce("blob", F.lit(""))) >= share, F.lit(False))
-    return rows.withColumn("kind", F.when(held | alike, ALREADY_HANDLED).otherwise(F.col("kind"))).drop("known", "blob", "sq")
+    return rows.withColumn("kind", F.when((F.col("kind") == REVIEW_RELATED) & (F.col("sq") != "") & (held | alike), ALREADY_HANDLED).otherwise(F.col("kind"))).drop("known", "blob", "sq")
 
 
 def input_gap(parsed: DataFrame, view: DataFrame, keys: list[str]) -> DataFrame:

@@ -39,9 +39,15 @@ def triage(pages: DataFrame) -> DataFrame:
 
 
 def object_census(objects: DataFrame, keys: list[str]) -> DataFrame:
-    """Shares of a page that images and paths cover (objects: kind, area; pages: page_area): images at most 1."""
-    share = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("area"))), F.lit(0)) / F.max("page_area")
-    return objects.groupBy(*keys).agg(F.least(F.lit(1.0), share("image")).alias("image_ratio"), F.count_if(F.col("kind") == "path").alias("paths"), share("path").alias("path_ratio"))
+    """Shares of a page that images and paths cover (objects: kind, area, page_area): images at most 1.
+
+    A page without an area has no shares and no paths counted: all three figures are 0.
+    """
+    covered = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("area"))), F.lit(0))
+    sums = objects.groupBy(*keys).agg(covered("image").alias("image"), F.count_if(F.col("kind") == "path").alias("paths"), covered("path").alias("path"), F.max("page_area").alias("whole"))
+    flat = ~F.coalesce(F.col("whole") > 0, F.lit(False))
+    share = lambda part: F.when(flat, 0.0).otherwise(F.try_divide(F.col(part).cast("double"), F.col("whole")))
+    return sums.select(*keys, F.least(F.lit(1.0), share("image")).alias("image_ratio"), F.when(flat, F.lit(0)).otherwise(F.col("paths")).cast("bigint").alias("paths"), share("path").alias("path_ratio"))
 
 
 def classify(rows: DataFrame) -> DataFrame:

@@ -18,9 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a table of a few files, which would keep most cores idle; larger scans stay as they are."""
+    """Deal out the rows of a scan of a few splits, which would keep most cores idle; larger scans stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) * 4 < cores else df
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() * 4 < cores else df
 
 
 def v_line(spark: SparkSession, sf_dir: str) -> DataFrame:

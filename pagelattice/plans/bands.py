@@ -91,7 +91,7 @@ def card_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = v_block(spark, sf_dir)
     observations = blocks.select("doc_id", "block", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("obs"))
     observations = observations.withColumn("card_no", F.expr("case when block = 0 then if(obs = 1, 1, 0) when (doc_id + block + obs) % 7 = 0 then 3 else block % 2 + 1 end"))
-    out = C.card_votes(observations, blocks, ["doc_id"], 3, "doc_id bigint, block bigint, component bigint")
+    out = C.card_votes(observations, blocks, ["doc_id"], 3)
     return out.select("doc_id", "block", F.col("card").cast("bigint").alias("card"))
 
 

@@ -56,10 +56,12 @@ def merge_digital_ocr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def absorb_unassigned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, blocks = v_line(spark, sf_dir), v_block(spark, sf_dir)
+    """Some lines are far wider than the narrow ones of the blocks they touch, some were swept up without a precise box."""
+    lines = v_line(spark, sf_dir).withColumn("x1", F.expr("cast(x1 + if(ord % 7 = 3, 600, 0) as int)")).withColumn("source", F.expr("if(ord % 10 = 9, 'vlm_sweep', if(ord % 2 = 0, 'ocr', 'digital'))"))
+    blocks = v_block(spark, sf_dir).withColumn("x1", F.expr("if(block % 4 = 1, 120, x1)"))
     left = L.assign_lines(lines, blocks, ["doc_id"]).where("block is null").drop("block")
     height = lines.groupBy("doc_id").agg(F.max("y1").alias("canvas_h"))
-    return L.absorb_unassigned(left, blocks.join(height, "doc_id"), ["doc_id"], "doc_id bigint, ord bigint, block bigint").where("ord is not null")
+    return L.absorb_unassigned(left, blocks.join(height, "doc_id"), ["doc_id"])
 
 
 def nms_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +138,22 @@ QUERIES = {
     "merge_digital_ocr": (merge_digital_ocr, with_views("v_line", f"""
         d AS (SELECT * FROM v_line WHERE ord % 3 <> 1), o AS (SELECT doc_id, ord, x0 + 3 AS x0, y0 + 2 AS y0, x1 + 3 AS x1, y1 + 2 AS y1 FROM v_line WHERE ord % 2 = 0)
         SELECT doc_id, ord, 'digital' AS source FROM d UNION ALL SELECT doc_id, ord, 'ocr' FROM o WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.doc_id = o.doc_id AND {_iou("o", "d")} >= 0.5)""")),
-    "absorb_unassigned": (absorb_unassigned, None),
+    "absorb_unassigned": (absorb_unassigned, with_views("v_line v_block", """
+        wl AS (SELECT doc_id, ord, x0, y0, x1 + CASE WHEN ord % 7 = 3 THEN 600 ELSE 0 END AS x1, y1, ord % 10 <> 9 AS precise FROM v_line),
+        nb AS (SELECT doc_id, block, x0, y0, CASE WHEN block % 4 = 1 THEN 120 ELSE x1 END AS x1, y1 FROM v_block),
+        hh AS (SELECT doc_id, greatest(300, CAST(floor(max(y1) * 15 / 100) AS BIGINT)) AS reach FROM wl GROUP BY doc_id),
+        un AS (SELECT * FROM wl l WHERE NOT EXISTS (SELECT 1 FROM nb b WHERE b.doc_id = l.doc_id AND (l.x0 + l.x1) / 2.0 BETWEEN b.x0 AND b.x1 AND (l.y0 + l.y1) / 2.0 BETWEEN b.y0 AND b.y1)),
+        ln AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ord) AS k FROM un WHERE precise),
+        rg AS (SELECT nb.doc_id, any_value(reach) AS reach, list(struct_pack(b := CAST(block AS BIGINT), x0 := CAST(x0 AS BIGINT), y0 := CAST(y0 AS BIGINT), x1 := CAST(x1 AS BIGINT), y1 := CAST(y1 AS BIGINT)) ORDER BY block) AS bs FROM nb JOIN hh ON nb.doc_id = hh.doc_id GROUP BY nb.doc_id),
+        -- one line after the other, as each may grow a region
+        st AS (SELECT doc_id, reach, CAST(0 AS BIGINT) AS k, bs, CAST(NULL AS BIGINT) AS ord, CAST(NULL AS BIGINT) AS home FROM rg
+          UNION ALL SELECT doc_id, reach, k, CASE WHEN home IS NULL THEN bs ELSE list_transform(bs, lambda r: CASE WHEN r.b = home THEN struct_pack(b := r.b, x0 := least(r.x0, lx0), y0 := least(r.y0, ly0), x1 := greatest(r.x1, lx1), y1 := greatest(r.y1, ly1)) ELSE r END) END, ord, home
+          FROM (SELECT *, CASE WHEN inner_ IS NOT NULL THEN inner_.b WHEN near_.d <= reach THEN near_.b END AS home FROM (
+            SELECT s.doc_id, s.reach, s.bs, l.k, l.ord, CAST(l.x0 AS BIGINT) AS lx0, CAST(l.y0 AS BIGINT) AS ly0, CAST(l.x1 AS BIGINT) AS lx1, CAST(l.y1 AS BIGINT) AS ly1,
+              list_min(list_transform(list_filter(s.bs, lambda r: (l.x0 + l.x1) BETWEEN 2 * r.x0 AND 2 * r.x1 AND (l.y0 + l.y1) BETWEEN 2 * r.y0 AND 2 * r.y1), lambda r: struct_pack(a := (r.x1 - r.x0) * (r.y1 - r.y0), b := r.b))) AS inner_,
+              list_min(list_transform(list_filter(s.bs, lambda r: 2 * (least(l.x1, r.x1) - greatest(l.x0, r.x0)) >= greatest(1, l.x1 - l.x0)), lambda r: struct_pack(d := greatest(0, r.y0 - l.y1, l.y0 - r.y1), s := greatest(l.x0, r.x0) - least(l.x1, r.x1), b := r.b))) AS near_
+            FROM st s JOIN ln l ON l.doc_id = s.doc_id AND l.k = s.k + 1)))
+        SELECT un.doc_id, un.ord, st.home AS block FROM un LEFT JOIN st ON un.doc_id = st.doc_id AND un.ord = st.ord""", recursive=True)),
     "nms_dedupe": (nms_dedupe, with_views("v_line_tiled", _NMS.format(key="doc_id", rows="v_line_tiled", iou=_iou("k", "x[1]"), cont=_containment("k", "x[1]")) + " SELECT doc_id, k.ord AS ord FROM (SELECT doc_id, unnest(kept) AS k FROM f)")),
     "nms_boxes": (nms_boxes, with_views("v_box", _NMS.format(key="page", rows="v_box", iou=_iou("k", "x[1]"), cont=_containment("k", "x[1]")) + " SELECT page, CAST(len(kept) AS BIGINT) AS kept, CAST(list_sum(list_transform(kept, lambda k: k.ord)) AS BIGINT) AS ords FROM f")),
     "reading_order": (reading_order, with_views("v_line", _ROWS.format(keys="doc_id", rows="v_line", order="y0, ord") + """
@@ -163,5 +180,9 @@ QUERIES = {
         -- the union's length, point by point: every point of the line that some sibling covers
         u AS (SELECT doc_id, ord, x0, x1, count(DISTINCT t) AS covered FROM (SELECT doc_id, ord, x0, x1, unnest(range(p, q)) AS t FROM m) GROUP BY ALL)
         SELECT doc_id, ord, covered FROM u WHERE covered * 1.0::DOUBLE / greatest(1, x1 - x0) >= 0.6""")),
-    "label_places": (label_places, None),
+    "label_places": (label_places, with_views("v_line v_block", """
+        g AS (SELECT doc_id, list(struct_pack(ord := block, x := CAST(block % 3 * 30 AS BIGINT), y := CAST(block * 10 AS BIGINT)) ORDER BY block) AS xs FROM v_block GROUP BY ALL),
+        f AS (SELECT doc_id, list_reduce(list_transform(xs, lambda x: [x]), lambda acc, x: list_concat(acc, [struct_pack(ord := x[1].ord, x := x[1].x, y := x[1].y + 24 * list_min(list_filter(range(0, len(acc) + 1),
+          lambda t: len(list_filter(acc, lambda p: abs(p.x - x[1].x) < 45 AND abs(p.y - (x[1].y + 24 * t)) < 24)) = 0)))])) AS placed FROM g)
+        SELECT doc_id, p.ord AS ord, p.y AS y FROM (SELECT doc_id, unnest(placed) AS p FROM f)""")),
 }

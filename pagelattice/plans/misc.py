@@ -29,9 +29,11 @@ def box_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def box_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boxes from corner points, clamped; moved to a canvas; cropped with padding."""
+    """Boxes from four or eight numbers, clamped; moved to a canvas; cropped with padding. Reversed boxes and lists
+    of six numbers are none."""
     boxes = v_box(spark, sf_dir)
-    made = G.from_points(F.expr("array(x0, y0, x1, y0, x1, y1, x0, if(ord % 11 = 0, y0, y1))"), F.lit(500), F.lit(310))
+    numbers = "case ord % 5 when 1 then array(x0, y0, x1, y1) when 2 then array(x1, y1, x0, y0) when 3 then array(x0, y0, x1, y1, x0, y1) else array(x0, y0, x1, y0, x1, y1, x0, if(ord % 11 = 0, y0, y1)) end"
+    made = G.from_points(F.expr(numbers), F.lit(500), F.lit(310))
     rows = boxes.select("page", "ord", made.alias("b")).where("b is not null")
     moved, cut = G.shifted(F.col("b"), F.lit(0), F.lit(1600)), B.crop_box(F.col("b"), F.lit(500), F.lit(310))
     out = rows.select("page", "ord", F.col("b.x1").alias("x1"), F.col("b.y1").alias("y1"), moved["y0"].alias("moved"), cut["x0"].alias("cx0"), cut["y1"].alias("cy1"))
@@ -53,7 +55,7 @@ def decorative_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def object_census(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("bigint").alias("page"), F.expr("if(l_linenumber % 2 = 0, 'image', 'path')").alias("kind"), F.expr("cast(l_quantity as bigint)").alias("area"), F.lit(64).alias("page_area"))
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("bigint").alias("page"), F.expr("if(l_linenumber % 2 = 0, 'image', 'path')").alias("kind"), F.expr("cast(l_quantity as bigint)").alias("area"), F.expr("if(l_orderkey % 10 = 3, 0, 64)").alias("page_area"))
     return Q.object_census(rows, ["page"])
 
 
@@ -103,20 +105,21 @@ QUERIES = {
     "box_functions": (box_functions, with_views("v_box", f"""
         b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page ORDER BY ord) AS rn FROM v_box) WHERE rn = 1)
         SELECT a.page, a.ord, CAST(floor({_I} * 1.0::DOUBLE / greatest(1, {_A} + {_B} - {_I}) * 1000) AS BIGINT) AS iou, CAST(floor({_I} * 1.0::DOUBLE / least(greatest(1, {_A}), greatest(1, {_B})) * 1000) AS BIGINT) AS inside,
-          CAST(floor(greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * 1.0::DOUBLE / greatest(1, least(a.x1 - a.x0, b.x1 - b.x0)) * 1000) AS BIGINT) AS columns,
+          CAST(floor(greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * 1.0::DOUBLE / greatest(1, a.x1 - a.x0) * 1000) AS BIGINT) AS columns,
           CAST(floor(greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0)) * 1.0::DOUBLE / greatest(1, least(a.y1 - a.y0, b.y1 - b.y0)) * 1000) AS BIGINT) AS rows,
           CAST(greatest(0, a.y0 - b.y1, b.y0 - a.y1) AS BIGINT) AS gap, (a.x0 + a.x1) / 2.0 BETWEEN b.x0 AND b.x1 AND (a.y0 + a.y1) / 2.0 BETWEEN b.y0 AND b.y1 AS centred
         FROM v_box a JOIN b ON a.page = b.page""")),
     "box_forms": (box_forms, with_views("v_box", """
-        c AS (SELECT page, ord, x0, y0, least(x1, 500) AS x1, least(y1, 310) AS y1 FROM v_box)
+        c AS (SELECT page, ord, x0, y0, least(x1, 500) AS x1, least(y1, 310) AS y1 FROM v_box WHERE ord % 5 NOT IN (2, 3))
         SELECT page, ord, CAST(x1 AS BIGINT) AS x1, CAST(y1 AS BIGINT) AS y1, CAST(y0 + 1600 AS BIGINT) AS moved,
           CASE WHEN least(500, x1 + 24) - greatest(0, x0 - 24) >= 8 AND least(310, y1 + 12) - greatest(0, y0 - 12) >= 8 THEN CAST(greatest(0, x0 - 24) AS BIGINT) END AS cx0,
           CASE WHEN least(500, x1 + 24) - greatest(0, x0 - 24) >= 8 AND least(310, y1 + 12) - greatest(0, y0 - 12) >= 8 THEN CAST(least(310, y1 + 12) AS BIGINT) END AS cy1 FROM c WHERE x1 > x0 AND y1 > y0""")),
     "layout_answers": (layout_answers, with_views("v_box", "SELECT page, count(*) AS n, CAST(sum(x1) AS BIGINT) AS xs FROM v_box WHERE x0 % 5 <> 0 AND x1 > x0 AND y1 > y0 GROUP BY page")),
     "decorative_assets": (decorative_assets, "SELECT p_partkey AS asset, least(p_partkey % 300, p_size * 5) < 32 OR (p_partkey % 300) * (p_size * 5) < 20000 AS decorative FROM part"),
     "object_census": (object_census, """
-        SELECT l_orderkey AS page, least(1.0::DOUBLE, coalesce(sum(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber % 2 = 0), 0) * 1.0::DOUBLE / 64) AS image_ratio, count(*) FILTER (l_linenumber % 2 <> 0) AS paths,
-          coalesce(sum(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber % 2 <> 0), 0) * 1.0::DOUBLE / 64 AS path_ratio FROM lineitem GROUP BY l_orderkey"""),
+        SELECT l_orderkey AS page, CASE WHEN l_orderkey % 10 = 3 THEN 0.0::DOUBLE ELSE least(1.0::DOUBLE, coalesce(sum(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber % 2 = 0), 0) * 1.0::DOUBLE / 64) END AS image_ratio,
+          CASE WHEN l_orderkey % 10 = 3 THEN 0 ELSE count(*) FILTER (l_linenumber % 2 <> 0) END AS paths,
+          CASE WHEN l_orderkey % 10 = 3 THEN 0.0::DOUBLE ELSE coalesce(sum(CAST(l_quantity AS BIGINT)) FILTER (l_linenumber % 2 <> 0), 0) * 1.0::DOUBLE / 64 END AS path_ratio FROM lineitem GROUP BY l_orderkey"""),
     "risk_order": (risk_order, None),
     "dead_pages": (dead_pages, with_views("v_line v_block", "SELECT doc_id FROM v_block WHERE doc_id % 5 <> 0 GROUP BY doc_id HAVING bool_or(block % 3 > 0) AND NOT bool_or((doc_id + block) % 3 = 0 AND doc_id % 2 = 0)")),
     "field_values": (field_values, with_views("v_cell", """

@@ -60,10 +60,30 @@ def candidate_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.candidate_scores(v_reading(spark, sf_dir)).select("doc_id", "ord", "score", "coverage")
 
 
-def stable_core_twins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Odd lines as a sweep's, even ones as known."""
+def relation_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What relations that containment settles are called, and which of them count as cut."""
+    rows = R.classify_readings(v_reading(spark, sf_dir), full=False).where("relation is not null")
+    return rows.select("doc_id", "ord", T.relation_label(F.col("relation")).alias("label"), T.is_truncated(F.col("relation")).alias("truncated"))
+
+
+def _swept(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Odd lines as a sweep's, some cut to a few letters; even ones as known, some of which were swept up too or have no box."""
     rows = v_line(spark, sf_dir)
-    return R.twins(rows.where("ord % 2 = 1"), rows.where("ord % 2 = 0"), ["doc_id"]).select("doc_id", "ord", "twin")
+    swept = rows.where("ord % 2 = 1").withColumn("text", F.expr("case ord % 9 when 1 then substring(text, 1, 3) when 5 then concat('7 ', text) else text end"))
+    known = rows.where("ord % 2 = 0").withColumn("source", F.expr("if(ord % 14 = 0, 'vlm_sweep', if(ord % 4 = 0, 'ocr', 'digital'))")).withColumn("x0", F.expr("if(ord % 22 = 0, null, x0)"))
+    return swept, known
+
+
+def stable_core_twins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    swept, known = _swept(spark, sf_dir)
+    return R.twins(swept, known, ["doc_id"]).select("doc_id", "ord", "twin")
+
+
+def sweep_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings again of known lines: as they are, with other figures, of something else, or empty."""
+    swept, known = _swept(spark, sf_dir)
+    again = known.select("doc_id", F.col("ord").alias("known_ord"), F.expr("case ord div 2 % 4 when 0 then text when 1 then concat('9 ', text) when 2 then 'qqqq xxxx' else '' end").alias("reading"))
+    return R.resolve_sweeps(swept, known, again, ["doc_id"])
 
 
 def eval_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,6 +162,11 @@ _TOK = "list_filter(list_transform(regexp_split_to_array({x}, '[\\s,;/·()~]+'),
 _PG = "regexp_replace(replace(lower({x}), 'ß', 'ss'), '[^0-9a-z가-힣.%]', '', 'g')"
 _SCORE = "CASE WHEN len({t}) = 0 THEN 0.0::DOUBLE ELSE len(list_filter({t}, lambda w: contains({p}, w))) * 1.0::DOUBLE / len({t}) END"
 _STABLE = "lower(regexp_replace({x}, '[0-9①②③④⑤⑥⑦⑧⑨⑩\\s%p.,:;·「」『』\"''`~()\\[\\]{{}}\\-—]+', '', 'g'))"
+_TWINS = f"""
+        c AS (SELECT doc_id, ord, CASE WHEN ord % 2 = 0 THEN text WHEN ord % 9 = 1 THEN substring(text, 1, 3) WHEN ord % 9 = 5 THEN '7 ' || text ELSE text END AS t FROM v_line),
+        k AS (SELECT doc_id, ord, t, {_STABLE.format(x="t")} AS core FROM c),
+        tw AS (SELECT a.doc_id, a.ord, any_value(a.t) AS t, any_value(a.core) AS core, min(b.ord) AS twin FROM k a LEFT JOIN k b ON a.doc_id = b.doc_id AND b.ord % 2 = 0 AND b.ord % 14 <> 0 AND b.ord % 22 <> 0 AND length(b.core) >= 4 AND length(a.core) >= 4 AND (contains(a.core, b.core) OR contains(b.core, a.core))
+          WHERE a.ord % 2 = 1 GROUP BY a.doc_id, a.ord)"""
 _COARSE = "lower(regexp_replace({x}, '[\\s,.~:：%()\\[\\]{{}}''\"`「」『』<>·※*!?|#-]', '', 'g'))"
 # look-around isn't there, so points and hyphens are walked character by character
 _EVAL = """
@@ -169,9 +194,17 @@ QUERIES = {
         t AS (SELECT doc_id, ord, {_TOK.format(x="ocr")} AS ta, {_TOK.format(x="cand")} AS tb, {_PG.format(x="ocr")} AS pa, {_PG.format(x="cand")} AS pb FROM v_reading)
         SELECT doc_id, ord, {_SCORE.format(t="tb", p="pa")} AS score, {_SCORE.format(t="ta", p="pb")} AS coverage FROM t""")),
     "stable_core_twins": (stable_core_twins, with_views("v_line", f"""
-        c AS (SELECT doc_id, ord, {_STABLE.format(x="text")} AS core FROM v_line)
-        SELECT a.doc_id, a.ord, min(b.ord) AS twin FROM c a LEFT JOIN c b ON a.doc_id = b.doc_id AND b.ord % 2 = 0 AND length(b.core) >= 4 AND a.core <> '' AND (contains(a.core, b.core) OR contains(b.core, a.core))
-        WHERE a.ord % 2 = 1 GROUP BY ALL""")),
+        {_TWINS} SELECT doc_id, ord, twin FROM tw""")),
+    "sweep_resolution": (sweep_resolution, with_views("v_line", f"""
+        {_TWINS},
+        rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id, twin IS NULL ORDER BY ord) AS turn FROM tw),
+        rd AS (SELECT rk.*, c.text AS twin_text, CASE c.ord // 2 % 4 WHEN 0 THEN c.text WHEN 1 THEN '9 ' || c.text WHEN 2 THEN 'qqqq xxxx' ELSE '' END AS reading FROM rk LEFT JOIN v_line c ON c.doc_id = rk.doc_id AND c.ord = rk.twin),
+        rc AS (SELECT *, {_STABLE.format(x="reading")} AS again FROM rd),
+        oc AS (SELECT *, coalesce(twin IS NOT NULL AND turn <= 8 AND again <> '' AND (contains(again, core) OR contains(core, again)), false) AS same FROM rc)
+        SELECT doc_id, ord, twin, CASE WHEN NOT same THEN 'kept' WHEN reading = twin_text THEN 'dropped' ELSE 'attached' END AS outcome, CASE WHEN same AND reading <> twin_text THEN reading END AS candidate FROM oc""")),
+    "relation_labels": (relation_labels, with_views("v_reading", _SHAPE.format(rows="v_reading") + """
+        SELECT doc_id, ord, CASE kind WHEN 'tail_cut' THEN '뒷부분 잘림(' || CAST(round_even(100 * CASE WHEN b = '' THEN 1.0::DOUBLE ELSE (la - head - lb) * 1.0::DOUBLE / la END, 0) AS INTEGER) || '% 소실) — 정본이 더 완전'
+          WHEN 'head_drop' THEN '앞 항목명 생략 — 값 자체는 온전' WHEN 'expanded' THEN '정본보다 많이 읽음 — 누락 회수 가능' WHEN 'diverged' THEN '정본과 내용이 다름 — 원본 확인 필요' ELSE '표기 차이' END AS label, kind = 'tail_cut' AS truncated FROM r WHERE kind IS NOT NULL""")),
     "eval_norm": (eval_norm, with_views("v_reading", _EVAL)),
     "text_forms": (text_forms, with_views("v_reading", f"""
         SELECT doc_id, ord, {_NORM.format(x="ocr")} AS norm, {_STABLE.format(x="ocr")} AS stable, {_COARSE.format(x="ocr")} AS coarse, regexp_replace(ocr, '\\s+', '', 'g') AS squashed,

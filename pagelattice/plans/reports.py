@@ -100,15 +100,10 @@ def scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def passage_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark passages that documents hold verbatim: an inverted join on their first eight words, then containment."""
+    """Benchmark passages that documents hold verbatim."""
     gold = table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("text is not null")
-    # the query set is small next to the documents, whatever their number
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("doc_text")).where("doc_text is not null")
-    key = lambda words: F.concat_ws(" ", F.slice(words, 1, 8))
-    g = gold.withColumn("k", key(F.split("text", r"\s+"))).withColumn("k", F.regexp_replace("k", r"\s+", " "))
-    w = docs.withColumn("w", F.split(F.trim("doc_text"), r"\s+"))
-    grams = w.select("doc_id", "doc_text", F.explode(F.expr("array_distinct(transform(sequence(1, greatest(1, size(w) - 7)), i -> concat_ws(' ', slice(w, i, 8))))")).alias("k"))
-    return grams.join(g, "k").where(F.contains("doc_text", "text")).groupBy("item_id").agg(F.count_distinct("doc_id").alias("docs"), F.min("doc_id").alias("first_doc"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text is not null")
+    return R.passages_found(gold, docs, "doc_id").groupBy("item_id").agg(F.count_distinct("doc_id").alias("docs"), F.min("doc_id").alias("first_doc"))
 
 
 _CHUNKS = """
@@ -159,7 +154,19 @@ QUERIES = {
         SELECT rule AS before, judged AS after, count(*) AS n, CAST(sum(permille) AS BIGINT) * 1.0::DOUBLE / count(*) AS mean_score, rule <> judged AS differs FROM r GROUP BY ALL""")),
     "role_updates": (role_updates, with_views("v_line v_block", f"""
         SELECT doc_id, block, CASE WHEN block % 3 <> 1 AND block % 2 = 0 THEN '본문' ELSE {_ROLE} END AS role, CASE WHEN block % 3 <> 1 THEN 0.75::DOUBLE ELSE score END AS role_confidence, CASE WHEN block % 3 <> 1 THEN 'vlm' ELSE 'rules' END AS role_source, {_ROLE} AS role_rule FROM v_block""")),
-    "sentence_recall": (sentence_recall, None),
+    "sentence_recall": (sentence_recall, with_views("v_line v_block", _OWN + """,
+        rg AS (SELECT b.doc_id, b.block, coalesce(string_agg(l.text, chr(10) ORDER BY l.y0, l.x0, l.ord), '') AS text FROM v_block b LEFT JOIN own o ON b.doc_id = o.doc_id AND b.block = o.block LEFT JOIN v_line l ON o.doc_id = l.doc_id AND o.ord = l.ord GROUP BY b.doc_id, b.block),
+        a AS (SELECT 'gold' AS what, doc_id, ord, CASE ord % 4 WHEN 0 THEN '«' || text || '»' WHEN 1 THEN text || ' zz' WHEN 2 THEN 'extra words ' || (ord // 3) ELSE substring(text, 3) END AS x FROM v_line
+          UNION ALL SELECT 'line', doc_id, ord, text FROM v_line UNION ALL SELECT 'region', doc_id, block, text FROM rg UNION ALL SELECT 'candidate', doc_id, block, 'extra words ' || block FROM rg WHERE block % 2 = 0),
+        e1 AS (SELECT what, doc_id, ord, regexp_replace(x, '[\\s,~:：%()\\[\\]{}''"`´『』「」〈〉<>【】·※*ㆍ■□|“”‘’]', '', 'g') AS x FROM a),
+        e2 AS (SELECT what, doc_id, ord, array_to_string(list_transform(range(1, length(x) + 1), lambda i: CASE WHEN substring(x, i, 1) = '.' AND NOT (i > 1 AND regexp_matches(substring(x, i - 1, 1), '[0-9]') AND regexp_matches(substring(x, i + 1, 1), '[0-9]')) THEN '' ELSE substring(x, i, 1) END), '') AS x FROM e1),
+        e3 AS (SELECT what, doc_id, ord, replace(lower(regexp_replace(x, '[\\x{10000}-\\x{10FFFF}☀-➿\\x{FE0F}\\x{200D}\\x{FFFD}]', '', 'g')), '–', '-') AS x FROM e2),
+        e AS (SELECT what, doc_id, ord, array_to_string(list_transform(range(1, length(x) + 1), lambda i: CASE WHEN substring(x, i, 1) = '-' AND NOT (i > 1 AND regexp_matches(substring(x, i - 1, 1), '[0-9]') AND regexp_matches(substring(x, i + 1, 1), '[0-9]')) THEN '' ELSE substring(x, i, 1) END), '') AS f FROM e3),
+        g AS (SELECT doc_id, ord, f FROM e WHERE what = 'gold' AND f <> ''),
+        p AS (SELECT doc_id, string_agg(f, '' ORDER BY ord) AS f FROM e WHERE what = 'region' GROUP BY doc_id),
+        h AS (SELECT g.doc_id, g.ord, bool_or(what = 'line') AS l, bool_or(what = 'region') AS r, bool_or(what = 'candidate') AS c FROM g JOIN e ON g.doc_id = e.doc_id AND e.what <> 'gold' AND contains(e.f, g.f) GROUP BY ALL),
+        o AS (SELECT g.doc_id, CASE WHEN h.l THEN 'line' WHEN h.r THEN 'region' WHEN contains(p.f, g.f) THEN 'page' WHEN h.c THEN 'candidate' ELSE 'missed' END AS found FROM g LEFT JOIN h ON g.doc_id = h.doc_id AND g.ord = h.ord LEFT JOIN p ON g.doc_id = p.doc_id)
+        SELECT doc_id, found, count(*) AS n FROM o GROUP BY ALL""")),
     "box_recall": (box_recall, with_views("v_line v_block", """
         SELECT l.doc_id, l.ord AS item, count(b.block) > 0 AS hit FROM v_line l LEFT JOIN v_block b ON l.doc_id = b.doc_id
           AND greatest(0, least(l.x1, b.x1) - greatest(l.x0, b.x0)) * greatest(0, least(l.y1, b.y1) - greatest(l.y0, b.y0)) * 2 >= least((l.x1 - l.x0) * (l.y1 - l.y0), (b.x1 - b.x0) * (b.y1 - b.y0)) AND least((l.x1 - l.x0) * (l.y1 - l.y0), (b.x1 - b.x0) * (b.y1 - b.y0)) > 0

@@ -36,7 +36,7 @@ def prune_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return v_line(spark, sf_dir).select("doc_id", "ord", F.concat(F.lit("r"), F.col("ord").cast("string")).alias("region_id"), F.expr("concat(text, if(ord % 3 = 0, concat(' ', doc_id % 90, '.5% ', ord, '개월'), ''))").alias("text"))
+    return v_line(spark, sf_dir).select("doc_id", "ord", F.concat(F.lit("r"), F.col("ord").cast("string")).alias("region_id"), F.expr("concat(text, if(ord % 3 = 0, concat(' ', doc_id % 90, '.5% ', ord, ' 개월'), ''))").alias("text"))
 
 
 def evidence_backing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +123,7 @@ ab AS (SELECT *, CASE WHEN NOT known THEN 'spec_missing' WHEN obligation IN ('
   WHEN rule0 IN ('subtype_in', 'subtype_not_in', 'ad_type_in', 'trigger_any', 'conditional') THEN rule0 ELSE 'unknown_rule:' || rule0 END AS rule FROM z),
 a AS (SELECT *, CASE rule WHEN 'spec_missing' THEN '확인필요' WHEN 'not_judged' THEN '판정제외' WHEN 'applicable' THEN '미표시' WHEN 'subtype_unknown' THEN '확인필요' ELSE '해당없음' END AS kind,
   CASE WHEN scope = 'event' THEN 'event' || event_no || '.' || field_key ELSE field_key END AS name FROM ab)"""
-_TEXTS = "tx AS (SELECT doc_id, ord, 'r' || ord AS region_id, text || CASE WHEN ord % 3 = 0 THEN ' ' || (doc_id % 90) || '.5% ' || ord || '개월' ELSE '' END AS text FROM v_line)"
+_TEXTS = "tx AS (SELECT doc_id, ord, 'r' || ord AS region_id, text || CASE WHEN ord % 3 = 0 THEN ' ' || (doc_id % 90) || '.5% ' || ord || ' 개월' ELSE '' END AS text FROM v_line)"
 _TOK = "list_filter(list_transform(regexp_split_to_array({x}, '[\\s,;/·()~]+'), lambda t: regexp_replace(replace(lower(t), 'ß', 'ss'), '[^0-9a-z가-힣.%]', '', 'g')), lambda t: t <> '')"
 _PG = "regexp_replace(replace(lower({x}), 'ß', 'ss'), '[^0-9a-z가-힣.%]', '', 'g')"
 _UN = "un AS (SELECT doc_id, ord, ' ' || substring(text, 1, 8) || ' ' AS text, CASE WHEN ord % 5 = 3 THEN '심의관련_필드없음' ELSE '무관' END AS kind, CASE WHEN ord % 2 = 0 THEN 'because ' || ord ELSE '' END AS reason, CASE WHEN ord % 7 = 0 THEN NULL ELSE 'G' || (ord % 4) END AS grp, 'r' || (ord % 6) AS ev FROM v_line)"
@@ -150,9 +150,11 @@ QUERIES = {
         q AS (SELECT *, CASE WHEN trim(b) = '' OR src IS NULL THEN NULL WHEN len(t) = 0 THEN 0.0::DOUBLE ELSE len(list_filter(t, lambda w: contains(p, w))) * 1.0::DOUBLE / len(t) END AS score FROM k)
         SELECT doc_id, claim_id, score, score >= 0.5 AS backed, missing FROM q""")),
     "unused_figures": (unused_figures, with_views("v_line", _TEXTS + """,
-        fg AS (SELECT doc_id, ord, unnest(list_transform(regexp_extract_all(text, '[0-9][0-9,]*(?:\\.[0-9]+)?\\s*(?:%p|%|억원|만원|천원|원|명|팀|좌|개월|년|일|회|건)'), lambda n: regexp_replace(n, '\\s+', '', 'g'))) AS figure FROM tx),
-        bl AS (SELECT doc_id, string_agg(regexp_replace(text, '\\s+', '', 'g'), chr(10)) AS blob FROM tx WHERE ord % 2 = 0 GROUP BY ALL)
-        SELECT f.doc_id, figure, min(ord) AS ord FROM fg f LEFT JOIN bl ON f.doc_id = bl.doc_id WHERE NOT contains(coalesce(blob, ''), figure) GROUP BY f.doc_id, figure""")),
+        fg AS (SELECT doc_id, ord, region_id, unnest(found) AS figure, unnest(range(len(found))) AS nth FROM (SELECT *, regexp_extract_all(text, '[0-9][0-9,]*(?:\\.[0-9]+)?\\s*(?:%p|%|억원|만원|천원|원|명|팀|좌|개월|년|일|회|건)') AS found FROM tx)),
+        ff AS (SELECT *, regexp_replace(figure, '\\s+', '', 'g') AS folded FROM fg),
+        bl AS (SELECT doc_id, string_agg(regexp_replace(text, '\\s+', '', 'g'), chr(10)) AS blob FROM tx WHERE ord % 2 = 0 GROUP BY ALL),
+        fi AS (SELECT doc_id, folded, arg_min(struct_pack(f := figure, r := region_id, o := ord), struct_pack(o := ord, a := nth)) AS x FROM ff GROUP BY ALL)
+        SELECT fi.doc_id, x.f AS figure, x.r AS region_id, x.o AS ord FROM fi LEFT JOIN bl ON fi.doc_id = bl.doc_id WHERE NOT contains(coalesce(blob, ''), folded)""")),
     "unmapped_dedupe": (unmapped_dedupe, with_views("v_line", _UN + """,
         t AS (SELECT *, trim(substring(trim(text), 1, 2)) AS k FROM un),
         g AS (SELECT doc_id, k, min(ord) AS ord, arg_min(kind, ord) AS k1, arg_min(reason, ord) AS r1, bool_or(kind = '심의관련_필드없음') AS rel, arg_max(reason, ord) FILTER (kind = '심의관련_필드없음' AND reason <> '') AS lifted FROM t WHERE k <> '' GROUP BY ALL),
@@ -164,7 +166,7 @@ QUERIES = {
         va AS (SELECT doc_id, value, regexp_replace(value, '\\s+', '', 'g') AS sq FROM (SELECT doc_id, CASE WHEN ord % 2 = 0 THEN text ELSE substring(text, 1, 5) END AS value FROM v_line WHERE ord % 3 = 0)),
         bl AS (SELECT doc_id, list(sq) AS known, string_agg(value, ' ' ORDER BY value) AS blob FROM va WHERE length(sq) >= 6 GROUP BY ALL),
         u AS (SELECT un.*, regexp_replace(un.text, '\\s+', '', 'g') AS sq, {_TOK.format(x="un.text")} AS t, {_PG.format(x="coalesce(blob, '')")} AS p, coalesce(known, CAST([] AS VARCHAR[])) AS known FROM un LEFT JOIN bl ON un.doc_id = bl.doc_id)
-        SELECT doc_id, ord, CASE WHEN (sq <> '' AND len(list_filter(known, lambda k: contains(k, sq) OR contains(sq, k))) > 0) OR (len(t) > 0 AND len(list_filter(t, lambda w: contains(p, w))) * 1.0::DOUBLE / len(t) >= 0.6) THEN '다른항목에서_처리됨' ELSE kind END AS kind FROM u""")),
+        SELECT doc_id, ord, CASE WHEN kind = '심의관련_필드없음' AND sq <> '' AND (len(list_filter(known, lambda k: contains(k, sq) OR contains(sq, k))) > 0 OR (len(t) > 0 AND len(list_filter(t, lambda w: contains(p, w))) * 1.0::DOUBLE / len(t) >= 0.6)) THEN '다른항목에서_처리됨' ELSE kind END AS kind FROM u""")),
     "input_gap": (input_gap, with_views("v_line", _TEXTS + " SELECT doc_id, region_id, substring(text, 1, 200) AS text, CASE WHEN ord % 5 = 0 THEN 'illustrative' ELSE 'not_in_view' END AS reason FROM tx WHERE (doc_id + ord) % 3 = 0 AND trim(text) <> ''")),
     "coverage_metrics": (coverage_metrics, with_views("v_cell v_doc v_spec v_cond", _ABSENT + """,
         rg AS (SELECT doc_id, 'r' || k AS rid FROM (SELECT doc_id, unnest(range(doc_id % 30 + 1)) AS k FROM v_doc)),

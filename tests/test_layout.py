@@ -74,10 +74,23 @@ def test_pseudo_regions(spark):
 def test_absorbing_grows_regions(spark):
     regions = spark.createDataFrame([(0, 0, 0, 0, 100, 20, 1000)], "page int, block long, x0 int, y0 int, x1 int, y1 int, canvas_h int")
     rows = lines(spark, [(0, 310, 100, 330), (0, 620, 100, 640), (500, 0, 600, 20), None])
-    got = L.absorb_unassigned(rows, regions, ["page"], "page int, ord long, block long").orderBy("ord").collect()
+    got = L.absorb_unassigned(rows, regions, ["page"]).orderBy("ord").collect()
     assert [r["block"] for r in got] == [0, 0, None, None]  # the second is only near once the first was taken in
 
 
+def test_wide_lines_stay_out_of_narrow_regions(spark):
+    regions = spark.createDataFrame([(0, 0, 0, 0, 50, 20, 1000)], "page int, block long, x0 int, y0 int, x1 int, y1 int, canvas_h int")
+    rows = lines(spark, [(0, 30, 400, 50), (0, 60, 90, 80), (0, 60, 90, 80)]).withColumn("source", F.expr("if(ord = 2, 'vlm_sweep', 'ocr')"))
+    got = L.absorb_unassigned(rows, regions, ["page"]).orderBy("ord").collect()
+    assert [r["block"] for r in got] == [None, 0, None]
+
+
+def test_tall_pages_join_by_strips(spark):
+    blocks = spark.createDataFrame([(0, 0, 0, 0, 100, 5000), (0, 1, 0, 5000, 100, 5100)], "page int, block long, x0 int, y0 int, x1 int, y1 int")
+    rows = lines(spark, [(0, y, 50, y + 10) for y in (0, 1019, 2040, 4989, 4995, 5050, 5200)])
+    assert {r["ord"]: r["block"] for r in L.assign_lines(rows, blocks, ["page"]).collect()} == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0, 5: 1, 6: None}
+
+
 def test_phantoms(spark):
     rows = spark.createDataFrame([(0, 0, "a", 0, 0, 100, 20, 0.5), (0, 1, "b", 0, 0, 40, 20, 0.9), (0, 2, "c", 30, 0, 70, 20, None), (0, 3, "d", 0, 50, 100, 70, 0.5)], LINE)
     assert [(r["ord"], r["covered"]) for r in L.phantom_lines(rows, ["page"]).collect()] == [(0, 70)]
@@ -116,12 +129,14 @@ def test_cards(spark):
     regions = spark.createDataFrame([(0, 0, 100, 60, 900, 120), (0, 1, 100, 200, 600, 900), (0, 2, 1300, 200, 1800, 900)], "page int, block long, x0 int, y0 int, x1 int, y1 int")
     votes = [(0, o, b, c) for o in range(3) for b, c in ((0, 0), (1, 1), (2, 2))]
     obs = spark.createDataFrame(votes, "page int, obs int, block long, card_no int")
-    got = {r["block"]: r["card"] for r in C.card_votes(obs, regions, ["page"], 3, "page int, block long, component long").collect()}
+    got = {r["block"]: r["card"] for r in C.card_votes(obs, regions, ["page"], 3).collect()}
     assert got == {0: 0, 1: 1, 2: 2}
-    assert C.card_votes(obs.where("obs = 0"), regions, ["page"], 3, "page int, block long, component long").count() == 0
+    assert C.card_votes(obs.where("obs = 0"), regions, ["page"], 3).count() == 0
 
 
 def test_geometry_of_points(spark):
-    rows = spark.createDataFrame([([10, 5, 200, 5, 200, 50, 10, 50],), ([5, 5, 5, 9],), ([1, 2],), ([-5, -5, 30, 40],)], "p array<int>")
+    rows = spark.createDataFrame([([10, 5, 200, 5, 200, 50, 10, 50],), ([5, 5, 5, 9],), ([1, 2],), ([-5, -5, 30, 40],), ([100, 100, 50, 50],), ([0, 0, 9, 0, 9, 9],)], "p array<int>")
     got = [tuple(r[0]) if r[0] else None for r in rows.select(G.from_points(F.col("p"), F.lit(100), F.lit(100))).collect()]
-    assert got == [(10, 5, 100, 50), None, None, (0, 0, 30, 40)]
+    assert got == [(10, 5, 100, 50), None, None, (0, 0, 30, 40), None, None]
+    points = spark.createDataFrame([([[9, 1], [2, 8], [5, 200]],), ([],)], "p array<array<int>>")
+    assert [tuple(r[0]) if r[0] else None for r in points.select(G.around(F.col("p"), F.lit(100), F.lit(100))).collect()] == [(2, 1, 9, 100), None]

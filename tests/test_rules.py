@@ -49,10 +49,11 @@ def test_empty_events_go(spark):
 
 
 def test_unmapped_findings_already_handled(spark):
-    items = spark.createDataFrame([(1, 0, "준법감시인 심의필 제2025-1호", "무관"), (1, 1, "신규 고객 이벤트 당첨 안내문", "무관"), (1, 2, "전혀 다른 문장입니다", "무관"), (1, 3, "예", "무관")], "doc_id long, ord long, text string, kind string")
+    found = R.REVIEW_RELATED
+    items = spark.createDataFrame([(1, 0, "준법감시인 심의필 제2025-1호", found), (1, 1, "신규 고객 이벤트 당첨 안내문", found), (1, 2, "전혀 다른 문장입니다", found), (1, 3, "예", found), (1, 4, "준법감시인 심의필 제2025-1호", "무관")], "doc_id long, ord long, text string, kind string")
     values = spark.createDataFrame([(1, "준법감시인 심의필 제2025-1호"), (1, "이벤트 당첨 안내문 신규고객"), (1, "예금")], "doc_id long, value string")
     got = {r["ord"]: r["kind"] for r in R.reclassify_handled(items, values, ["doc_id"]).collect()}
-    assert got == {0: R.ALREADY_HANDLED, 1: R.ALREADY_HANDLED, 2: "무관", 3: "무관"}
+    assert got == {0: R.ALREADY_HANDLED, 1: R.ALREADY_HANDLED, 2: found, 3: found, 4: "무관"}  # other kinds stay, whatever their text
 
 
 def test_input_gap(spark):
