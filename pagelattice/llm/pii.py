@@ -7,12 +7,20 @@ permuted letter by letter and digit by digit. The permutation depends on the key
 equal values stay equal in every document, and different ones stay different. What fails its checks is
 left as it is. Everything around the matches is kept byte for byte.
 
+The key comes from the session's setting ``spark.pagelattice.pii.key``. Without one, a random key is made for
+the application: its pseudonyms are linked within all its jobs, but to no other run's, and nobody can undo them.
+
 Each network is over Z_a x Z_b for its kind's two moduli (all cards of n digits, all IPv4 addresses, all
 days of 400 Gregorian years ...), so its outcome is always valid and no value has to be tried again. The
 round function is SHA-256 over key, kind, round and half.
 
 Kinds: email, iban, date, ssn, phone, ipv4, card. Overlaps are settled by the regular expression: the
-leftmost match wins, and at one place the first kind in this order.
+leftmost match wins, and at one place the first kind in this order. Numbers end where their kind's usual
+grouping does (IBANs by their country's length, phones within 15 digits, cards by fours), so that a number that
+stands behind them is read by itself; of a card's readings the longest that passes its checks counts.
+
+No part of a shape repeats a group without a bound, so neither the stack nor the time grows with what a text
+holds: texts are searched in linear time. Mail names are 64 characters at most, as the mail protocol has it.
 
 Defined cases: a null text stays null, an empty one empty; repeated rows each return a row; all other
 columns pass unchanged, whatever their names.
@@ -20,21 +28,47 @@ columns pass unchanged, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-DEFAULT_KEY = "pagelattice-demo-key"
-_SEP = r"[ .\-]?"
-#: Shapes of the kinds, in order of precedence. Possessive parts keep the search linear in the text.
+KEY_SETTING = "spark.pagelattice.pii.key"
+#: Longest name of a mail address (RFC 5321).
+NAME_CHARS = 64
+#: Lengths of IBANs by country (fixed values of the public registry).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+}
+#: Country codes of phone numbers (fixed values): one and two digits; all others have three.
+DIALLED = "[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+
+
+def _iban_shape() -> str:
+    blocks = []
+    for size, countries in IBAN_LENGTHS.items():
+        full, rest = divmod(size - 4, 4)
+        blocks.append(f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{full}}}" + (f" ?[A-Z0-9]{{{rest}}}" if rest else "") + "(?![A-Za-z0-9])")
+    other = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+    return r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?:" + "|".join([*blocks, other]) + ")"
+
+
+_SEP, _END = r"[ .\-]?", r"(?![0-9]|[.\-/][0-9])"
+#: A group of a phone number: at most so many digits. Twelve follow the country code, so groups are few or short.
+_GROUP = lambda n: rf"{_SEP}\(?[0-9]{{1,{n}}}\)?"
+#: Shapes of the kinds, in order of precedence. Repeated single characters are possessive, repeated groups bounded.
 SHAPES = {
-    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++)+",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "date": r"(?<![0-9.\-/])(?:[0-9]{4}([\-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([\-/.])[0-9]{2}\2[0-9]{4})(?![0-9]|[.\-/][0-9])",
+    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@(?=[A-Za-z0-9\-]++\.[A-Za-z0-9\-])[A-Za-z0-9.\-]++",
+    "iban": _iban_shape(),
+    "date": r"(?<![0-9.\-/])(?:[0-9]{4}(?<d>[\-/.])[0-9]{2}\k<d>[0-9]{2}|[0-9]{2}(?<e>[\-/.])[0-9]{2}\k<e>[0-9]{4})(?![0-9]|[.\-/][0-9])",
     "ssn": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "phone": rf"(?<![0-9+])(?:\+[0-9]{{1,3}}(?:{_SEP}\(?[0-9]{{1,4}}\)?){{2,6}}|\([0-9]{{3}}\){_SEP}[0-9]{{3}}[ .\-][0-9]{{4}}|[0-9]{{3}}([.\-])[0-9]{{3}}\3[0-9]{{4}})(?![0-9])",
+    "phone": rf"(?<![0-9+])(?:\+1{_SEP}\(?[0-9]{{3}}\)?{_SEP}[0-9]{{3}}{_SEP}[0-9]{{4}}"
+    rf"|\+[0-9]{{1,3}}(?:{_SEP}\(0\))?(?:(?:{_GROUP(2)}){{5,6}}{_END}|(?:{_GROUP(3)}){{4}}{_END}|(?:{_GROUP(5)}){{2,3}})(?![.\-/][0-9])"
+    rf"|\([0-9]{{3}}\){_SEP}[0-9]{{3}}[ .\-][0-9]{{4}}|[0-9]{{3}}(?<p>[.\-])[0-9]{{3}}\k<p>[0-9]{{4}})(?![0-9])",
     "ipv4": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9])",
+    "card": r"(?<![0-9])(?:[0-9]{4}(?<c>[ \-])[0-9]{4}\k<c>[0-9]{4}\k<c>[0-9]{4}(?:\k<c>[0-9]{1,3}(?![0-9]|[.\-/ ][0-9]))?|[0-9](?:[ \-]?[0-9]){12,18})(?![0-9])",
 }
 PATTERN = "|".join(SHAPES.values())
 KINDS = list(SHAPES)
@@ -103,10 +137,15 @@ def _mod97(text: str) -> str:
 
 
 def _card(key: str) -> tuple[str, str]:
-    valid = f"{luhn_sum(_digits('m'), False)} % 10 = 0 and {_digits('m')} rlike '[1-9]'"
-    payload = f"substr({_digits('m')}, 1, length({_digits('m')}) - 1)"
+    """The longest reading of a match, from its first digit on, that is a card; what is left of it stays."""
+    border = "substr(m, e, 1) rlike '[0-9]' and not substr(m, e + 1, 1) rlike '[0-9]'"
+    read = _digits("substr(m, 1, e)")
+    good = f"length({read}) >= 13 and {luhn_sum(read, False)} % 10 = 0 and {read} rlike '[1-9]'"
+    ends = f"filter(sequence(length(m), 13, -1), e -> {border} and {good})"
+    payload = f"substr({_digits('c')}, 1, length({_digits('c')}) - 1)"
     check = f"cast((10 - {luhn_sum('q', True)} % 10) % 10 as string)"
-    return valid, refill("m", _let(permuted_digits(key, "card", payload), "q", f"concat(q, {check})"))
+    new = refill("c", _let(permuted_digits(key, "card", payload), "q", f"concat(q, {check})"))
+    return f"size({ends}) > 0", _let(f"element_at({ends}, 1)", "n0", _let("substr(m, 1, n0)", "c", f"concat({new}, substr(m, n0 + 1))"))
 
 
 def _ipv4(key: str) -> tuple[str, str]:
@@ -148,8 +187,8 @@ def _ssn(key: str) -> tuple[str, str]:
 
 
 def _phone(key: str) -> tuple[str, str]:
-    """The country code stays; all other digits are permuted."""
-    head = r"regexp_extract(m, '^([+][0-9]{1,3})', 1)"
+    """The country code stays; all other digits are permuted, however they are grouped."""
+    head = f"regexp_extract(m, '^([+](?:{DIALLED}|[0-9]{{1,3}}))', 1)"
     rest = f"substr(m, length({head}) + 1)"
     valid = f"length({_digits('m')}) between 7 and 15 and length({_digits(rest)}) between 4 and 14"
     return valid, f"concat({head}, {refill(rest, permuted_digits(key, 'phone', _digits(rest)))})"
@@ -184,7 +223,7 @@ def _email(key: str) -> tuple[str, str]:
     step = f"if(i % 2 = 1, named_struct('a', {shifted('acc.a', 'acc.b')}, 'b', acc.b), named_struct('a', acc.a, 'b', {shifted('acc.b', 'acc.a')}))"
     start = "named_struct('a', substr(s, 1, length(s) div 2), 'b', substr(s, 1 + length(s) div 2))"
     new = _let(name, "s", f"aggregate(sequence(1, {ROUNDS}), {start}, (acc, i) -> {step}, acc -> concat(acc.a, acc.b))")
-    return f"{name} rlike '[A-Za-z0-9]'", f"concat({new}, substr(m, length({name}) + 1))"
+    return f"length({name}) <= {NAME_CHARS} and {name} rlike '[A-Za-z0-9]'", f"concat({new}, substr(m, length({name}) + 1))"
 
 
 _MAKERS = {"email": _email, "iban": _iban, "date": _date, "ssn": _ssn, "phone": _phone, "ipv4": _ipv4, "card": _card}
@@ -194,12 +233,10 @@ def replacement(key: str) -> str:
     """SQL over a match ``m``: struct (kind, value); kind is null and the value unchanged if it isn't valid."""
     branches = []
     for kind, shape in SHAPES.items():
-        # groups are numbered within the whole pattern; alone, a shape has its own numbers
-        alone = shape.replace(r"\3", r"\1")
         valid, new = _MAKERS[kind](key)
         hit = f"named_struct('kind', {_quote(kind)}, 'value', {new})"
         miss = "named_struct('kind', cast(null as string), 'value', m)"
-        branches.append(f"when m rlike {_quote('^(?:' + _unanchored(alone) + ')$')} then if({valid}, {hit}, {miss})")
+        branches.append(f"when m rlike {_quote('^(?:' + _unanchored(shape) + ')$')} then if({valid}, {hit}, {miss})")
     return "case " + " ".join(branches) + " else named_struct('kind', cast(null as string), 'value', m) end"
 
 
@@ -211,8 +248,21 @@ def _unanchored(shape: str) -> str:
     return re.sub(r"\(\?!(?:[^()\[\]]|\[[^\]]*\])*\)$", "", shape)
 
 
-def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text", kinds_col: str | None = None) -> DataFrame:
-    """``docs`` with ``text_col`` pseudonymised; ``kinds_col``: also an array of the kinds replaced, in order."""
+def session_key(spark: SparkSession) -> str:
+    """The key of the session's setting; one is made and set for the application where there is none."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key
+
+
+def pseudonymise(docs: DataFrame, key: str | None = None, text_col: str = "text", kinds_col: str | None = None) -> DataFrame:
+    """``docs`` with ``text_col`` pseudonymised; ``kinds_col``: also an array of the kinds replaced, in order.
+
+    ``key`` None: the session's.
+    """
+    key = key or session_key(docs.sparkSession)
     text: Column = docs[text_col].cast("string")
     taken = {c.lower() for c in docs.columns}
     work = next(n for n in (f"__pii_{k}" for k in range(len(taken) + 1)) if n not in taken)

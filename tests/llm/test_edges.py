@@ -80,6 +80,16 @@ def test_pii(spark, edge, none):
     assert len(set(many.split())) == 2 and "224.145.138.68" not in many
 
 
+@pytest.mark.parametrize("text", [
+    "x@" + "a." * 500_000 + "com", "x@" + "." * 1_000_000, "x@" + "a-" * 500_000, "a" * 1_000_000 + "@b.com", "é" * 1_000_000 + "@x.org", "@" * 1_000_000,
+    "1" * 1_000_000, "1 " * 500_000, "1-" * 500_000, "1." * 500_000, "+1" * 500_000, "12/" * 300_000, "(123) " * 200_000, "AB12 " * 200_000, "A1" * 500_000, "+" * 1_000_000,
+], ids=range(16))
+def test_pii_of_a_megabyte_without_an_end(spark, text):
+    df = spark.createDataFrame([(1, text + " 123-45-6789")], "doc_id long, text string")
+    new = pii.pseudonymise(df, "k").first()["text"]
+    assert new[1 : len(text)] == text[1:] and new[len(text) :] != " 123-45-6789" and len(new) == len(text) + 12
+
+
 def test_sentencepiece(spark, edge, none):
     model = queries.tokenizer_bytes()
     got = sp_wfst.encode_documents(edge, model)

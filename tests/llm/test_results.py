@@ -235,6 +235,9 @@ def test_svd_directions(spark):
 # --- PII
 
 
+KEY = "a key for tests"
+
+
 def plain_feistel(key, kind, a, b, mod_a, mod_b):
     def prf(i, half, mod):
         return int(hashlib.sha256(f"{key}|{kind}|{i}|{half}|{mod}".encode()).hexdigest()[:15], 16) % mod
@@ -248,7 +251,7 @@ def luhn(s):
     return sum(int(d) if k % 2 == 0 else sum(divmod(2 * int(d), 10)) for k, d in enumerate(reversed(s))) % 10 == 0
 
 
-def replaced(spark, texts, key=pii.DEFAULT_KEY):
+def replaced(spark, texts, key=KEY):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     return {r["doc_id"]: (r["text"], r["k"]) for r in pii.pseudonymise(df, key, kinds_col="k").collect()}
 
@@ -280,7 +283,7 @@ def test_numbers_stay_valid_and_linked(spark):
     got = replaced(spark, [f"ip {x}, v1.2.3.4.5 and 300.1.1.1" for x in ips])
     for k, x in enumerate(ips):
         o = [int(p) for p in x.split(".")]
-        a, b = plain_feistel(pii.DEFAULT_KEY, "ipv4", o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536)
+        a, b = plain_feistel(KEY, "ipv4", o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536)
         assert got[k][0] == f"ip {a >> 8}.{a & 255}.{b >> 8}.{b & 255}, v1.2.3.4.5 and 300.1.1.1"
 
 
@@ -293,7 +296,7 @@ def test_dates(spark):
         iso, slash, dots, slashed = got[k][0].split()
         new = dt.date.fromisoformat(iso)
         n = (d - dt.date(1800, 1, 1)).days
-        a, b = plain_feistel(pii.DEFAULT_KEY, "date", n // 773, n % 773, 189, 773)
+        a, b = plain_feistel(KEY, "date", n // 773, n % 773, 189, 773)
         assert new == dt.date(1800, 1, 1) + dt.timedelta(a * 773 + b)
         assert slash == f"{new:%Y/%m/%d}" and dots == f"{new:%d.%m.%Y}" and slashed == f"{new:%d/%m/%Y}"
     assert got[4][0].startswith("2023-02-30 1799-01-01 31.13.2020 ") and got[4][1] == ["date"]
@@ -313,6 +316,110 @@ def test_other_kinds(spark):
     assert re.search(r" [a-z]ü[a-z]\.[0-9]{2}@mail7\.example\.com [A-Z][a-z]{2}_[A-Z][0-9]@x\.org$", new) and "99@" not in new
 
 
+def plain_digits(kind, digits):
+    half = len(digits) // 2
+    a, b = plain_feistel(KEY, kind, int(digits[:half] or 0), int(digits[half:]), 10**half, 10 ** (len(digits) - half))
+    return (f"{a:0{half}d}" if half else "") + f"{b:0{len(digits) - half}d}"
+
+
+def plain_refill(shape, digits):
+    it = iter(digits)
+    return "".join(next(it) if c in "0123456789" else c for c in shape)
+
+
+def only_digits(s):
+    return re.sub("[^0-9]", "", s)
+
+
+def plain_card(m):
+    body = plain_digits("card", only_digits(m)[:-1])
+    return plain_refill(m, next(body + c for c in "0123456789" if luhn(body + c)))
+
+
+def plain_phone(m):
+    head = re.match(r"\+(?:[17]|44|49|33)|", m)[0]
+    return head + plain_refill(m[len(head) :], plain_digits("phone", only_digits(m[len(head) :])))
+
+
+def plain_ssn(m):
+    area, group, serial = map(int, m.split("-"))
+    a, b = plain_feistel(KEY, "ssn", (area - (2 if area > 666 else 1)) * 99 + group - 1, serial - 1, 898 * 99, 9999)
+    new = a // 99 + (2 if a // 99 >= 665 else 1)
+    return f"{new:03d}-{a % 99 + 1:02d}-{b + 1:04d}"
+
+
+def plain_iban(m):
+    flat = m.replace(" ", "")
+    body = plain_refill(flat[4:], plain_digits("iban", only_digits(flat[4:])))
+    number = lambda s: int("".join(str(int(c, 36)) for c in s))
+    new = iter(flat[:2] + f"{98 - number(body + flat[:2] + '00') % 97:02d}" + body)
+    return "".join(" " if c == " " else next(new) for c in m)
+
+
+def plain_email(m):
+    name, at, host = m.partition("@")
+
+    def shifted(own, other, i):
+        h = hashlib.sha256(f"{KEY}|email|{i}|{len(own)}|{other}".encode()).hexdigest()
+        out = ""
+        for j, c in enumerate(own):
+            noise = int(h[2 * (j % 28) : 2 * (j % 28) + 8], 16)
+            first, size = ("a", 26) if "a" <= c <= "z" else ("A", 26) if "A" <= c <= "Z" else ("0", 10) if "0" <= c <= "9" else (c, 1)
+            out += chr(ord(first) + (ord(c) - ord(first) + noise) % size) if size > 1 else c
+        return out
+
+    a, b = name[: len(name) // 2], name[len(name) // 2 :]
+    for i in range(1, pii.ROUNDS + 1):
+        a, b = (shifted(a, b, i), b) if i % 2 else (a, shifted(b, a, i))
+    return a + b + at + host
+
+
+def test_every_kind_against_a_plain_network(spark):
+    rng = random.Random(12)
+    digit = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    made = []
+    for _ in range(40):
+        body = digit(15)
+        card = next(body + c for c in "0123456789" if luhn(body + c))
+        made += [(" ".join(card[k : k + 4] for k in range(0, 16, 4)), plain_card), (card, plain_card)]
+        made += [(f"+1 ({rng.randrange(200, 999)}) {digit(3)}-{digit(4)}", plain_phone), (f"+49 30 {digit(4)} {digit(4)}", plain_phone), (f"+33 6 {digit(2)} {digit(2)} {digit(2)} {digit(2)}", plain_phone), (f"(826) {digit(3)}-{digit(4)}", plain_phone)]
+        made.append((f"{rng.choice([1, 665, 667, 899]):03d}-{rng.randrange(1, 100):02d}-{rng.randrange(1, 10000):04d}", plain_ssn))
+        body = rng.choice(["", "WEST", "NWBK"]) + digit(14)
+        country, body = ("GB", body) if body[0] in "WN" else ("ES", body + digit(6))
+        number = int("".join(str(int(c, 36)) for c in body + country + "00"))
+        iban = f"{country}{98 - number % 97:02d}{body}"
+        made += [(iban, plain_iban), (" ".join(iban[k : k + 4] for k in range(0, len(iban), 4)), plain_iban)]
+        made.append((rng.choice(["Ann.Lee", "x", "q7_z", "J-P+news"]) + digit(rng.randrange(3)) + "@mail.example.org", plain_email))
+    # alone, and right before another number
+    behind = ["", " 2024", " 190.137.223.204", ", 7"]
+    texts = [f"see {m}{behind[k % 4] if f is not plain_card or k % 4 != 2 else ''}" for k, (m, f) in enumerate(made)]
+    got = replaced(spark, texts)
+    ip = lambda: "{2}.{3}.{0}.{1}".format(*[v for n in plain_feistel(KEY, "ipv4", 190 * 256 + 137, 223 * 256 + 204, 65536, 65536)[::-1] for v in divmod(n, 256)])
+    for k, (m, f) in enumerate(made):
+        rest = texts[k][4 + len(m) :].replace("190.137.223.204", ip())
+        assert got[k][0] == f"see {f(m)}{rest}", texts[k]
+
+
+def test_values_that_stand_side_by_side(spark):
+    new, kinds = replaced(spark, ["+1 (826) 555-4081 190.137.223.204; +1 (826) 555-4081 2024; +18265554081; ES91 2100 0418 4502 0005 1332 2024-01-05; 4111 1111 1111 1111 123-45-6789; 4111 1111 1111 1111 123 Main"])[0]
+    assert kinds == ["phone", "ipv4", "phone", "phone", "iban", "date", "card", "ssn", "card"]
+    assert len(set(re.findall(r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}", new))) == 1 and only_digits(new.split(";")[2]) == only_digits(re.search(r"\+1 [^ ]+ [^ ;]+", new)[0])
+    assert " 2024;" in new and new.endswith(" 123 Main")
+
+
+def test_the_key_is_the_sessions(spark):
+    own = pii.session_key(spark)
+    try:
+        spark.conf.unset(pii.KEY_SETTING)
+        made = pii.session_key(spark)
+        assert len(made) == 64 and made == pii.session_key(spark) != own
+        spark.conf.set(pii.KEY_SETTING, KEY)
+        df = spark.createDataFrame([(1, "123-45-6789")], "doc_id long, text string")
+        assert pii.pseudonymise(df).first()["text"] == plain_ssn("123-45-6789")
+    finally:
+        spark.conf.set(pii.KEY_SETTING, own)
+
+
 @settings(max_examples=1, deadline=None)
 @given(st.lists(st.text(alphabet="0123456789.-/@+() aZ", max_size=40), min_size=200, max_size=200))
 def test_what_isnt_matched_is_kept(spark, texts):
