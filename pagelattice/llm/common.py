@@ -45,7 +45,8 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: i
 
 
 def give_back() -> None:
-    """Return freed memory to the system, so that what a step held isn't counted against the next one's task."""
+    """Return freed memory to the system: Python workers live on between tasks, and would keep the peak of the step
+    they did last while the JVM and other workers need it."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # a C library without malloc_trim

@@ -57,6 +57,11 @@ def op7_sentencepiece_wfst(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_wfst.encode_documents(table(spark, sf_dir, "documents"), tokenizer_bytes())
 
 
+def sentencepiece_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7 with a model whose weights decide: a unigram model over the same pieces."""
+    return sp_wfst.encode_documents(table(spark, sf_dir, "documents"), sp_wfst.zipf_unigram(tokenizer_bytes()), with_ids=False)
+
+
 def op8_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -111,6 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_simhash_gray,
         op9_warc_revisits,
         op10_decontamination_lsa,
+        sentencepiece_unigram,
     ]
     return {f.__name__: f for f in own}
 

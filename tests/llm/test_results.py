@@ -483,6 +483,105 @@ def test_unigram_takes_the_best_path():
     assert m.encode(pa.array(["c"])).to_pylist() == [[1, 0]]
 
 
+def test_unigram_paths_weigh_what_the_librarys_do(tiny):
+    import pyarrow.parquet as pq
+    import sentencepiece
+
+    model = sp_wfst.zipf_unigram(queries.tokenizer_bytes())
+    lib, m = sentencepiece.SentencePieceProcessor(model_proto=model), sp_wfst.Machine(model)
+    texts = [t or "" for t in pq.read_table(f"{tiny}/documents.parquet")["text"].to_pylist()]
+    got, want = m.encode(pa.array(texts)).to_pylist(), [lib.encode(t) for t in texts]
+    weigh = lambda ids: sum(m.scores[k] for k in ids)
+    assert all(abs(weigh(a) - weigh(b)) < 1e-3 * max(1, len(a)) for a, b in zip(got, want, strict=True))
+    assert sum(a == b for a, b in zip(got, want, strict=True)) > 0.9 * len(texts)  # others differ where paths are equal
+    assert m.decode_column(m.encode(pa.array(texts))).to_pylist() == [lib.decode(x) for x in want]
+    bpe = sp_wfst.machine(queries.tokenizer_bytes())
+    assert bpe.encode(pa.array(texts)).to_pylist() != got  # weights, not merges, make this encoding
+
+
+def test_bpe_leaves_one_finite_path():
+    """Without the bigram automaton's infinite weights the least path isn't the library's."""
+    import sentencepiece
+
+    m, lib = sp_wfst.Machine(queries.tokenizer_bytes()), sentencepiece.SentencePieceProcessor(model_proto=queries.tokenizer_bytes())
+    words = ["▁" + w for w in ("hello", "encyclopedia", "aaaa", "internationalisation", "ththth", "banana")]
+
+    def finite(word, last):
+        if not word:
+            return 1
+        ends = [k for k in range(1, len(word) + 1) if word[:k] in m.text_of]
+        return sum(finite(word[k:], m.text_of[word[:k]]) for k in ends if last < 0 or m.may_follow(last, m.text_of[word[:k]]))
+
+    for w in words:
+        assert finite(w, -1) == 1 and m.shortest_path(w) == lib.encode(w[1:])
+    m.may_follow = lambda u, v: True
+    m.follows.clear()
+    assert any(m.shortest_path(w) != lib.encode(w[1:]) for w in words)
+
+
+@pytest.fixture(scope="module")
+def charsmap():
+    import sentencepiece
+
+    spec = dict(sp_wfst._fields(sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc_cf").serialized_normalizer_spec()))
+    return spec[2]
+
+
+@pytest.mark.parametrize("kind", [sp_wfst.UNIGRAM, sp_wfst.BPE])
+@pytest.mark.parametrize("extra", [True, False])
+@pytest.mark.parametrize("user", [True, False])
+def test_normaliser_with_a_character_map(charsmap, kind, extra, user):
+    """Character map, extra spaces and user-defined pieces, against the library on a model built by hand."""
+    import sentencepiece
+
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789.,!()$ßé가각"
+    pieces = [("<unk>", 0, 2), ("<s>", 0, 3), ("</s>", 0, 3)] + [(f"<0x{b:02X}>", 0, 6) for b in range(256)]
+    pieces += [("[SEP]", 0, 4), ("xyx", 0, 4)] if user else []
+    merged = ["ab", "abc", "▁a", "▁ab", "he", "▁he", "12", "ss", "xy", "▁x"]
+    pieces += [(p, -1.0 - k / 8, 1) for k, p in enumerate(merged)] + [(c, -4.0 - k / 8, 1) for k, c in enumerate("▁" + letters)]
+
+    def varint(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    field = lambda n, body: varint(n << 3) + varint(body) if isinstance(body, int) else varint(n << 3 | 2) + varint(len(body)) + body
+    model = b"".join(field(1, field(1, p.encode()) + varint(2 << 3 | 5) + struct.pack("<f", s) + field(3, t)) for p, s, t in pieces)
+    model += field(2, field(3, kind) + field(35, 1)) + field(3, field(2, charsmap) + field(3, 1) + field(4, int(extra)) + field(5, 1))
+    lib, m = sentencepiece.SentencePieceProcessor(model_proto=model), sp_wfst.Machine(model)
+    rng = random.Random(8)
+    alphabet = "abcxyhe12 s   \u3000\tＡＢﬁ①²½éÉ\u00ad\u200b가각각ǅ😀SEP[]"
+    texts = ["", " ", "  a  b ", "\u3000a", "a\u3000 b", "\u200b a", "a \u200b b", "[SEP] xyxy [SEP]", "ﬃ ㍿ Straße", "x [SEP]a"]
+    texts += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(30))) for _ in range(600)]
+    got = m.encode(pa.array(texts)).to_pylist()
+    for text, ids in zip(texts, got, strict=True):
+        want = lib.encode(text)
+        if kind == sp_wfst.UNIGRAM and ids != want:
+            assert abs(sum(m.scores[k] for k in ids) - sum(m.scores[k] for k in want)) < 1e-4, text
+        else:
+            assert ids == want, text
+
+
+def test_long_words_take_linear_time():
+    import time
+
+    m = sp_wfst.machine(queries.tokenizer_bytes())
+    rng = random.Random(1)
+    word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(2_000_000))
+    began = time.process_time()
+    ids = m.encode(pa.array([word])).to_pylist()[0]
+    assert time.process_time() - began < 30 and m.decode(ids) == word
+    assert len(m.words[sp_wfst.START]) + len(m.words[sp_wfst.TEXT]) == 0 or word not in m.words[sp_wfst.START]
+
+
+def test_the_memo_is_bounded(monkeypatch):
+    monkeypatch.setattr(sp_wfst, "MEMO_BYTES", 20_000)
+    m = sp_wfst.Machine(queries.tokenizer_bytes())
+    m.encode(pa.array([f"word{k} another{k}" for k in range(2000)]))
+    assert m.held <= 20_000 and sum(map(len, m.words)) < 100
+
+
 # --- media
 
 
