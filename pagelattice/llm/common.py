@@ -5,6 +5,8 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import glob
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +55,14 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def one_thread() -> None:
+    """Keep numpy's matrix products of a task in its own thread: a task has one core, and waiting threads would take
+    those of others."""
+    for path in glob.glob(os.path.join(os.path.dirname(np.__file__), "..", "numpy.libs", "*openblas*")):
+        with contextlib.suppress(OSError, AttributeError):  # another build of the library
+            ctypes.CDLL(path).scipy_openblas_set_num_threads64_(1)
+
+
 def large_text(column: pa.Array) -> pa.Array:
     """The column as large_string without nulls (null counts as empty)."""
     return pc.fill_null(column.cast(pa.large_string()), "")

@@ -1,25 +1,28 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. One pass counts in how many documents each hashed word occurs (all documents; the table has ``BUCKETS``
-   rows whatever the input).
-2. A distributed randomised SVD finds the latent directions of TF-IDF passages: benchmark items, their
-   halves, and passages of a bounded sample of documents (``sample_docs``, by hash order), over the
-   benchmark's own words, since no other word adds to a product with an item. Each pass of the
-   subspace iteration is a Spark job that sums A^T(A Q) over the tasks; only that small matrix returns.
-3. A second pass puts windows over every whole text, seven fifths as long as the item, wherever words of the
-   item begin to occur. The cosine of item and window in the latent space, the window's length taken over
-   all its words, must reach ``min_cosine``.
-   Windows are met through an inverted index of the items' words; the commonest words of an item, which
-   could give no such cosine by themselves, have no postings, and the others must give ``RARE`` of it.
+   rows whatever the input, so rare words that fall into one bucket share a count).
+2. A distributed randomised SVD finds the latent directions of TF-IDF passages: benchmark items, weighted by
+   ``ITEM_WEIGHT``, and passages of a bounded sample of documents (``sample_docs`` by hash order, of each at most
+   ``PER_DOC`` passages spread evenly over its whole text). Its vocabulary are the words of the items and the
+   ``max_features`` words that occur in most documents. Each pass of the subspace iteration is a Spark job that sums
+   A^T(A Q) over the tasks; only that small matrix returns. As many directions are kept as explain ``explained`` of
+   the items, at most ``max_rank``.
+3. Every whole text is cut into cells of ``CELL`` words, folded into the latent space (a passage times the directions,
+   over the singular values). Sums of cells are windows of one to two and a half times an item's length, so placed
+   that any stretch as long as the item lies in one; items of similar length share their windows. The cosine of each
+   window with each item is taken in the latent space alone, and pairs from ``min_cosine`` on are candidates, whatever
+   words they share.
 4. Each candidate pair is checked: the longest common subsequence of words must hold ``verbatim`` of the
    item's words, or ``paraphrase`` of them with the answer's words present. Without an answer column the
    three rarest words of the item stand for its answer; two thirds of them must be in the window.
 
-The benchmark is the query set; it is taken in blocks of ``block_items``, each against all documents.
+The benchmark is the query set; it is taken in blocks of ``block_items``, each with directions of its own and all
+sought in one pass over the documents (``BLOCKS`` at a time, whose indexes have a size fixed by the bounds).
 
-Defined cases: null or empty text holds nothing; items with fewer than ``min_words`` words match only
-verbatim by the same rules; null items and items without words match nothing; repeated items each match;
-repeated rows each return a row; further columns are ignored.
+Defined cases: null or empty text holds nothing; null items and items without words match nothing; repeated items
+each match; repeated rows each return a row; texts and items of any length are taken whole; further columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -34,16 +37,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, drop_codes, hash_words, materialize, words_of
+from .common import chunks, drop_codes, hash_words, materialize, one_thread, words_of
 
 BUCKETS = 1 << 18
-#: An item's commonest words, up to this share of the cosine asked for, have no postings; the other words
-#: must give this share of it.
-COMMON, RARE = 0.95, 0.5
-#: Parts that the bounded sample is dealt out in; text bytes that a search holds at a time.
-SAMPLE_PARTS, SEARCH_BYTES = 12, 2 << 20
-#: Cells of a window.
-CELLS = 7
+#: Words of a passage of the sample, passages of one document, parts that the sample is dealt out in, weight of items.
+PASSAGE, PER_DOC, SAMPLE_PARTS, ITEM_WEIGHT = 40, 5, 6, 4.0
+#: Words of a cell; cells between windows, which are three times as long (each divides the last one that is below 48).
+CELL, STRIDES, WHOLE = 4, (2, 3, 4, 6, 8, 12, 24), 24
+#: Cells that are folded in at a time, so that their sums stay in the cache; text bytes of a search; blocks of items in
+#: one pass.
+CELLS, SEARCH_BYTES, BLOCKS = 24 * 100, 4 << 20, 4
 _EDGE = string.punctuation + "…«»„“”‘’¿¡"
 
 
@@ -54,17 +57,12 @@ class Block:
     coded: list  # the same as features
     where: list  # places of the features in each
     answers: list  # sets of words
-    window: np.ndarray  # by item: words in a window
-    stride: np.ndarray  # by item: words between windows, a whole fraction of the window
-    feature: np.ndarray  # bucket -> feature or -1
-    latent: np.ndarray  # features x items: product of a word's latent vector with the item's unit vector
-    energy: np.ndarray  # idf squared by bucket
-    post_at: np.ndarray  # feature -> first posting; one more than features
-    post_item: np.ndarray
-    post_weight: np.ndarray
-    member: np.ndarray  # features x items: whether the item has the word
+    feature: np.ndarray  # bucket -> feature; the number of features where there is none
+    load: np.ndarray  # features and a row of zeros x rank and one: what a word adds to a window, and whether any item has it
+    latent: np.ndarray  # items x rank, of unit length
+    share: np.ndarray  # features x items: how often the item has the word
     size: np.ndarray  # by item: its words
-    floor: np.ndarray  # by item: what the postings must add up to, over the window's length
+    classes: list  # (stride in cells, positions of the items whose windows these are)
 
 
 def tokens(text: str | None) -> list[str]:
@@ -112,23 +110,21 @@ def document_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
     return counts, int(rows.loc[rows["bucket"] < 0, "n"].sum())
 
 
-def _grids(lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Window and stride for each item: ``CELLS`` strides make a window, two fewer hold the item."""
-    stride = np.maximum(1, -(-np.array(lengths, np.int64) // (CELLS - 2)))
-    return CELLS * stride, stride
-
-
-def _passage_matrix(codes: np.ndarray, ends: np.ndarray, feature: np.ndarray, idf: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """TF-IDF entries (row, column, value) of passages of ``size`` words; rows have unit length at most."""
+def _passages(codes: np.ndarray, ends: np.ndarray, feature: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """TF-IDF entries (row, column, value) of passages; of a long text, ``PER_DOC`` at even distances. Rows have unit
+    length at most, words without a feature counting towards it."""
     starts = np.concatenate([[0], ends[:-1]])
     doc = np.repeat(np.arange(len(ends)), ends - starts)
-    place = (np.arange(len(codes)) - starts[doc]) // size if len(codes) else codes
-    first = np.concatenate([[0], np.cumsum((ends - starts + size - 1) // size)])
-    row = first[doc] + place
+    number = (np.arange(len(codes)) - starts[doc]) // PASSAGE if len(codes) else codes
+    step = np.maximum(1, -(-(-(-(ends - starts) // PASSAGE)) // PER_DOC))
+    kept = number % step[doc] == 0 if len(codes) else np.zeros(0, bool)
+    codes, doc, number = codes[kept], doc[kept], number[kept]
+    row = np.cumsum(np.concatenate([[False], (doc[1:] != doc[:-1]) | (number[1:] != number[:-1])])) if len(codes) else codes
+    n = int(row[-1]) + 1 if len(row) else 0
     weight = idf[codes]
-    length = np.sqrt(np.bincount(row, weights=weight**2, minlength=int(first[-1])))
+    length = np.sqrt(np.bincount(row, weights=weight**2, minlength=n))
     good = feature[codes] >= 0
-    return row[good], feature[codes][good], (weight / np.maximum(length[row], 1e-9))[good], int(first[-1])
+    return row[good], feature[codes][good], (weight / np.maximum(length[row], 1e-9))[good], n
 
 
 def _times(entries: tuple, q: np.ndarray) -> np.ndarray:
@@ -154,36 +150,39 @@ def _times(entries: tuple, q: np.ndarray) -> np.ndarray:
     return out
 
 
-def randomised_svd(spark: SparkSession, sample: DataFrame, extra: tuple, feature: np.ndarray, idf: np.ndarray, n_features: int, rank: int, size: int = 40, rounds: int = 2, seed: int = 11) -> np.ndarray:
-    """Latent directions (n_features x rank) of the passages of ``sample`` and the entries in ``extra``.
+def randomised_svd(spark: SparkSession, sample: DataFrame, extra: tuple, feature: np.ndarray, idf: np.ndarray, n_features: int, rank: int, rounds: int = 3, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """Latent directions (n_features x rank) and singular values of the passages of ``sample`` and the entries in
+    ``extra``; ``feature``: bucket to feature, -1: none.
 
     Subspace iteration with a random start; each round sums A^T(A Q) over the tasks of one job.
     """
     rank = min(rank, n_features)
     wide = min(n_features, rank + 16)
     q = np.linalg.qr(np.random.default_rng(seed).normal(size=(n_features, wide)))[0].astype(np.float32)
-    z = q
+    z = last = q
     for _ in range(rounds):
         z = _times(extra, q)
-        shared = spark.sparkContext.broadcast((feature, idf, q))  # n_features and rank are bounded by block_items
+        shared = spark.sparkContext.broadcast((feature, idf, q))  # sizes are fixed by the bounds on features and rank
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            one_thread()
             feature, idf, q = shared.value
             total = None
             for part in chunks(batches):
                 codes, ends, _, own = encode(part.column(0))
-                got = _times(_passage_matrix(codes, ends, feature[own], idf[own], size), q)
+                got = _times(_passages(codes, ends, feature[own], idf[own]), q)
                 total = got if total is None else total + got
             if total is not None:
                 yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()], pa.binary())], ["part"])
 
         for row in sample.select("text").mapInArrow(run, "part binary").toLocalIterator():
-            z = z + np.frombuffer(row["part"], np.float32).reshape(q.shape)
+            z += np.frombuffer(row["part"], np.float32).reshape(q.shape)
+        shared.unpersist()
         last, q = q, np.linalg.qr(z)[0].astype(np.float32)
     # Rayleigh-Ritz in the last space but one, for which A^T A Q is known
-    values, turn = np.linalg.eigh(last.T @ z)
+    values, turn = np.linalg.eigh((last.T @ z).astype(np.float64))
     best = np.argsort(-values)[:rank]
-    return np.linalg.qr(z @ turn[:, best])[0].astype(np.float32)
+    return (last @ turn[:, best]).astype(np.float32), np.sqrt(np.maximum(values[best], 1e-9))
 
 
 def places(a: list) -> dict:
@@ -205,70 +204,142 @@ def lcs(a: list, b: list, where: dict | None = None) -> int:
     return len(a) - v.bit_count()
 
 
-def search(block: Block, column: pa.Array, min_cosine: float, paraphrase: float, verbatim: float, answer_share: float) -> list[tuple]:
+def stride_of(words: int) -> int:
+    """Cells between the windows of items of so many words: two strides hold any stretch of that length."""
+    cells = -(-words // CELL) + 1
+    need = -(-cells // 2)
+    small = [s for s in STRIDES if s >= need]
+    if small:
+        return small[0]
+    return WHOLE << (-(-need // WHOLE) - 1).bit_length()
+
+
+def _sums(cells: np.ndarray, stride: int, made: dict) -> np.ndarray:
+    """Sums of ``stride`` cells each, from those of its divisors."""
+    if stride == 1:
+        return cells
+    if stride not in made:
+        part = 3 if stride == 3 else 2
+        below = _sums(cells, stride // part, made)
+        made[stride] = sum((below[k::part] for k in range(1, part)), start=below[::part])
+    return made[stride]
+
+
+def _segments(starts: np.ndarray, ends: np.ndarray, overlap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, first word, end): texts, those of more than ``CELLS`` cells in stretches that overlap."""
+    size = max(CELLS * CELL, 4 * overlap)
+    step = size - overlap
+    many = np.maximum(1, -(-(ends - starts - overlap) // step))
+    doc = np.repeat(np.arange(len(starts)), many)
+    first = starts[doc] + step * (np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many))
+    return doc, first, np.minimum(first + size, ends[doc])
+
+
+def _fold(block: Block, feature: np.ndarray, first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Latent sums of the cells of segments, each filled up to a multiple of ``WHOLE`` cells; and the first row of each."""
+    rows = -(-(-(-(stop - first) // CELL)) // WHOLE) * WHOLE
+    base = np.concatenate([[0], np.cumsum(rows)])
+    own = np.repeat(np.arange(len(first)), rows)
+    word = first[own] + CELL * (np.arange(base[-1]) - base[own])
+    none, end = len(block.load) - 1, stop[own]
+    cells, more = np.zeros((int(base[-1]), block.load.shape[1]), np.float32), np.empty((int(base[-1]), block.load.shape[1]), np.float32)
+    for k in range(CELL):
+        at = np.where(word + k < end, feature[np.minimum(word + k, len(feature) - 1)], none)
+        np.take(block.load, at, axis=0, out=more, mode="clip")
+        cells += more
+    return cells, base
+
+
+def candidates(block: Block, feature: np.ndarray, starts: np.ndarray, ends: np.ndarray, min_cosine: float, least: float) -> Iterator[tuple[np.ndarray, ...]]:
+    """(item, document, first word, end, cosine) of the windows that reach ``min_cosine`` with an item and hold words of
+    any items, ``least`` times as many as the item has; ``feature`` by word of all texts."""
+    widest = max(s for s, _ in block.classes)
+    doc, first, stop = _segments(starts, ends, 3 * widest * CELL)
+    some = stop > first
+    doc, first, stop = doc[some], first[some], stop[some]
+    filled = np.cumsum(-(-(stop - first) // CELL))
+    lo = 0
+    while lo < len(first):  # as many segments as the cells allow
+        hi = max(lo + 1, int(np.searchsorted(filled, (filled[lo - 1] if lo else 0) + CELLS, side="right")))
+        cells, base = _fold(block, feature, first[lo:hi], stop[lo:hi])
+        made: dict = {}
+        words = stop[lo:hi] - first[lo:hi]
+        for stride, own in block.classes:
+            if stride <= WHOLE:
+                sums, at = _sums(cells, stride, made), base // stride
+            else:
+                below, wide = _sums(cells, WHOLE, made), stride // WHOLE
+                many = -(-np.diff(base) // stride)
+                at = np.concatenate([[0], np.cumsum(many)])
+                seg = np.repeat(np.arange(hi - lo), many)
+                sums = np.add.reduceat(below, base[seg] // WHOLE + wide * (np.arange(at[-1]) - at[seg]), axis=0)
+            window = sums.copy()
+            window[:-1] += sums[1:]
+            window[:-2] += sums[2:]
+            last = at[1:] - 1  # windows that would reach into the next segment
+            window[last] = sums[last]
+            last = last[at[1:] - at[:-1] > 1]
+            window[last - 1] = sums[last - 1] + sums[last]
+            seg = np.repeat(np.arange(hi - lo), np.diff(at))
+            number = np.arange(len(seg)) - at[seg]
+            full = -(-words // (CELL * stride))
+            # only windows that stand for themselves, and hold as many of the items' words as the checks ask for
+            good = (window[:, -1] >= least * block.size[own].min()) & ((number == 0) | (number <= full[seg] - 3))
+            seg, number, window = seg[good], number[good], window[good]
+            known, window = window[:, -1], window[:, :-1]
+            length = np.maximum(np.sqrt(np.einsum("ij,ij->i", window, window)), np.float32(1e-6))
+            score = window @ block.latent[own].T
+            row, col = np.nonzero(score >= (length * np.float32(min_cosine))[:, None])
+            enough = known[row] >= least * block.size[own][col]
+            row, col = row[enough], col[enough]
+            if len(row):
+                begin = first[lo + seg[row]] + number[row] * stride * CELL
+                end = np.minimum(begin + 3 * stride * CELL, ends[doc[lo + seg[row]]])
+                yield own[col], doc[lo + seg[row]], begin, end, score[row, col] / length[row]
+        lo = hi
+
+
+def search(block: Block, encoded: tuple, min_cosine: float, paraphrase: float, verbatim: float, answer_share: float) -> list[tuple]:
     """Matches (text's row, item's position, start word, lcs share, cosine) of one chunk of texts."""
-    codes, ends, words, own = encode(column)
+    codes, ends, words, own = encoded
     if not len(codes):
         return []
     starts = np.concatenate([[0], ends[:-1]])
-    feature = block.feature[own]
-    total = np.concatenate([[0], np.cumsum(block.energy[own][codes])])
-    at = np.flatnonzero((block.post_at[1:] > block.post_at[:-1])[feature[codes]] & (feature[codes] >= 0))
-    f = feature[codes[at]]
-    many = block.post_at[f + 1] - block.post_at[f]
-    at = np.repeat(at, many)
-    post = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(block.post_at[f], many)
-    item = block.post_item[post]
-    doc = np.searchsorted(ends, at, side="right")
-    cell = (at - starts[doc]) // block.stride[item]
-    # windows begin one cell before a cell that holds some of an item's words, and are CELLS long
-    bits = int(len(codes) // int(block.stride.min()) + CELLS + 1).bit_length()
-    key = ((item * len(ends) + doc) << bits) | cell
-    order = np.argsort(key)
-    key = key[order]
-    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    added = np.concatenate([[0], np.cumsum(block.post_weight[post[order]])])
-    key = key[heads]
-    mass = added[np.append(heads, len(order))[np.searchsorted(key, key + CELLS - 1)]] - added[heads]
-    item, doc = np.divmod(key >> bits, len(ends))
-    start = starts[doc] + np.maximum(0, (key & ((1 << bits) - 1)) - 1) * block.stride[item]
-    stop = np.minimum(start + block.window[item], ends[doc])
-    length = np.sqrt(total[stop] - total[start])
-    good = mass >= block.floor[item] * length
-    item, doc, start, stop, length = item[good], doc[good], start[good], stop[good], length[good]
+    feature = block.feature[own][codes]
+    none = len(block.load) - 1
     best: dict = {}
-    step = 1 << 14
-    for lo in range(0, len(item), step):
-        i, s, e = item[lo : lo + step], start[lo : lo + step], stop[lo : lo + step]
-        size = e - s
-        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(s, size)
-        f = feature[codes[at]]
-        part = np.where(f >= 0, block.latent[f, np.repeat(i, size)], 0)
-        cosine = np.add.reduceat(part, np.cumsum(size) - size) / length[lo : lo + step]
-        near = np.flatnonzero(cosine >= min_cosine)
-        # a common subsequence is no longer than the words of the item that the window has
-        n = size[near]
-        f = feature[codes[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(s[near], n)]]
-        shared = np.add.reduceat((f >= 0) & block.member[f, np.repeat(i[near], n)], np.cumsum(n) - n, dtype=np.int64) if len(near) else n
-        for k in near[shared >= paraphrase * block.size[i[near]]]:
-            q, d = int(i[k]), int(doc[lo + k])
-            have = feature[codes[s[k] : e[k]]]
-            have = have[(have >= 0) & block.member[have, q]]
-            if lcs(block.coded[q], have.tolist(), block.where[q]) < paraphrase * block.size[q]:
-                continue  # hashes agree at least where words do
-            text = words.take(pa.array(codes[s[k] : e[k]])).to_pylist()
-            share = lcs(block.tokens[q], text) / len(block.tokens[q])
-            if share < paraphrase:
-                continue
-            if share < verbatim and len(block.answers[q].intersection(text)) < answer_share * len(block.answers[q]):
-                continue
-            found = (share, float(cosine[k]), int(s[k] - starts[d]))
-            if found > best.get((d, q), (0,)):
-                best[d, q] = found
-    return [(d, q, begin, share, cosine) for (d, q), (share, cosine, begin) in best.items()]
-
-
-def build_block(spark: SparkSession, items: list[tuple], counts: np.ndarray, n_docs: int, sample: DataFrame, min_cosine: float, rank: int | None = None) -> Block | None:
+    for item, doc, begin, end, cosine in candidates(block, feature, starts, ends, min_cosine, paraphrase):
+        step = 1 << 14
+        for lo in range(0, len(item), step):
+            i, s, e = item[lo : lo + step], begin[lo : lo + step], end[lo : lo + step]
+            size = e - s
+            pair = np.repeat(np.arange(len(i)), size)
+            f = feature[np.arange(len(pair)) - np.repeat(np.cumsum(size) - size, size) + s[pair]]
+            # a common subsequence is no longer than what the item has of the window's words
+            has = f < none
+            pair, f = pair[has], f[has]
+            has = block.share[f, i[pair]] > 0
+            key = np.unique(pair[has] * none + f[has])
+            shared = np.bincount(key // none, weights=block.share[key % none, i[key // none]], minlength=len(i))
+            for k in np.flatnonzero(shared >= paraphrase * block.size[i]):
+                q, d = int(i[k]), int(doc[lo + k])
+                have = feature[s[k] : e[k]]
+                have = have[have < none]
+                if lcs(block.coded[q], have[block.share[have, q] > 0].tolist(), block.where[q]) < paraphrase * block.size[q]:
+                    continue  # hashes agree at least where words do
+                text = words.take(pa.array(codes[s[k] : e[k]])).to_pylist()
+                share = lcs(block.tokens[q], text) / len(block.tokens[q])
+                if share < paraphrase:
+                    continue
+                if share < verbatim and len(block.answers[q].intersection(text)) < answer_share * len(block.answers[q]):
+                    continue
+                found = (share, float(cosine[lo + k]), int(s[k] - starts[d]))
+                if found > best.get((d, q), (0,)):
+                    best[d, q] = found
+    return [(d, q, start, share, near) for (d, q), (share, near, start) in best.items()]
+
+
+def build_block(spark: SparkSession, items: list[tuple], counts: np.ndarray, n_docs: int, sample: DataFrame, max_features: int, max_rank: int, explained: float) -> Block | None:
     """``items``: (item_id, text, answer or None). None if no item has words."""
     toks = [tokens(text) for _, text, _ in items]
     kept = [k for k, t in enumerate(toks) if t]
@@ -276,89 +347,94 @@ def build_block(spark: SparkSession, items: list[tuple], counts: np.ndarray, n_d
         return None
     toks = [toks[k] for k in kept]
     idf = np.log((1 + n_docs) / (1 + counts)) + 1
-    vocabulary = sorted({bucket(w) for t in toks for w in t})
+    coded = [[bucket(w) for w in t] for t in toks]
+    own = {b for t in coded for b in t}
+    common = np.lexsort((np.arange(BUCKETS), -counts))[:max_features]
+    vocabulary = np.array(sorted(own.union(common[counts[common] > 0].tolist())))
+    n = len(vocabulary)
     feature = np.full(BUCKETS, -1, np.int64)
-    feature[vocabulary] = np.arange(len(vocabulary))
-    halves = [h for t in toks for h in (t, t[: len(t) // 2], t[len(t) // 2 :]) if h]
-    own = np.array([bucket(w) for h in halves for w in h])
-    row = np.repeat(np.arange(len(halves)), [len(h) for h in halves])
-    length = np.sqrt(np.bincount(row, weights=idf[own] ** 2))
-    # items weigh more than sampled passages, so that the directions tell them apart
-    extra = (row, feature[own], 4 * idf[own] / length[row], len(halves))
-    directions = randomised_svd(spark, sample, extra, feature, idf, len(vocabulary), rank or len(toks) + 32)
-    load = directions * idf[vocabulary][:, None]
-    latent = np.stack([load[feature[[bucket(w) for w in t]]].sum(axis=0) for t in toks])
+    feature[vocabulary] = np.arange(n)
+    row = np.repeat(np.arange(len(toks)), [len(t) for t in toks])
+    column = feature[np.concatenate([np.array(t) for t in coded])]
+    length = np.sqrt(np.bincount(row, weights=idf[vocabulary[column]] ** 2))
+    extra = (row, column, ITEM_WEIGHT * idf[vocabulary[column]] / length[row], len(toks))
+    directions, values = randomised_svd(spark, sample, extra, feature, idf, n, max_rank)
+    plain = np.zeros((len(toks), n), np.float32)
+    np.add.at(plain, (row, column), idf[vocabulary[column]])
+    held = np.cumsum(((plain @ directions) ** 2).sum(axis=0)) / (plain**2).sum()
+    rank = min(len(held), int(np.searchsorted(held, explained)) + 1)
+    fold = directions[:, :rank] / values[:rank]
+    latent = plain @ fold
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-    window, stride = _grids([len(t) for t in toks])
-    energy = idf**2
-    coded = [feature[[bucket(w) for w in t]].tolist() for t in toks]
-    answers, posts, floor = [], [], []
-    for q, (k, t) in enumerate(zip(kept, toks, strict=True)):
-        own_answer = set(tokens(items[k][2]))
-        answers.append(own_answer or set(sorted(set(t), key=lambda w: (-idf[bucket(w)], w))[:3]))
-        own, tf = np.unique([bucket(w) for w in t], return_counts=True)
-        share = (tf * tf * energy[own])[np.argsort(energy[own])]
-        # the commonest words, up to a quarter of what the cosine asks for squared, have no postings
-        left_out = int(np.searchsorted(np.cumsum(share), (COMMON * min_cosine) ** 2 * share.sum(), side="right"))
-        chosen = np.argsort(energy[own])[left_out:]
-        posts += [(int(feature[own[c]]), q, float(tf[c] * energy[own[c]])) for c in chosen]
-        floor.append(RARE * min_cosine * np.sqrt(share.sum()))
-    posts.sort()
-    member = np.zeros((len(vocabulary), len(toks)), bool)
-    for q, t in enumerate(toks):
-        member[feature[[bucket(w) for w in t]], q] = True
-    post_at = np.searchsorted([p[0] for p in posts], np.arange(len(vocabulary) + 1))
+    load = np.zeros((n + 1, rank + 1), np.float32)
+    load[:n, :rank] = idf[vocabulary][:, None] * fold
+    load[feature[sorted(own)], rank] = 1
+    share = np.zeros((n, len(toks)), np.int32)
+    np.add.at(share, (column, row), 1)
+    answers = []
+    for k, t in zip(kept, toks, strict=True):
+        answers.append(set(tokens(items[k][2])) or set(sorted(set(t), key=lambda w: (-idf[bucket(w)], w))[:3]))
+    size = np.array([len(t) for t in toks])
+    strides = np.array([stride_of(int(k)) for k in size])
+    coded = [feature[t].tolist() for t in coded]
     return Block(
-        [items[k][0] for k in kept], toks, coded, [places(c) for c in coded], answers, window, stride, feature, (load @ latent.T).astype(np.float32), energy,
-        post_at, np.array([p[1] for p in posts], np.int64), np.array([p[2] for p in posts]), member, np.array([len(t) for t in toks]), np.array(floor),
+        [items[k][0] for k in kept], toks, coded, [places(c) for c in coded], answers, np.where(feature < 0, n, feature), load, latent.astype(np.float32), share, size,
+        [(int(s), np.flatnonzero(strides == s)) for s in np.unique(strides)],
     )
 
 
 def matches(
-    spark: SparkSession, docs: DataFrame, benchmark: DataFrame, answer_col: str | None = None, block_items: int = 480, sample_docs: int = 3000,
-    min_cosine: float = 0.35, paraphrase: float = 0.5, verbatim: float = 0.8, answer_share: float = 0.6,
+    spark: SparkSession, docs: DataFrame, benchmark: DataFrame, answer_col: str | None = None, block_items: int = 240, sample_docs: int = 2000, max_features: int = 8192,
+    max_rank: int = 224, explained: float = 0.95, min_cosine: float = 0.4, paraphrase: float = 0.5, verbatim: float = 0.8, answer_share: float = 0.6, key_col: str | None = None,
 ) -> DataFrame:
-    """``(doc_id, item_id, start_word, lcs_share, cosine)``: one row for each document and item found in it.
+    """``(doc_id[, key_col], item_id, start_word, lcs_share, cosine)``: one row for each document and item found in it.
 
-    Repeated rows of a document return their rows again.
+    Repeated rows of a document return their rows again. ``key_col``: a bigint column that is passed on.
     """
-    schema = "doc_id bigint, item_id bigint, start_word bigint, lcs_share double, cosine double"
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    names = ["doc_id", *([key_col] if key_col else []), "item_id", "start_word", "lcs_share", "cosine"]
+    schema = ", ".join(f"`{n}` " + ("double" if n in ("lcs_share", "cosine") else "bigint") for n in names)
+    passed = [F.col(key_col).cast("bigint").alias(key_col)] if key_col else []
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *passed)
     answer = F.col(answer_col).cast("string") if answer_col else F.lit(None).cast("string")
     queries = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"), answer.alias("answer"))
     counts, n_docs = document_counts(rows)
     picked = rows.where("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    short = rows.where("length(text) <= 20000").join(F.broadcast(picked.distinct()), "doc_id", "left_semi")  # sample_docs rows at most
+    sampled = rows.join(F.broadcast(picked.distinct()), "doc_id", "left_semi")  # sample_docs rows at most
     # the sample is of one size however large the input, and each of its parts sends a matrix to the driver
-    sample = materialize(spark, short.select("text").repartition(SAMPLE_PARTS), "passages")
-    parts, items = [], []
-    idf_rows = queries.toLocalIterator()  # the query set, a block at a time
+    sample = materialize(spark, sampled.select("text").repartition(SAMPLE_PARTS), "passages")
+    parts, blocks, items = [], [], []
 
-    def finish(items: list) -> None:
-        block = build_block(spark, items, counts, n_docs, sample, min_cosine)
-        if block is None:
-            return
-        shared = spark.sparkContext.broadcast(block)  # bounded by block_items and BUCKETS
+    def seek(blocks: list) -> DataFrame:
+        shared = spark.sparkContext.broadcast(blocks)  # bounded by BLOCKS, block_items, max_features and max_rank
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            block = shared.value
+            one_thread()
             for part in chunks(batches, max_bytes=SEARCH_BYTES):
-                found = search(block, part.column(1), min_cosine, paraphrase, verbatim, answer_share)
+                encoded, found = encode(part.column(1)), []
+                for block in shared.value:
+                    found += [(d, block.item_ids[q], *more) for d, q, *more in search(block, encoded, min_cosine, paraphrase, verbatim, answer_share)]
                 if found:
-                    ids = part.column(0).to_pylist()
-                    cols = [[ids[f[0]] for f in found], [block.item_ids[f[1]] for f in found], *([f[k] for f in found] for k in (2, 3, 4))]
-                    types = [pa.int64()] * 3 + [pa.float64()] * 2
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["doc_id", "item_id", "start_word", "lcs_share", "cosine"])
+                    at = pa.array([f[0] for f in found], pa.int64())
+                    cols = [part.column(0).take(at), *(part.column(k).take(at) for k in range(2, part.num_columns))]
+                    cols += [pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int64()), *(pa.array([f[k] for f in found], pa.float64()) for k in (3, 4))]
+                    yield pa.RecordBatch.from_arrays(cols, names)
+
+        return rows.mapInArrow(run, schema)
 
-        parts.append(rows.mapInArrow(run, schema))
+    def block_of(items: list) -> list:
+        made = build_block(spark, items, counts, n_docs, sample, max_features, max_rank, explained)
+        return [] if made is None else [made]
 
-    for item in idf_rows:
+    for item in queries.toLocalIterator():  # the query set, a block at a time
         items.append((item["item_id"], item["text"], item["answer"]))
         if len(items) == block_items:
-            finish(items)
-            items = []
+            blocks, items = blocks + block_of(items), []
+            if len(blocks) == BLOCKS:
+                parts, blocks = [*parts, seek(blocks)], []
     if items:
-        finish(items)
+        blocks = blocks + block_of(items)
+    if blocks:
+        parts.append(seek(blocks))
     if not parts:
         return spark.createDataFrame([], schema)
     out = parts[0]

@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import struct
 from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -205,7 +206,8 @@ class Machine:
             self._compile_merges()
         self.words: tuple[dict, dict] = {}, {}  # by the state that W enters a word in: START, TEXT
         self.held = 0
-        self.follows: dict[int, bool] = {}
+        self.follows: dict[int, dict[int, bool]] = defaultdict(dict)
+        self.n_follows = 0
         self.bytes_of = [self._piece_bytes(k) for k in range(len(self.pieces))]
 
     def _weigh(self) -> None:
@@ -273,14 +275,14 @@ class Machine:
     def _fallback(self, symbol: str) -> list[int]:
         return [self.byte_ids[b] for b in symbol.encode()] if self.byte_fallback else [self.unk]
 
-    def _passes(self, u: int, v: int) -> bool:
-        """The remembered arc of A from u to v."""
-        pair = u << 20 | v
-        ok = self.follows.get(pair)
-        if ok is None:
-            if len(self.follows) >= MEMO_PAIRS:
-                self.follows.clear()
-            ok = self.follows[pair] = self.may_follow(u, v)
+    def _arc(self, u: int, v: int) -> bool:
+        """An arc of A that wasn't met before, remembered."""
+        if self.n_follows >= MEMO_PAIRS:
+            for known in self.follows.values():  # in place, as a sweep may hold one of them
+                known.clear()
+            self.n_follows = 0
+        self.n_follows += 1
+        ok = self.follows[u][v] = self.may_follow(u, v)
         return ok
 
     def shortest_path(self, symbols: str) -> list[int]:
@@ -290,39 +292,40 @@ class Machine:
         n = len(symbols)
         long = n > MEMO_WORD
         dist = array("d", [INFINITY]) * (n + 1) if long else [INFINITY] * (n + 1)
-        came = array("q", [0]) * (n + 1) if long else [0] * (n + 1)
         last = array("l", [-1]) * (n + 1) if long else [-1] * (n + 1)  # the piece a path ends with; -1: nothing, or fallback
         dist[0] = 0.0
-        root, bad, bigrams, follows, passes = self.trie.root[0], self.bad, self.model_type == BPE, self.follows, self._passes
+        root, bad, bigrams, arc = self.trie.root[0], self.bad, self.model_type == BPE, self._arc
+        nothing: dict[int, bool] = {}
+        symbols_ = [*symbols, None]  # no state has an arc for the end
         for i in range(n):
             so_far = dist[i]
             if so_far == INFINITY:
                 continue
-            at = root.get(symbols[i])
-            alone = at is not None and at[1] >= 0
-            u, j = last[i], i
+            at = root.get(symbols_[i])
+            j, u = i + 1, last[i]
+            if (at is None or at[1] < 0) and so_far + bad < dist[j]:
+                dist[j], last[j] = so_far + bad, -1
+            follows = self.follows[u] if bigrams and u >= 0 else nothing
             while at is not None:
-                j += 1
                 v = at[1]
-                if v >= 0:
-                    d = so_far + at[2]
-                    if d < dist[j]:
-                        if not bigrams or u < 0 or follows.get(u << 20 | v) or passes(u, v):
-                            dist[j], came[j], last[j] = d, i, v
-                if j == n:
-                    break
-                at = at[0].get(symbols[j])
-            if not alone and so_far + bad < dist[i + 1]:
-                dist[i + 1], came[i + 1], last[i + 1] = so_far + bad, i, -1
+                if v >= 0 and so_far + at[2] < dist[j]:
+                    ok = follows.get(v)
+                    if ok is None:
+                        ok = arc(u, v) if bigrams and u >= 0 else True
+                    if ok:
+                        dist[j], last[j] = so_far + at[2], v
+                at = at[0].get(symbols_[j])
+                j += 1
         out: list[int] = []
         j = n
         while j > 0:
-            i, v = came[j], last[j]
+            v = last[j]
             if v >= 0:
                 out.append(v)
+                j -= len(self.pieces[v])
             else:
-                out.extend(reversed(self._fallback(symbols[i:j])))
-            j = i
+                j -= 1
+                out.extend(reversed(self._fallback(symbols[j])))
         out.reverse()
         return out
 

@@ -307,8 +307,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_negati
     return model
 
 
-def score(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
-    """``(doc_id, held_out, score, predicted)`` for each row of ``docs``."""
+def score(spark: SparkSession, docs: DataFrame, model: Model, key_col: str | None = None) -> DataFrame:
+    """``(doc_id[, key_col], held_out, score, predicted)`` for each row of ``docs``; ``key_col``: a bigint column that is
+    passed on."""
     shared = spark.sparkContext.broadcast(model)  # its size is fixed by ROWS, DIMS and FILTERS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,9 +319,10 @@ def score(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
                 s = 1 / (1 + np.exp(-np.clip(logits(model, part.column(1)).astype(np.float64), -40, 40)))
             else:
                 s = np.zeros(part.num_rows)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(s)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([part.column(0), *(part.column(k) for k in range(2, part.num_columns)), pa.array(s)], ["doc_id", *part.schema.names[2:], "score"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = rows.mapInArrow(run, "doc_id bigint, score double")
+    own = [F.col(key_col).cast("bigint").alias(key_col)] if key_col else []
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *own)
+    scored = rows.mapInArrow(run, "doc_id bigint, " + (f"`{key_col}` bigint, " if key_col else "") + "score double")
     held = F.coalesce(F.expr("crc32(cast(doc_id as string)) % 3 = 1"), F.lit(False))
-    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
+    return scored.select("doc_id", *([key_col] if key_col else []), held.alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))

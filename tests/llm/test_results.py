@@ -87,6 +87,51 @@ def test_gray_index_finds_all_pairs():
     assert sets_of(ids, list(zip(a.tolist(), b.tolist(), strict=True))) == sets_of(ids, [tuple(p) for p in want])
 
 
+def test_hierarchy_closes_whole_groups():
+    """Searches look at few nodes; without the hierarchy every pair would be compared, with the same links."""
+    rng = np.random.default_rng(2)
+    prints = np.unique(rng.integers(0, 2**64, 6000, dtype=np.uint64))
+    prints = np.unique(np.concatenate([prints, prints[:500] ^ np.uint64(1 << 40), prints[:500] ^ np.uint64(3)]))
+    figures = simhash.pruning(prints)
+    assert figures["spared"] > 0.8 * figures["pairs"] and figures["closed"] > 0.7 * figures["seen"]
+    assert figures["seen"] < 0.3 * figures["pairs"]
+
+
+def test_arrangements_can_be_undone(spark):
+    rng = np.random.default_rng(3)
+    prints = np.concatenate([rng.integers(0, 2**64, 50, dtype=np.uint64), np.array([0, 1, 2**63, 2**64 - 1], np.uint64)])
+    df = spark.createDataFrame([(int(v),) for v in prints.view(np.int64)], "fp long")
+    for radius in (0, 2, 3):
+        ways = simhash.arrangements(radius)
+        ways += [w for pieces, front in ways for w in simhash.arrangements(radius, pieces, front)] if radius else []
+        for pieces, front in ways:
+            assert sum(n for _, n in pieces) == 64
+            got = df.select("fp", simhash.arranged(pieces).alias("v"), simhash.gray_column(simhash.arranged(pieces)).alias("g")).collect()
+            values = np.array([r["v"] for r in got], np.int64).view(np.uint64)
+            assert (simhash.put_back(values, pieces) == np.array([r["fp"] for r in got], np.int64).view(np.uint64)).all()
+            assert (simhash.gray_rank(values) == np.array([r["g"] for r in got], np.int64).view(np.uint64)).all()
+
+
+@pytest.mark.parametrize("hot", [40, 10**6])
+@pytest.mark.parametrize("radius", [1, 2, 3])
+def test_links_against_all_pairs(spark, monkeypatch, hot, radius):
+    """Also where most fingerprints share a block, so that blocks are put off and arranged again."""
+    monkeypatch.setattr(simhash, "HOT", hot)
+    monkeypatch.setattr(simhash, "RANGE", 64)
+    monkeypatch.setattr(simhash, "SAMPLE", 4)
+    rng = np.random.default_rng(radius)
+    low = rng.integers(0, 2**64, 150, dtype=np.uint64)
+    shared = rng.integers(0, 2**20, 60, dtype=np.uint64) | np.uint64(0xABCDE << 44)
+    base = np.concatenate([low, shared])
+    prints = np.unique(np.concatenate([base] + [base ^ (np.uint64(1) << rng.integers(0, 64, len(base), dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, len(base), dtype=np.uint64)) for _ in range(3)]))
+    df = spark.createDataFrame([(int(v),) for v in prints.view(np.int64)], "fp long")
+    got = [(r["a"] % 2**64, r["b"] % 2**64) for r in simhash.links(df, radius).collect()]
+    near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= radius
+    ids = prints.tolist()
+    want = [(ids[i], ids[j]) for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True)]
+    assert sets_of(ids, got) == sets_of(ids, want) and all((a ^ b).bit_count() <= 64 for a, b in got)
+
+
 def test_near_duplicates_against_all_pairs(spark):
     rng = random.Random(5)
     rows, k = [], 0
@@ -223,13 +268,82 @@ def test_svd_directions(spark):
     feature = np.full(decontam.BUCKETS, -1, np.int64)
     feature[vocabulary] = np.arange(len(vocabulary))
     idf = np.ones(decontam.BUCKETS)
-    found = decontam.randomised_svd(spark, docs, (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), 0), feature, idf, len(vocabulary), 5, rounds=6)
+    found, values = decontam.randomised_svd(spark, docs, (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), 0), feature, idf, len(vocabulary), 5, rounds=6)
     a = np.zeros((80, len(vocabulary)))
     for k, t in enumerate(texts):
         for w in t.split():
             a[k, feature[decontam.bucket(w)]] += 1 / 5
     exact = np.linalg.svd(a)[1]
     assert np.linalg.norm(a @ found) >= 0.97 * np.linalg.norm(exact[:5])
+    assert np.allclose(values, exact[:5], rtol=0.05)
+
+
+def test_recall_of_paraphrases(spark):
+    """Half to four fifths of an item's words, with its answer, in texts of words as common as its own."""
+    rng = random.Random(18)
+    word = lambda: rng.choice(WORDS[:40]) if rng.random() < 0.4 else rng.choice(WORDS)
+    items = []
+    for k in range(40):
+        text = [word() for _ in range(rng.randrange(15, 60))]
+        items.append((k, " ".join(text), " ".join(rng.sample(text, 2))))
+    rows = []
+    for d in range(300):
+        words = [word() for _ in range(rng.randrange(40, 250))]
+        k, text, answer = rng.choice(items)
+        piece, share = [], rng.uniform(0.5, 0.78)
+        for w in text.split():
+            if w in answer.split() or rng.random() < share:
+                piece.append(w)
+            elif d % 3:  # another word in its place, or none
+                piece.append(word())
+        at = rng.randrange(len(words) + 1)
+        words[at:at] = piece
+        rows.append((d, " ".join(words)))
+    found = decontam.matches(spark, spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string, answer string"), answer_col="answer")
+    got = {(r["doc_id"], r["item_id"]) for r in found.collect()}
+    want = set()
+    for d, text in rows:
+        t = text.split()
+        for k, item, answer in items:
+            q, asked = item.split(), set(answer.split())
+            size = int(1.4 * len(q)) + 1
+            for s in range(0, max(1, len(t) - size + len(q) // 4), max(1, len(q) // 8)):
+                part = t[s : s + size]
+                if len(asked & set(part)) >= 0.6 * len(asked) and 0.5 * len(q) <= decontam.lcs(q, part) < 0.8 * len(q):
+                    want.add((d, k))
+                    break
+    assert len(want) > 200
+    assert len(got & want) / len(want) >= 0.95
+
+
+def test_latent_search_leaves_few_pairs(spark):
+    """Almost all pairs of window and item go by their latent cosine alone, and what it keeps holds all planted items."""
+    rng = random.Random(19)
+    word = lambda: rng.choice(WORDS[:40]) if rng.random() < 0.4 else rng.choice(WORDS)
+    items = [(k, " ".join(word() for _ in range(30)), None) for k in range(60)]
+    texts = [" ".join(word() for _ in range(400)) for _ in range(80)]
+    texts = [t + " " + items[k % 60][1] if k % 2 else t for k, t in enumerate(texts)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts, n = decontam.document_counts(docs)
+    block = decontam.build_block(spark, items, counts, n, docs, 8192, 224, 0.95)
+    codes, ends, _, own = decontam.encode(pa.array(texts))
+    starts = np.concatenate([[0], ends[:-1]])
+    met = lambda low: [set(zip(d.tolist(), i.tolist())) for i, d, *_ in decontam.candidates(block, block.feature[own][codes], starts, ends, low, 0.0)]
+    some, every = set().union(*met(0.4)), set().union(*met(-2.0))
+    assert len(every) == 80 * 60 and len(some) < 0.15 * len(every)
+    assert {(k, k % 60) for k in range(1, 80, 2)} <= some
+
+
+def test_items_longer_than_a_stretch(spark):
+    rng = random.Random(20)
+    item = [rng.choice(WORDS) for _ in range(4000)]
+    other = [rng.choice(WORDS) for _ in range(30)]
+    text = [rng.choice(WORDS) for _ in range(30_000)]
+    text[17_000:17_000] = item
+    text[25_000:25_000] = other
+    docs = spark.createDataFrame([(1, " ".join(text)), (2, " ".join(text[:9000]))], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(other))], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontam.matches(spark, docs, items).collect()} == {(1, 1), (1, 2)}
 
 
 # --- PII
