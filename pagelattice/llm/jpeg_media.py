@@ -9,7 +9,10 @@ and its hashes.
 Storing a payload of bytes: each byte is one 8x8 block whose only coefficient is its DC (quantiser 8), so
 the decoded samples of the block, and the thumbnail's pixel, are that byte: the payload is stored without
 loss as 8-bit samples, 192 blocks to a row, a restart interval for each row, and a further image for
-payloads over ``ROWS`` rows.
+payloads over ``ROWS`` rows. The feature holds a thumbnail hash of every image, so all of a payload counts.
+
+Baseline images may come in one interleaved scan or in several; the scan that begins with the first component, the
+luminance, is decoded, and the others, which hold colour alone, are passed over.
 
 Defined cases: null or broken media (not a JPEG, progressive, truncated) return a null thumbnail and a
 reason; a null text counts as empty; repeated rows each return a row; further columns are ignored.
@@ -146,6 +149,7 @@ class Frame:
     interval: int = 0
     scan: list = field(default_factory=list)  # (component's position, dc table, ac table)
     body: bytes = b""
+    tables: tuple = ()
 
 
 def parse(data: bytes) -> list[Frame]:
@@ -192,9 +196,9 @@ def parse(data: bytes) -> list[Frame]:
                 (f.interval,) = struct.unpack(">H", body[:2])
             elif marker == 0xDA:
                 ids = [c[0] for c in f.components]
-                if f.scan or not ids or body[0] != len(ids):
-                    raise ValueError("more than one scan")
-                f.scan = [(ids.index(body[1 + 2 * k]), body[2 + 2 * k] >> 4, body[2 + 2 * k] & 15) for k in range(body[0])]
+                if not ids or not 1 <= body[0] <= len(ids):
+                    raise ValueError("a scan without its components")
+                scan = [(ids.index(body[1 + 2 * k]), body[2 + 2 * k] >> 4, body[2 + 2 * k] & 15) for k in range(body[0])]
                 end = at
                 while True:
                     end = data.find(b"\xff", end)
@@ -204,9 +208,12 @@ def parse(data: bytes) -> list[Frame]:
                         end += 2
                     else:
                         break
-                f.body, at = data[at:end], end
+                if scan[0][0] == 0 and not f.scan:  # the scan that holds the luminance, with the tables as they are now
+                    f.scan, f.body, f.tables = scan, data[at:end], (dict(f.huffman), f.interval)
+                at = end
         if not f.scan:
             raise ValueError("no scan")
+        f.huffman, f.interval = f.tables
         frames.append(f)
     if not frames:
         raise ValueError("no start of image")
@@ -219,11 +226,12 @@ def _signature(f: Frame) -> tuple:
 
 def _layout(f: Frame) -> tuple[list, int, int, int, int]:
     """Blocks of an MCU as (component, dc, ac), MCUs across and down, and luminance blocks of an MCU."""
-    if len(f.components) == 1:  # a scan of one component has one block to an MCU
+    hmax, vmax = max(c[1] for c in f.components), max(c[2] for c in f.components)
+    if len(f.scan) == 1:  # a scan of one component has one block to an MCU, and no more than the component needs
         comps = [(f.components[0], f.scan[0], 1, 1)]
-        across, down, h, v = -(-f.width // 8), -(-f.height // 8), 1, 1
+        wide, high = -(-f.width * f.components[0][1] // hmax), -(-f.height * f.components[0][2] // vmax)
+        across, down, h, v = -(-wide // 8), -(-high // 8), 1, 1
     else:
-        hmax, vmax = max(c[1] for c in f.components), max(c[2] for c in f.components)
         comps = [(f.components[s[0]], s, f.components[s[0]][1], f.components[s[0]][2]) for s in f.scan]
         across, down = -(-f.width // (8 * hmax)), -(-f.height // (8 * vmax))
         h, v = f.components[0][1], f.components[0][2]
@@ -308,8 +316,8 @@ def dc_planes(frames: list[Frame]) -> list[np.ndarray]:
         plane = flat.reshape(down, across, v, h).transpose(0, 2, 1, 3).reshape(down * v, across * h)
         hmax, vmax = max(c[1] for c in f.components), max(c[2] for c in f.components)
         own = f.components[0]
-        tall = -(-f.height * own[2] // (8 * vmax)) if len(f.components) > 1 else plane.shape[0]
-        wide = -(-f.width * own[1] // (8 * hmax)) if len(f.components) > 1 else plane.shape[1]
+        tall = -(-f.height * own[2] // (8 * vmax)) if len(f.scan) > 1 else plane.shape[0]
+        wide = -(-f.width * own[1] // (8 * hmax)) if len(f.scan) > 1 else plane.shape[1]
         out.append(plane[:tall, :wide])
         lane += n
     return out
@@ -395,7 +403,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             payload = b"".join(p.tobytes() for p in planes)
             mean = sum(int(p.sum(dtype=np.int64)) for p in planes) // len(payload)
-            feature = f"{width}x{height}/{images} " + "".join(difference_hash(p) for p in planes[:1]) + f" {mean}"
+            feature = f"{width}x{height}/{images} " + "".join(difference_hash(p) for p in planes) + f" {mean}"
             rows.append((doc, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), *stored, feature, width, height, None))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 

@@ -2,9 +2,10 @@
 
 Groups of rows that must stay together (equal texts) are taken from the largest down, and each goes to
 the least-loaded shard, the heap's top. Groups of one size are interchangeable, so the schedule only needs
-to know how many there are of each: the driver holds one (size, count) pair for each distinct group size
-- of T bytes there can be at most sqrt(2 T), as sizes that differ add up - and replays the heap over them;
-a long run of equal groups is settled by filling the shards to a common level first, which is where the
+to know how many there are of each: the driver holds one (size, count) pair for each distinct group size, the one
+thing here that grows with the data - of T bytes there can be at most sqrt(2 T), as sizes that differ add up - and
+replays the heap over them; what it sends back is, for each size, the shards that get some of its groups (one shard
+for a group of its own size) and how many. A long run of equal groups is settled by filling the shards to a common level first, which is where the
 heap would bring them. Which of its equals a group is, is counted on the executors, in two steps (within a
 slice, then over slices), so no task sees all groups of a size, nor all rows of a shard when slots are dealt.
 
@@ -82,16 +83,16 @@ def shard(spark: SparkSession, docs: DataFrame, shards: int = 24) -> DataFrame:
     in_slice = groups.groupBy("total", "slice").agg(F.count("*").alias("n"))
     have = in_slice.groupBy("total").agg(F.sum("n").alias("n")).toPandas().sort_values("total", ascending=False)
     given, _ = schedule(have["total"].tolist(), have["n"].tolist(), shards)
-    stops = np.cumsum(given, axis=1)
-    plan = spark.createDataFrame(
-        pd.DataFrame({"total": have["total"].to_numpy(np.int64), "stops": [s.tolist() for s in stops]}), "total bigint, stops array<bigint>"
-    )
+    row, home = np.nonzero(given)
+    stop = np.cumsum(given, axis=1)[row, home]
+    plan = spark.createDataFrame(pd.DataFrame({"total": have["total"].to_numpy(np.int64)[row], "stop": stop, "home": home.astype(np.int32)}), "total bigint, stop bigint, home int")
+    plan = materialize(spark, plan, "plan").groupBy("total").agg(F.array_sort(F.collect_list(F.struct("stop", "home"))).alias("stops"))  # at most ``shards`` of each
     before = F.sum("n").over(Window.partitionBy("total").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1))
     base = in_slice.withColumn("base", F.coalesce(before, F.lit(0))).join(plan, "total").select("total", "slice", "base", "stops")
     place = F.row_number().over(Window.partitionBy("total", "slice").orderBy("key")) - 1
     ranked = groups.withColumn("place", place).join(base, ["total", "slice"])
     # the first shard whose stop lies beyond the group's place
-    at = F.expr("cast(size(filter(stops, s -> s <= base + place)) as int)")
+    at = F.expr("filter(stops, s -> s.stop > base + place)[0].home")
     homes = ranked.select("key", at.alias("shard"))
     # the hot groups' rows are split by Spark's skew join; each row only carries its key
     housed = rows.join(homes, "key").select("doc_id", "size", "text_crc32", "shard")

@@ -37,6 +37,16 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(spark, table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def url_rules_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3 with labels that depend on the URLs, as those of the sample tables don't: pages of one kind of host are
+    bad, pages of another with a query key, and one in twelve of all pages by chance."""
+    pages = table(spark, sf_dir, "pages")
+    planted = F.expr("url like '%://blog.%' or url like '%.net/%' and url like '%?%'")
+    chance = F.expr("pmod(xxhash64(page_id), 12) = 0")
+    labels = pages.select(F.col("page_id").alias("doc_id"), F.when(planted | chance, 0).otherwise(1).alias("quality"), F.lit(0).alias("toxic"))
+    return url_rules.judge(spark, pages, labels)
+
+
 def op4_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = lpt_shards.shard(spark, table(spark, sf_dir, "documents"), 24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -117,6 +127,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_warc_revisits,
         op10_decontamination_lsa,
         sentencepiece_unigram,
+        url_rules_planted,
     ]
     return {f.__name__: f for f in own}
 

@@ -64,6 +64,7 @@ def resolve(spark: SparkSession, records: DataFrame, slices: int | None = None)
     """
     rows = records.select("record_id", canonical_url("url").alias("url_key"), "warc_date", "status", "kind", "headers", "payload_digest")
     rows = rows.where("kind = 'revisit' or kind = 'response' and status = 200 and url_key is not null and warc_date is not null")
+    rows = materialize(spark, rows, "parsed")  # ranges are sampled, and headers should be parsed but once
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(n, "url_key", "warc_date", "record_id").withColumn("slice", F.spark_partition_id())
     dealt = materialize(spark, dealt, "records")  # its slices are fixed from here on

@@ -708,43 +708,49 @@ def test_payloads_survive():
     assert got[0][:3] == (1536, 8, 1) and got[-1][2] == 2
 
 
-def colour_jpeg(width, height, rng):
-    """A 4:2:0 baseline image by hand, with AC coefficients and no restarts; also the luminance DC levels."""
+def colour_jpeg(width, height, rng, apart=False):
+    """A 4:2:0 baseline image by hand, with AC coefficients and no restarts, in one scan or in one for each component;
+    also the luminance DC levels."""
     dc = jpeg_media.huffman_codes(jpeg_media.DC_COUNTS, jpeg_media.DC_VALUES)
     ac_values = bytes([0x00, 0x01, 0x11, 0x02, 0xF0])
     ac_counts = bytes([0, 1, 1, 1, 1, 1] + [0] * 10)
     ac = {s: (c, n) for s, c, n in jpeg_media.huffman_codes(ac_counts, ac_values)}
     dc = {s: (c, n) for s, c, n in dc}
-    bits = []
-
-    def put(code, n):
-        bits.extend(code >> k & 1 for k in range(n - 1, -1, -1))
-
     across, down = -(-width // 16), -(-height // 16)
-    plane = np.zeros((down * 2, across * 2), int)
-    last = [0, 0, 0]
-    for y in range(down):
-        for x in range(across):
-            for comp, (dy, dx) in [(0, (0, 0)), (0, (0, 1)), (0, (1, 0)), (0, (1, 1)), (1, (0, 0)), (2, (0, 0))]:
-                level = rng.randrange(-60, 60)
-                if comp == 0:
-                    plane[2 * y + dy, 2 * x + dx] = level
-                diff = level - last[comp]
-                last[comp] = level
-                size = abs(diff).bit_length()
-                put(*dc[size])
-                put(diff if diff >= 0 else diff + (1 << size) - 1, size)
-                for symbol in rng.choice([[], [0x01], [0x11, 0x02], [0xF0, 0x11]]):
-                    put(*ac[symbol])
-                    put(rng.randrange(1 << (symbol & 15)), symbol & 15)
-                put(*ac[0])
-    bits += [1] * (-len(bits) % 8)
-    body = bytes(int("".join(map(str, bits[k : k + 8])), 2) for k in range(0, len(bits), 8)).replace(b"\xff", b"\xff\x00")
+    planes = [np.array([[rng.randrange(-60, 60) for _ in range(across * k)] for _ in range(down * k)]) for k in (2, 1, 1)]
+
+    def coded(blocks):
+        """Entropy-coded bytes of blocks (component, row, column)."""
+        bits, last = [], [0, 0, 0]
+
+        def put(code, n):
+            bits.extend(code >> k & 1 for k in range(n - 1, -1, -1))
+
+        for comp, y, x in blocks:
+            level = int(planes[comp][y, x])
+            diff = level - last[comp]
+            last[comp] = level
+            size = abs(diff).bit_length()
+            put(*dc[size])
+            put(diff if diff >= 0 else diff + (1 << size) - 1, size)
+            for symbol in rng.choice([[], [0x01], [0x11, 0x02], [0xF0, 0x11]]):
+                put(*ac[symbol])
+                put(rng.randrange(1 << (symbol & 15)), symbol & 15)
+            put(*ac[0])
+        bits += [1] * (-len(bits) % 8)
+        return bytes(int("".join(map(str, bits[k : k + 8])), 2) for k in range(0, len(bits), 8)).replace(b"\xff", b"\xff\x00")
+
     seg = jpeg_media._segment
     head = b"\xff\xd8" + seg(0xE0, b"JFIF\x00 and so on") + seg(0xDB, b"\x00" + bytes([16] * 64) + b"\x01" + bytes([16] * 64))
     head += seg(0xC0, struct.pack(">BHHB", 8, height, width, 3) + bytes([1, 0x22, 0, 2, 0x11, 1, 3, 0x11, 1]))
-    head += seg(0xC4, b"\x00" + jpeg_media.DC_COUNTS + jpeg_media.DC_VALUES + b"\x10" + ac_counts + ac_values)
-    return head + seg(0xDA, bytes([3, 1, 0, 2, 0, 3, 0, 0, 63, 0])) + body + b"\xff\xd9", plane
+    tables = seg(0xC4, b"\x00" + jpeg_media.DC_COUNTS + jpeg_media.DC_VALUES + b"\x10" + ac_counts + ac_values)
+    if not apart:
+        order = [(c, 2 * y + dy if c == 0 else y, 2 * x + dx if c == 0 else x) for y in range(down) for x in range(across) for c, dy, dx in ((0, 0, 0), (0, 0, 1), (0, 1, 0), (0, 1, 1), (1, 0, 0), (2, 0, 0))]
+        return head + tables + seg(0xDA, bytes([3, 1, 0, 2, 0, 3, 0, 0, 63, 0])) + coded(order) + b"\xff\xd9", planes[0]
+    body = b""
+    for comp, (wide, high) in enumerate([(-(-width // 8), -(-height // 8))] + [(-(-(-(-width // 2)) // 8), -(-(-(-height // 2)) // 8))] * 2):
+        body += tables + seg(0xDA, bytes([1, comp + 1, 0, 0, 63, 0])) + coded([(comp, y, x) for y in range(high) for x in range(wide)])
+    return head + body + b"\xff\xd9", planes[0]
 
 
 @pytest.mark.parametrize(("width", "height"), [(64, 48), (33, 17), (200, 120)])
@@ -758,6 +764,26 @@ def test_colour_images(width, height):
     assert cut[0][4] and cut[1][4] is None and cut[2][4] == "not a baseline frame"
 
 
+@pytest.mark.parametrize(("width", "height"), [(16, 16), (33, 17), (100, 51)])
+def test_images_of_several_scans(width, height):
+    """The same image in one interleaved scan and in one for each component gives the same thumbnail."""
+    together, plane = colour_jpeg(width, height, random.Random(width))
+    apart, same = colour_jpeg(width, height, random.Random(width), apart=True)
+    assert (plane == same).all()
+    want = np.clip(np.floor(plane * 16 / 8 + 128.5), 0, 255)[: -(-height // 8), : -(-width // 8)]
+    for data in (together, apart):
+        [(w, h, images, planes, reason)] = jpeg_media.thumbnails([data])
+        assert reason is None and (w, h, images) == (width, height, 1) and (planes[0] == want).all()
+
+
+def test_the_feature_sees_all_of_a_payload(spark):
+    long = "a" * (192 * (jpeg_media.ROWS + 40))
+    other = long[: 192 * jpeg_media.ROWS] + "ab" * (96 * 40)
+    got = jpeg_media.read_media(jpeg_media.store_texts(spark.createDataFrame([(1, long), (2, other)], "doc_id long, text string"))).collect()
+    hashes = [r["feature"].split()[1] for r in got]
+    assert hashes[0] != hashes[1] and all(len(h) == 32 for h in hashes)
+
+
 def test_media_query_columns(spark):
     texts = ["", "a" * 192, "é" * 100, "word " * 300]
     got = jpeg_media.read_media(jpeg_media.store_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))).collect()
@@ -765,6 +791,40 @@ def test_media_query_columns(spark):
         raw = texts[r["doc_id"]].encode()
         pay = raw + b" " * (-len(raw) % 192 or (0 if raw else 192))
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(pay), hashlib.sha256(pay).hexdigest(), zlib.crc32(pay[-16:]))
+        stored = plain_jpeg(pay)
+        assert (r["media_bytes"], r["media_sha256"]) == (len(stored), hashlib.sha256(stored).hexdigest())
+        rows = len(pay) // 192
+        assert r["feature"] == f"1536x{8 * rows}/1 {plain_hash(pay)} {sum(pay) // len(pay)}"
+
+
+def plain_jpeg(pay):
+    """The stored form of a payload of one image, symbol by symbol."""
+    code = {s: f"{c:0{n}b}" for s, c, n in jpeg_media.huffman_codes(jpeg_media.DC_COUNTS, jpeg_media.DC_VALUES)}
+    out = jpeg_media._head(len(pay) // 192)
+    rows = [pay[k : k + 192] for k in range(0, len(pay), 192)]
+    for k, row in enumerate(rows):
+        bits, last = "", 0
+        for b in row:
+            diff, last = b - 128 - last, b - 128
+            size = abs(diff).bit_length()
+            bits += code[size] + (f"{diff if diff > 0 else diff + (1 << size) - 1:0{size}b}" if size else "") + "0"
+        bits += "1" * (-len(bits) % 8)
+        out += bytes(int(bits[j : j + 8], 2) for j in range(0, len(bits), 8)).replace(b"\xff", b"\xff\x00")
+        out += bytes([0xFF, 0xD0 + k % 8]) if k < len(rows) - 1 else b"\xff\xd9"
+    return out
+
+
+def plain_hash(pay):
+    """Difference hash of the payload's 192 columns, cell means by whole sums."""
+    rows = [pay[k : k + 192] for k in range(0, len(pay), 192)]
+    ys, xs = [int(len(rows) * k / 8) for k in range(9)], [int(192 * k / 9) for k in range(10)]
+    bits = ""
+    for k in range(8):
+        lo = min(ys[k], len(rows) - 1)
+        part = rows[lo : max(ys[k + 1], lo + 1)]
+        means = [sum(sum(r[xs[j] : xs[j + 1]]) for r in part) / (len(part) * (xs[j + 1] - xs[j])) for j in range(9)]
+        bits += "".join(str(int(b > a)) for a, b in zip(means[:-1], means[1:], strict=True))
+    return f"{int(bits, 2):016x}"
 
 
 # --- URLs, shards, WARC, HTML
@@ -783,19 +843,43 @@ def test_rules_against_counting(spark):
     bad = {k for k, q, _ in labels if q == 0}
     n, hits = Counter(), Counter()
     df = Counter(t for ts in tokens.values() for t in ts)
+    where = {t: frozenset(k for k, ts in tokens.items() if t in ts) for t in df if 30 <= df[t] < 1500}
+    reps = {min((t for t in where if where[t] == w), key=lambda t: (len(t), t)) for w in set(where.values())}
+    base = len(bad) / 1500
     for k, ts in tokens.items():
-        own = sorted(t for t in ts if 30 <= df[t] <= 750)
+        own = sorted(reps.intersection(ts))
         for size in range(1, 5):
             for c in itertools.combinations(own, size):
                 n[c] += 1
                 hits[c] += k in bad
-    good = {c: hits[c] / n[c] for c in n if n[c] >= 30 and hits[c] / n[c] >= 0.6}
+    low = lambda p, m: (p + 9 / (2 * m) - 3 * (p * (1 - p) / m + 9 / (4 * m * m)) ** 0.5) / (1 + 9 / m)
+    good = {c: hits[c] / n[c] for c in n if n[c] >= 30 and hits[c] / n[c] >= max(0.5, 1.5 * base) and low(hits[c] / n[c], n[c]) > base}
     want = {c for c in good if not any(good[b] >= good[c] for size in range(1, len(c)) for b in itertools.combinations(c, size) if b in good)}
     mined = url_rules.mine(url_rules.with_tokens(pages), marks).collect()
     assert {tuple(r["items"]) for r in mined} == want and want
     assert all(abs(r["confidence"] - good[tuple(r["items"])]) < 1e-12 for r in mined)
     told = {r["page_id"]: r["verdict"] for r in url_rules.judge(spark, pages, marks).collect()}
     assert all(told[k] == ("block" if any(set(c) <= set(ts) for c in want) else "allow") for k, ts in tokens.items())
+    assert {"s:https"} not in [set(c) for c in want] and any(df[t] > 750 for c in reps for t in [c])  # common tokens are mined too
+
+
+def test_planted_rules_are_mined_and_met(spark, tiny):
+    got = queries.url_rules_planted(spark, "/root/testdata/sf0.01").collect()
+    met = [r for r in got if r["mined_rule"]]
+    assert {r["mined_rule"] for r in met} and len(met) >= 20
+    pages = {r["page_id"]: r["url"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()}
+    spam = lambda u: "://blog." in u or ".net/" in u and "?" in u
+    free = [r for r in got if r["rule"] is None and pages[r["page_id"]]]
+    assert all(r["verdict"] == ("block" if r["mined_rule"] else "allow") for r in free)
+    assert sum(spam(pages[r["page_id"]]) for r in met) >= 0.7 * len(met)  # rules are right for half of their pages at least
+    blog = [r for r in got if "://blog." in (pages[r["page_id"]] or "")]
+    assert sum(bool(r["mined_rule"]) for r in blog) >= 0.9 * len(blog) > 0
+
+
+def test_shorter_rules_make_longer_ones_fall(spark):
+    rows = spark.createDataFrame([(["a", "b", "c"],), (["a"],)], "items array<string>")
+    got = [sorted(map(tuple, r["s"])) for r in rows.select(F.expr(url_rules.SUBSETS).alias("s")).collect()]
+    assert got[0] == sorted(c for k in range(1, 4) for c in itertools.combinations("abc", k)) and got[1] == [("a",)]
 
 
 @settings(deadline=None, max_examples=60)
