@@ -979,11 +979,73 @@ def test_warc_files():
     ("<table><td>x<td>y</table>", "x | y"),
     ("<h1>h</h1>p<hr>q", "h\n\np\nq"),
     ("<p>a</div>b</p>c", "ab\n\nc"),
+    ("<style>@media print{.n{display:none}} @media screen and (max-width: 600px){p{display:none}}</style><b class=n>nav</b> <p>text", "nav\n\ntext"),
+    ("<style>@media screen{.n{display:none}} @supports (x:y){i{display:none}} u{display:none} u{display:block}</style><b class=n>a</b><i>b</i><u>c</u>", "c"),
+    ("<style>.a{display:none !important} .a{display:block} @media not print{s{display:none}}</style><b class=a>x</b><s>y</s>z", "z"),
+    ("<select><option>a<option selected>b</select> <select><option disabled>c<option>d</select> <select multiple><option>e<option>f</select>", "b d e\nf"),
+    ("<input value=v> <input placeholder=p> <input type=submit> <input type=button value=go> <input type=hidden value=h><input type=password value=w><button>ok</button>", "v p Submit go ok"),
+    ("<svg><title>t</title><defs><text>d</text></defs><text>one</text><g><text>two</text></g></svg>", "one two"),
+    ("<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math>", "x=1"),
+    ("<object>shown</object><object data=x>not</object><video>no</video>", "shown"),
+    ("<table><tr><td rowspan=2>a<td>b<td>c<tr><td>d<td>e<tr><td>ff<td>g<td>h</table>", "a  | b | c\n   | d | e\nff | g | h"),
+    ("<table><tr><td rowspan=0 colspan=2>a<td>b<tr><td>c</table>", "a   | b\n |  | c"),
+    ("<table><tr><td><ul><li>x<li>y</ul><td>z<tr><td>w<td>v</table>", "- x | z\n- y |\nw   | v"),
+    ("a < b <c", "a < b <c"),
+    ("<a title='x>y' href=\"q'>\">link</a> it's <b>\"so\"</b>", "link it's \"so\""),
+    ("<script>a</scripty></script x>b", "b"),
 ])
 def test_pages(source, text):
     assert html_extract.extract(source) == text
 
 
+@pytest.mark.parametrize("source", ["<a " * 300_000, "<a b=\"" * 200_000 + ">", "<a b=\"\"" * 100_000 + "=\"> \"", "<script>" + "</script " * 100_000, "<!--" * 200_000, "<style>" + "/*" * 300_000 + "</style>x", "<i>" * 200_000, "<b>x</b>" * 100_000, "<table>" + "<td>x" * 50_000], ids=range(9))
+def test_pages_are_read_in_linear_time(source):
+    import time
+
+    began = time.process_time()
+    html_extract.extract(source)
+    assert time.process_time() - began < 10
+
+
+def plain_visible(source):
+    """Words of a well-formed page without style sheets, controls and pictures, by the library's parser."""
+    import html.parser
+
+    class Reader(html.parser.HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.words, self.off = [], 0
+
+        def handle_starttag(self, tag, attrs):
+            self.off += tag in ("script", "style")
+
+        def handle_endtag(self, tag):
+            self.off -= tag in ("script", "style")
+
+        def handle_data(self, data):
+            if not self.off:
+                self.words += data.split()
+
+    reader = Reader()
+    reader.feed(source)
+    return reader.words
+
+
+def test_no_word_is_lost_on_the_sample_pages(spark, tiny):
+    rows = spark.read.parquet(f"{tiny}/pages.parquet").collect()
+    seen = 0
+    for r in rows:
+        body = re.sub("(?s)<(head|title|noscript|template)\\b.*?</\\1>", " ", r["html"] or "")
+        if re.search("hidden|display|visibility|<select|<input|<details|<dialog|<svg|<object|<iframe", body):
+            continue
+        want, got = plain_visible(body), html_extract.extract(r["html"])
+        seen += 1
+        bare = re.sub(r"(?m)^\s*(?:-|\d+\.) ", "", got)
+        # bars and bullets part cells and items; inline tags may stand within a word
+        assert sorted("".join(want).replace("|", "")) == sorted(re.sub(r"[\s|]", "", bare))
+    assert seen > 10
+
+
 @settings(deadline=None)
 @given(st.text(alphabet="<>/=\"' abptdrliuh!-&;#x", max_size=80))
 def test_markup_never_fails(source):
