@@ -5,13 +5,17 @@ each; a word's vector is the element-wise minimum of its two rows, as in a count
 of its beginning, so a clean word that shares one row with a toxic one isn't lifted by it. Filters one,
 two and three words wide slide over the whole text, each keeps its largest answer, and a logistic layer
 weighs these. Rows start from the evidence of their words in the training texts (a Wilson lower bound, so
-a few chance meetings count nothing) and are then trained with the filters by Adam. At last each language,
-told apart by its function words in the text itself, gets the threshold that parts its training texts
-best, and scores are shifted so that this threshold stands at ``CUT``.
+a few chance meetings count nothing) and are then trained with the filters by Adam.
 
-Bounds: the model is fit on at most ``max_positive`` + ``max_negative`` labelled texts of at most
-``max_chars`` characters, taken in the order of a hash of doc_id; executors encode them, and the driver holds
-four bytes a word. Scoring covers every whole text.
+The labelled texts are parted in ``FOLDS``; each part calibrates the thresholds of a network that learnt from the others:
+the one with the fewest errors, a false alarm counting as ``ALARM`` misses (clean texts outnumber toxic ones, and should
+stay), and one of its own for each language, told apart by its function words in the text itself, that has ``ENOUGH``
+toxic and clean texts in the part. Logits are shifted so that the threshold stands at ``CUT``, and a text's score is by
+their mean over the networks.
+
+Bounds: the model is fit on at most ``max_positive`` + ``max_negative`` labelled texts, whole ones of any length, taken
+in the order of a hash of doc_id; executors encode them, and the driver holds four bytes a word. Scoring covers every
+whole text.
 
 Defined cases: null text counts as empty and gets the score of an empty text; a null label or doc_id
 trains nothing; several labels of a doc_id count as the largest; without labelled rows of both kinds every
@@ -30,13 +34,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, drop_codes, give_back, materialize, words_of
+from .common import chunks, drop_codes, give_back, materialize, one_thread, words_of
 
 CUT = 0.7
 ROWS = 1 << 16
 DIMS = 4
 WIDTHS = (1, 2, 3)
 FILTERS = 8
+#: Texts that a row must be met in to be trained without evidence of its own: words that tell something in company.
+COMMON = 20
+#: Parts of the labelled texts that calibrate in turn; errors that a false alarm weighs; texts of each kind for a
+#: threshold of one's own.
+FOLDS, ALARM, ENOUGH = 2, 4, 8
 _EDGE = string.punctuation + "…«»„“”‘’¿¡"
 #: Frequent function words by which a text's language is told (fixed values).
 FUNCTION_WORDS = {
@@ -49,7 +58,7 @@ LANGS = [*FUNCTION_WORDS, "other"]
 
 
 @dataclass
-class Model:
+class Part:
     tables: np.ndarray  # (4, ROWS, DIMS): two for words, two for their beginnings
     filters: dict  # width -> (width, 2 * DIMS, FILTERS)
     bias: dict  # width -> (FILTERS,)
@@ -59,6 +68,17 @@ class Model:
     trained: bool = True
 
 
+@dataclass
+class Model:
+    """Networks that score by the mean of their calibrated logits; none where there was nothing to learn from."""
+
+    parts: list[Part]
+
+    @property
+    def trained(self) -> bool:
+        return bool(self.parts)
+
+
 def _keys(vocabulary: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows of each word in the four tables, its language (-1: none), and whether it has letters at all."""
     of = {w: k for k, lang in enumerate(LANGS[:-1]) for w in FUNCTION_WORDS[lang]}
@@ -90,12 +110,12 @@ def encode(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return codes, ends, rows, spoken
 
 
-def vectors(model: Model, rows: np.ndarray) -> np.ndarray:
+def vectors(model: Part, rows: np.ndarray) -> np.ndarray:
     t = model.tables
     return np.concatenate([np.minimum(t[0, rows[:, 0]], t[1, rows[:, 1]]), np.minimum(t[2, rows[:, 2]], t[3, rows[:, 3]])], axis=1)
 
 
-def pooled(model: Model, codes: np.ndarray, ends: np.ndarray, rows: np.ndarray, at: bool = False):
+def pooled(model: Part, codes: np.ndarray, ends: np.ndarray, rows: np.ndarray, at: bool = False):
     """Largest answer of each filter in each text, at least 0; with ``at`` also where it was (-1: nowhere)."""
     n = len(ends)
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if n else np.zeros(0, np.int64)
@@ -125,7 +145,7 @@ def pooled(model: Model, codes: np.ndarray, ends: np.ndarray, rows: np.ndarray,
     return (np.concatenate(found, axis=1), where) if at else np.concatenate(found, axis=1)
 
 
-def _in_slices(model: Model, codes: np.ndarray, ends: np.ndarray, rows: np.ndarray, words: int = 1 << 17) -> np.ndarray:
+def _in_slices(model: Part, codes: np.ndarray, ends: np.ndarray, rows: np.ndarray, words: int = 1 << 17) -> np.ndarray:
     """Logits of all texts before the shift, holding about ``words`` words at a time."""
     out, lo = np.empty(len(ends)), 0
     while lo < len(ends):
@@ -138,7 +158,7 @@ def _in_slices(model: Model, codes: np.ndarray, ends: np.ndarray, rows: np.ndarr
 
 def logits(model: Model, column: pa.Array) -> np.ndarray:
     codes, ends, rows, spoken = encode(column)
-    return _in_slices(model, codes, ends, rows) + model.shift[spoken]
+    return np.mean([_in_slices(part, codes, ends, rows) + part.shift[spoken] for part in model.parts], axis=0)
 
 
 def _wilson(pos: np.ndarray, n: np.ndarray, z: float) -> np.ndarray:
@@ -156,14 +176,40 @@ def train_encoded(
     codes: np.ndarray, ends: np.ndarray, rows: np.ndarray, spoken: np.ndarray, labels: np.ndarray,
     seed: int = 7, epochs: int = 6, batch: int = 64, rate: float = 0.01, z: float = 3.0,
 ) -> Model:
-    """Train on texts as ``encode`` returns them."""
-    rng = np.random.default_rng(seed)
+    """Train on texts as ``encode`` returns them: a model for each part, of the others, calibrated on that part."""
     y = np.asarray(labels, np.float32)
+    fold = np.zeros(len(y), np.int64)
+    fold[np.argsort(-y, kind="stable")] = np.arange(len(y)) % FOLDS  # both kinds are dealt out evenly
+    parts, goal = [], np.log(CUT / (1 - CUT))
+    for k in range(FOLDS):
+        model = _fitted(*_only(codes, ends, fold != k), rows, y[fold != k], seed + k, epochs, batch, rate, z)
+        if model.trained and 0 < y[fold == k].sum() < (fold == k).sum():
+            raw, truth, tongue = _in_slices(model, *_only(codes, ends, fold == k), rows), y[fold == k], spoken[fold == k]
+            everywhere = _threshold(raw, truth)
+            for j in range(len(LANGS)):
+                own = tongue == j
+                enough = truth[own].sum() >= ENOUGH and (1 - truth[own]).sum() >= ENOUGH
+                model.shift[j] = goal - (_threshold(raw[own], truth[own]) if enough else everywhere)
+            parts.append(model)
+    return Model(parts)
+
+
+def _only(codes: np.ndarray, ends: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words and ends of some of the texts."""
+    size = np.diff(np.concatenate([[0], ends]))
+    return codes[np.repeat(kept, size)], np.cumsum(size[kept])
+
+
+def _fitted(codes: np.ndarray, ends: np.ndarray, rows: np.ndarray, y: np.ndarray, seed: int, epochs: int, batch: int, rate: float, z: float) -> Part:
+    """Tables, filters and weights by evidence and Adam, without thresholds."""
+    rng = np.random.default_rng(seed)
     tables = np.zeros((4, ROWS, DIMS), np.float32)
-    filters = {w: rng.normal(0, 0.02, (w, 2 * DIMS, FILTERS)).astype(np.float32) for w in WIDTHS}
-    bias = {w: np.full(FILTERS, -0.3, np.float32) for w in WIDTHS}
-    out = np.full(len(WIDTHS) * FILTERS, 0.25, np.float32)
-    model = Model(tables, filters, bias, out, -2.0, np.zeros(len(LANGS), np.float32), trained=bool(len(y)) and 0 < y.sum() < len(y))
+    # the first filters begin as sums of evidence, the others at random, without a say until training gives them one
+    led = np.arange(FILTERS) < FILTERS // 2
+    filters = {w: np.where(led, rng.normal(0, 0.02, (w, 2 * DIMS, FILTERS)), rng.normal(0, 0.6, (w, 2 * DIMS, FILTERS))).astype(np.float32) for w in WIDTHS}
+    bias = {w: np.where(led, -0.3, 0.0).astype(np.float32) for w in WIDTHS}
+    out = np.tile(np.where(led, 0.25, 0.0), len(WIDTHS)).astype(np.float32)
+    model = Part(tables, filters, bias, out, -2.0, np.zeros(len(LANGS), np.float32), trained=bool(len(y)) and 0 < y.sum() < len(y))
     if not model.trained:
         return model
     starts = np.concatenate([[0], ends[:-1]])
@@ -185,11 +231,11 @@ def train_encoded(
         tables[t, :, 0] = np.maximum(0, np.log(low / (1 - low)) - np.log(prior / (1 - prior)))
         high = np.clip(1 - _wilson(seen - toxic, seen, z), 1e-6, 1 - 1e-6)
         tables[t, :, 1] = np.where(seen > 0, np.maximum(0, np.log(prior / (1 - prior)) - np.log(high / (1 - high))), 0)
-        tables[t, :, 2:] = np.where(seen[:, None] >= 20, np.abs(rng.normal(0, 0.01, (ROWS, DIMS - 2))), 0)
-    known = tables[..., 0] + tables[..., 1] > 0
+        tables[t, :, 2:] = np.where(seen[:, None] >= COMMON, np.abs(rng.normal(0, 0.3, (ROWS, DIMS - 2))), 0)
+    known = (tables[..., 0] + tables[..., 1] > 0) | (met_in[0] >= COMMON)
     for w in WIDTHS:
-        filters[w][:, 0] += 0.6 / w
-        filters[w][:, DIMS] += 0.3 / w
+        filters[w][:, 0, led] += 0.6 / w
+        filters[w][:, DIMS, led] += 0.3 / w
     params = [tables, out, *filters.values(), *bias.values()]
     m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     mb = vb = 0.0
@@ -237,23 +283,16 @@ def train_encoded(
             gb = float(g.sum())
             mb, vb = mb + 0.1 * (gb - mb), vb + 0.001 * (gb * gb - vb)
             model.out_bias -= rate * (mb / (1 - 0.9**step)) / (np.sqrt(vb / (1 - 0.999**step)) + 1e-8)
-    raw = _in_slices(model, codes, ends, rows)
-    everywhere = _threshold(raw, y)
-    goal = np.log(CUT / (1 - CUT))
-    for k in range(len(LANGS)):
-        own = spoken == k
-        enough = y[own].sum() >= 5 and (1 - y[own]).sum() >= 10
-        model.shift[k] = goal - (_threshold(raw[own], y[own]) if enough else everywhere)
     return model
 
 
 def _threshold(raw: np.ndarray, y: np.ndarray) -> float:
-    """The cut with the fewest errors, a false alarm counting as four misses; in the middle of its gap."""
+    """The cut with the fewest errors, a false alarm counting as ``ALARM`` misses; in the middle of its gap."""
     order = np.argsort(raw, kind="stable")
     z, t = raw[order], y[order]
     missed = np.concatenate([[0], np.cumsum(t)])
     alarms = np.concatenate([np.cumsum((1 - t)[::-1])[::-1], [0]])
-    cost = missed + 4 * alarms
+    cost = missed + ALARM * alarms
     good = np.flatnonzero(cost == cost.min())
     edges = np.concatenate([[z[0] - 1], z, [z[-1] + 1]])
     gaps = edges[good + 1] - edges[good]
@@ -261,16 +300,15 @@ def _threshold(raw: np.ndarray, y: np.ndarray) -> float:
     return float((edges[k] + edges[k + 1]) / 2)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_positive: int, max_negative: int, max_chars: int) -> DataFrame:
+def training_rows(docs: DataFrame, labels: DataFrame, max_positive: int, max_negative: int) -> DataFrame:
     """Labelled texts that may be learnt from: crc32(doc_id) mod 3 is not 1; a bounded number, by hash order."""
     own = labels.where("doc_id is not null and toxic is not null and crc32(cast(doc_id as string)) % 3 <> 1")
     own = own.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     order = F.xxhash64("doc_id")
-    # twice as many as wanted, for some of them have no text here or too long a one
+    # twice as many as wanted, for some of them may have no text here
     ids = [own.where(f"toxic = {k}").orderBy(order, "doc_id").limit(2 * n) for k, n in ((1, max_positive), (0, max_negative))]
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.where(f"doc_id is not null and length(coalesce(text, '')) <= {max_chars}")
-    rows = texts.join(F.broadcast(ids[0].unionAll(ids[1])), "doc_id")  # at most 2 * (max_positive + max_negative) rows
+    rows = texts.where("doc_id is not null").join(F.broadcast(ids[0].unionAll(ids[1])), "doc_id")  # at most 2 * (max_positive + max_negative) rows
     parts = [rows.where(f"toxic = {k}").orderBy(order, "doc_id", "text").limit(n) for k, n in ((1, max_positive), (0, max_negative))]
     return parts[0].unionAll(parts[1])
 
@@ -286,8 +324,8 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(spoken, pa.int32()), pa.array(own, pa.binary()), part.column(3)], names)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_negative: int = 5000, max_chars: int = 12_000, seed: int = 7) -> Model:
-    rows = training_rows(docs, labels, max_positive, max_negative, max_chars).select("doc_id", "toxic", "text", F.xxhash64("text").alias("tie"))
+def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_negative: int = 5000, seed: int = 7) -> Model:
+    rows = training_rows(docs, labels, max_positive, max_negative).select("doc_id", "toxic", "text", F.xxhash64("text").alias("tie"))
     packed = rows.mapInArrow(_packed, "doc_id bigint, toxic int, spoken int, words binary, tie bigint")
     packed = materialize(docs.sparkSession, packed, "training")
     held = [(r["doc_id"], r["tie"], r["toxic"], r["spoken"], np.frombuffer(r["words"], "<u8")) for r in packed.toLocalIterator()]  # a partition at a time
@@ -314,6 +352,7 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, key_col: str | Non
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        one_thread()
         for part in chunks(batches):
             if model.trained:
                 s = 1 / (1 + np.exp(-np.clip(logits(model, part.column(1)).astype(np.float64), -40, 40)))

@@ -176,6 +176,60 @@ def test_held_out_accuracy(spark):
     assert sum(r["predicted"] for r in got if not truth[r["doc_id"]]) <= 3
 
 
+def phrases(n, rng):
+    """Texts that hold two words each, next to one another only where they are toxic."""
+    texts, labels = [], []
+    for _ in range(n):
+        words, toxic, at = [rng.choice(WORDS[:100]) for _ in range(30)], int(rng.random() < 0.4), rng.randrange(10)
+        words[at], words[at + (1 if toxic else 9)] = ("zorak", "plimo") if toxic else ("plimo", "zorak")
+        texts.append(" ".join(words))
+        labels.append(toxic)
+    return texts, np.array(labels)
+
+
+def auc(scores, labels):
+    rank = np.empty(len(scores))
+    rank[np.argsort(scores, kind="stable")] = np.arange(1, len(scores) + 1)
+    n = labels.sum()
+    return (rank[labels == 1].sum() - n * (n + 1) / 2) / (n * (len(labels) - n))
+
+
+def test_phrases_are_learnt_by_wide_filters():
+    rng = random.Random(3)
+    (texts, labels), (new, truth) = phrases(1200, rng), phrases(400, rng)
+    trained, plain = toxicity.train(texts, labels), toxicity.train(texts, labels, epochs=0)
+    column = pa.array(new)
+    assert auc(toxicity.logits(trained, column), truth) > 0.97
+    assert auc(toxicity.logits(plain, column), truth) < 0.65  # the words by themselves tell nothing
+    first = np.arange(toxicity.FILTERS * len(toxicity.WIDTHS)) < toxicity.FILTERS
+    narrow = toxicity.Model([toxicity.Part(**{**vars(p), "out": np.where(first, p.out, 0)}) for p in trained.parts])
+    assert auc(toxicity.logits(narrow, column), truth) < 0.7
+
+
+def test_forward_pass_against_a_plain_convolution():
+    rng = np.random.default_rng(5)
+    n = toxicity.FILTERS
+    model = toxicity.Part(
+        np.abs(rng.normal(size=(4, toxicity.ROWS, toxicity.DIMS))).astype(np.float32), {w: rng.normal(size=(w, 2 * toxicity.DIMS, n)).astype(np.float32) for w in toxicity.WIDTHS},
+        {w: rng.normal(size=n).astype(np.float32) for w in toxicity.WIDTHS}, rng.normal(size=n * len(toxicity.WIDTHS)).astype(np.float32), 0.3, rng.normal(size=len(toxicity.LANGS)).astype(np.float32),
+    )
+    texts = ["", "one", "the two words", "Der, die; das!", " ".join(rng.choice(WORDS, 300)), "… !! ", "a " * 40, None]
+    got = toxicity.logits(toxicity.Model([model]), pa.array(texts, pa.string()))
+    for text, value in zip(texts, got, strict=True):
+        words = [w for w in (x.strip(toxicity._EDGE) for x in (text or "").lower().split()) if w]
+        rows = toxicity._keys(words)[0]
+        x = [np.concatenate([np.minimum(model.tables[0, r[0]], model.tables[1, r[1]]), np.minimum(model.tables[2, r[2]], model.tables[3, r[3]])]) for r in rows]
+        hidden = []
+        for w in toxicity.WIDTHS:
+            answers = [sum(x[i + k] @ model.filters[w][k] for k in range(w)) + model.bias[w] for i in range(len(x) - w + 1)]
+            hidden += [max([0.0, *(a[f] for a in answers)]) for f in range(n)]
+        # a word of two languages counts for the one that comes last
+        last = {w: k for k, lang in enumerate(toxicity.LANGS[:-1]) for w in toxicity.FUNCTION_WORDS[lang]}
+        votes = [sum(last.get(w) == k for w in words) for k in range(len(toxicity.LANGS) - 1)]
+        spoken = votes.index(max(votes)) if max(votes) else len(toxicity.LANGS) - 1
+        assert abs(value - (np.dot(hidden, model.out) + model.out_bias + model.shift[spoken])) < 1e-3
+
+
 def test_held_out_labels_arent_learnt(spark):
     rows = [(k, f"w{k % 5} w{k % 3}") for k in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
