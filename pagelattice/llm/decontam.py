@@ -150,6 +150,17 @@ def _times(entries: tuple, q: np.ndarray) -> np.ndarray:
     return out
 
 
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of matrices, one to a row."""
+    total = None
+    for batch in batches:
+        for part in batch.column(0):
+            own = np.frombuffer(part.as_buffer(), np.float32)
+            total = own.copy() if total is None else np.add(total, own, out=total)
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
+
+
 def randomised_svd(spark: SparkSession, sample: DataFrame, extra: tuple, feature: np.ndarray, idf: np.ndarray, n_features: int, rank: int, rounds: int = 3, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     """Latent directions (n_features x rank) and singular values of the passages of ``sample`` and the entries in
     ``extra``; ``feature``: bucket to feature, -1: none.
@@ -175,7 +186,9 @@ def randomised_svd(spark: SparkSession, sample: DataFrame, extra: tuple, feature
             if total is not None:
                 yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()], pa.binary())], ["part"])
 
-        for row in sample.select("text").mapInArrow(run, "part binary").toLocalIterator():
+        # the parts are summed on an executor, so one matrix comes back
+        whole = sample.select("text").mapInArrow(run, "part binary").repartition(1).mapInArrow(_added, "part binary")
+        for row in whole.collect():
             z += np.frombuffer(row["part"], np.float32).reshape(q.shape)
         shared.unpersist()
         last, q = q, np.linalg.qr(z)[0].astype(np.float32)
@@ -354,11 +367,12 @@ def build_block(spark: SparkSession, items: list[tuple], counts: np.ndarray, n_d
     n = len(vocabulary)
     feature = np.full(BUCKETS, -1, np.int64)
     feature[vocabulary] = np.arange(n)
+    light = idf.astype(np.float32)
     row = np.repeat(np.arange(len(toks)), [len(t) for t in toks])
     column = feature[np.concatenate([np.array(t) for t in coded])]
     length = np.sqrt(np.bincount(row, weights=idf[vocabulary[column]] ** 2))
     extra = (row, column, ITEM_WEIGHT * idf[vocabulary[column]] / length[row], len(toks))
-    directions, values = randomised_svd(spark, sample, extra, feature, idf, n, max_rank)
+    directions, values = randomised_svd(spark, sample, extra, feature.astype(np.int32), light, n, max_rank)
     plain = np.zeros((len(toks), n), np.float32)
     np.add.at(plain, (row, column), idf[vocabulary[column]])
     held = np.cumsum(((plain @ directions) ** 2).sum(axis=0)) / (plain**2).sum()
@@ -369,7 +383,7 @@ def build_block(spark: SparkSession, items: list[tuple], counts: np.ndarray, n_d
     load = np.zeros((n + 1, rank + 1), np.float32)
     load[:n, :rank] = idf[vocabulary][:, None] * fold
     load[feature[sorted(own)], rank] = 1
-    share = np.zeros((n, len(toks)), np.int32)
+    share = np.zeros((n, len(toks)), np.int16)
     np.add.at(share, (column, row), 1)
     answers = []
     for k, t in zip(kept, toks, strict=True):
@@ -378,13 +392,13 @@ def build_block(spark: SparkSession, items: list[tuple], counts: np.ndarray, n_d
     strides = np.array([stride_of(int(k)) for k in size])
     coded = [feature[t].tolist() for t in coded]
     return Block(
-        [items[k][0] for k in kept], toks, coded, [places(c) for c in coded], answers, np.where(feature < 0, n, feature), load, latent.astype(np.float32), share, size,
+        [items[k][0] for k in kept], toks, coded, [places(c) for c in coded], answers, np.where(feature < 0, n, feature).astype(np.int32), load, latent.astype(np.float32), share, size,
         [(int(s), np.flatnonzero(strides == s)) for s in np.unique(strides)],
     )
 
 
 def matches(
-    spark: SparkSession, docs: DataFrame, benchmark: DataFrame, answer_col: str | None = None, block_items: int = 240, sample_docs: int = 2000, max_features: int = 8192,
+    spark: SparkSession, docs: DataFrame, benchmark: DataFrame, answer_col: str | None = None, block_items: int = 240, sample_docs: int = 2000, max_features: int = 4096,
     max_rank: int = 224, explained: float = 0.95, min_cosine: float = 0.4, paraphrase: float = 0.5, verbatim: float = 0.8, answer_share: float = 0.6, key_col: str | None = None,
 ) -> DataFrame:
     """``(doc_id[, key_col], item_id, start_word, lcs_share, cosine)``: one row for each document and item found in it.
