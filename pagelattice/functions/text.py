@@ -256,6 +256,17 @@ def repaired_json(x: Column, schema: str) -> Column:
     return F.coalesce(F.from_json(F.when(F.is_valid_utf8(bare), bare), schema), F.from_json(fixed, schema))
 
 
+def two_places(x: Column) -> Column:
+    """A share of 0 to 1 with two decimals, rounded by the double's exact value as C does (Java's format rounds its
+    shortest decimal form)."""
+    scaled = (x * float(1 << 62)).cast("bigint").cast("decimal(25,0)") * 100
+    whole = F.floor(scaled / (1 << 62)).cast("bigint")
+    rest = scaled - whole.cast("decimal(25,0)") * F.lit(1 << 62).cast("decimal(25,0)")
+    half = F.lit(1 << 61).cast("decimal(25,0)")
+    n = whole + F.when((rest > half) | ((rest == half) & (whole % 2 == 1)), 1).otherwise(0)
+    return F.concat(F.floor(n / 100).cast("string"), F.lit("."), F.lpad((n % 100).cast("string"), 2, "0"))
+
+
 def extension(path: Column) -> Column:
     return F.lower(F.regexp_extract(path, r"\.([^./]+)$", 1))
 

@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import profiles as P
+from ..functions import text as T
+
+#: What stands between a span's number and its range in the hint for a reader (fixed value).
+HINT_PART = "번 x_ratio "
 
 
 def content_spans(profile: DataFrame, keys: list[str], min_gap: int = 20, min_mass: float = 0.10, clean: float = P.CLEAN) -> DataFrame:
@@ -27,6 +31,22 @@ def content_spans(profile: DataFrame, keys: list[str], min_gap: int = 20, min_ma
     return spans.withColumn("total", total).withColumn("share", F.col("mass") / F.when(F.col("total") == 0, F.lit(1)).otherwise(F.col("total"))).where(F.col("share") >= min_mass).drop("span", "total")
 
 
+def card_counts(profile: DataFrame, keys: list[str]) -> DataFrame:
+    """Cards side by side, counted by density alone: (keys, density_count, hint).
+
+    ``profile``: density by column. The count is null where there is nothing to judge by; the hint, for a reader, gives
+    the spans as shares of the width where there are two or more.
+    """
+    spans = content_spans(profile, keys)
+    wide = profile.groupBy(*keys).agg((F.max("pos") + 1).alias("width"))
+    share = lambda c: T.two_places(c / F.col("width"))
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("start"))
+    told = spans.join(wide, keys).withColumn("k", number).withColumn("t", F.concat(F.col("k").cast("string"), F.lit(HINT_PART), share(F.col("start")), F.lit("~"), share(F.col("stop"))))
+    found = told.groupBy(*keys).agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "t"))), lambda s: s["t"]), ", ").alias("ranges"))
+    out = wide.join(found, keys, "left")
+    return out.select(*keys, F.col("n").alias("density_count"), F.when(F.col("n") >= 2, F.col("ranges")).alias("hint"))
+
+
 def equal_mass_targets(profile: DataFrame, keys: list[str], n: Column | int) -> DataFrame:
     """(keys, k, target): first position where the running mass reaches k/n of the whole; equal lengths without mass."""
     n = n if isinstance(n, Column) else F.lit(n)

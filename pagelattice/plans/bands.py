@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import bands as B
 from ..operators import clusters as C
-from .adapters import v_block, v_line, v_profile, with_views
+from .adapters import table, v_block, v_line, v_profile, with_views
 
 KEYS = ["profile"]
 PARTS, WINDOW = 5, 20
@@ -101,6 +101,37 @@ def card_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.should_detect_cards(pages.join(C.separable(regions, ["doc_id"]), "doc_id"), ["doc_id"]).select("doc_id", "separable", "detect")
 
 
+def card_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles as densities by column, some of them empty; and whether a page of each is asked about cards."""
+    profile = v_profile(spark, sf_dir).withColumn("mass", F.expr("if(profile % 3 = 2, 0L, mass)"))
+    pages = B.card_counts(profile, KEYS).withColumns({"canvas_w": F.lit(400), "canvas_h": F.lit(300), "separable": F.expr("profile % 2 = 0")})
+    return C.should_detect_cards(pages, KEYS).select("profile", "density_count", "hint", "detect")
+
+
+def edge_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edge densities, in steps of 255, of small pictures made of part numbers, along both axes."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("bigint").alias("picture"))
+    luma = F.expr("transform(sequence(0, 6), r -> transform(sequence(0, 4), c -> cast((picture * (7 * r + 3 * c * c + 1)) % 256 as int)))")
+    pictures = parts.withColumn("luma", luma)
+    rows = B.edge_profiles(pictures, "picture").select("picture", F.posexplode("profile").alias("pos", "share"))
+    return rows.select("picture", F.col("pos").cast("bigint").alias("pos"), F.bround(F.col("share") * 255, 0).cast("bigint").alias("steps"))
+
+
+def sweep_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tall canvases of repeated profiles, with boxes at every hundredth position that cuts have to leave."""
+    tall = v_profile(spark, sf_dir).withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(10)))).select("profile", (F.col("pos") + 400 * F.col("turn")).alias("pos"), "mass")
+    names = tall.select("profile").distinct()
+    boxes = names.select("profile", F.explode(F.sequence(F.lit(0), F.lit(43))).alias("k")).select("profile", (F.col("k") * 100 + 40).alias("top"), (F.col("k") * 100 + 90).alias("bottom"))
+    return B.sweep_bands(tall, names.withColumn("width", F.lit(500)), boxes, KEYS).select("profile", F.col("band").cast("bigint").alias("band"), F.col("offset").cast("bigint").alias("offset"), "stop")
+
+
+def canvas_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second profile's canvas is too tall for one tile."""
+    turns = F.expr("sequence(0, if(profile % 2 = 0, 10, 0))")
+    tall = v_profile(spark, sf_dir).withColumn("turn", F.explode(turns)).select("profile", (F.col("pos") + 400 * F.col("turn")).alias("pos"), "mass")
+    return B.tiles(tall, KEYS).select("profile", F.col("band").cast("bigint").alias("band"), F.col("offset").cast("bigint").alias("offset"), F.col("stop").cast("bigint").alias("stop"))
+
+
 _TARGETS = """
 a AS (SELECT *, sum(mass) OVER (PARTITION BY profile ORDER BY pos) AS acc, sum(mass) OVER (PARTITION BY profile) AS total, max(pos) OVER (PARTITION BY profile) + 1 AS length FROM v_profile),
 t AS (SELECT profile, k, length, CASE WHEN max(total) > 0 THEN min(pos) FILTER (acc * {n} >= total * k) ELSE CAST(floor(length * 1.0 / {n} * k) AS BIGINT) END AS target FROM a, (SELECT unnest(range(1, {n})) AS k) GROUP BY profile, k, length)"""
@@ -122,7 +153,27 @@ reach AS (SELECT doc_id, a, b FROM e UNION SELECT r.doc_id, r.a, e.b FROM reach
 m AS (SELECT doc_id, a AS ord, min(b) AS cluster FROM reach GROUP BY ALL),
 k AS (SELECT l.doc_id, cluster, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1, count(*) AS n_lines FROM l JOIN m ON l.doc_id = m.doc_id AND l.ord = m.ord GROUP BY ALL)"""
 
+# spans between the middles of empty runs of 20 or more that hold a tenth of the mass
+_SPANS = """
+p AS (SELECT profile, pos, CASE WHEN profile % 3 = 2 THEN 0 ELSE mass END AS mass FROM v_profile),
+i AS (SELECT profile, pos - row_number() OVER (PARTITION BY profile ORDER BY pos) AS island, pos FROM p WHERE mass = 0),
+u AS (SELECT profile, (min(pos) + max(pos) + 1) // 2 AS pos FROM i GROUP BY profile, island HAVING count(*) >= 20),
+n AS (SELECT p.*, (SELECT count(*) FROM u WHERE u.profile = p.profile AND u.pos <= p.pos) AS span FROM p),
+s AS (SELECT profile, span, min(pos) AS start, max(pos) + 1 AS stop, sum(mass) AS mass FROM n GROUP BY ALL),
+t AS (SELECT profile, greatest(sum(mass), 1) AS total FROM p GROUP BY ALL),
+k AS (SELECT s.profile, start, stop, row_number() OVER (PARTITION BY s.profile ORDER BY start) AS k FROM s JOIN t ON s.profile = t.profile WHERE s.mass * 10 >= total),
+c AS (SELECT profile, count(*) AS n, string_agg(k || '번 x_ratio ' || printf('%.2f', start / 400.0::DOUBLE) || '~' || printf('%.2f', stop / 400.0::DOUBLE), ', ' ORDER BY k) AS ranges FROM k GROUP BY ALL)"""
+
 QUERIES = {
+    "card_counts": (card_counts, with_views("v_profile", _SPANS + """
+        SELECT t.profile, n AS density_count, CASE WHEN n >= 2 THEN ranges END AS hint, CASE WHEN n IS NULL THEN t.profile % 2 = 0 ELSE n >= 2 END AS detect FROM t LEFT JOIN c ON t.profile = c.profile""")),
+    "edge_profile": (edge_profile, """
+        WITH l AS (SELECT p_partkey AS picture, r, c, (p_partkey * (7 * r + 3 * c * c + 1)) % 256 AS v FROM part, (SELECT unnest(range(7)) AS r), (SELECT unnest(range(5)) AS c)),
+        e AS (SELECT a.picture, a.r AS pos, count(*) FILTER (abs(b.v - a.v) > 25 OR abs(d.v - a.v) > 25) AS n FROM l a LEFT JOIN l b ON b.picture = a.picture AND b.r = a.r AND b.c = a.c + 1 LEFT JOIN l d ON d.picture = a.picture AND d.r = a.r + 1 AND d.c = a.c
+          WHERE a.c < 4 AND a.r < 6 GROUP BY ALL)
+        SELECT picture, pos, 51 * n AS steps FROM e UNION ALL SELECT DISTINCT picture, 6, 0 FROM l"""),
+    "sweep_bands": (sweep_bands, None),
+    "canvas_tiles": (canvas_tiles, None),
     "content_spans": (content_spans, with_views("v_profile", """
         z AS (SELECT profile, pos - row_number() OVER (PARTITION BY profile ORDER BY pos) AS island, pos FROM v_profile WHERE mass = 0),
         r AS (SELECT profile, min(pos) AS a, max(pos) + 1 AS b FROM z GROUP BY profile, island),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
@@ -10,11 +12,14 @@ from ..functions import text as T
 from ..models.ports import layout_rows
 from ..operators import bands as B
 from ..operators import chunks as K
+from ..operators import layout as L
 from ..operators import readings as R
 from ..operators import reports as P
 from ..operators import rules as U
 from ..operators import triage as Q
-from .adapters import table, v_block, v_box, v_cell, v_line, v_reading, with_views
+from ..session import shared_folder
+from ..sources import files as S
+from .adapters import table, v_block, v_box, v_cell, v_cond, v_line, v_reading, v_spec, with_views
 
 
 def box_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,10 +103,55 @@ def answer_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("ord", T.repaired_json(F.col("raw"), "n bigint")["n"].alias("n"))
 
 
+def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that lack an obligation or conditions."""
+    conditions = v_cond(spark).groupBy("field_key").agg(F.collect_list("rule").alias("conditions"))
+    return U.check_schema(v_spec(spark).join(conditions, "field_key", "left")).select("field_key", F.array_join("problems", ",").alias("problems"))
+
+
+def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as JSON, read back and taken apart again: every line with its place."""
+    lines, regions = _parsed(spark, sf_dir)
+    path = f"{shared_folder(spark)}/documents-{uuid.uuid4().hex}"
+    S.write_documents(S.documents_of(lines, regions), path)
+    back = S.lines_of(S.read_documents(spark, f"{path}/json", one_to_a_file=False))
+    return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("block").cast("bigint").alias("block"), "region_id", "ord", "text", "source", "x1")
+
+
+def rebuilt_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views built anew from stored documents, as the texts a reader's prompt is made of."""
+    lines, regions = _parsed(spark, sf_dir)
+    path = f"{shared_folder(spark)}/documents-{uuid.uuid4().hex}"
+    S.write_documents(S.documents_of(lines, regions), path)
+    S.rebuild_views(spark, path)
+    views = S.read_views(spark, f"{path}/llm_view", one_to_a_file=False)
+    return S.prompt_of(views).select(F.col("doc_id").cast("bigint").alias("doc_id"), "prompt")
+
+
+def _parsed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Lines with the block they are in, and blocks without gaps in their numbers, as regions."""
+    blocks = v_block(spark, sf_dir).withColumn("old", F.col("block")).withColumn("block", F.row_number().over(Window.partitionBy("doc_id").orderBy("old")).cast("bigint") - 1)
+    lines = L.assign_lines(v_line(spark, sf_dir), blocks, ["doc_id"]).withColumn("source", F.expr("if(ord % 2 = 0, 'ocr', 'digital')"))
+    regions = blocks.withColumns({"region_id": L.region_id(F.lit(1), F.col("block")), "role": L.role_of_label(F.col("label")), "vlm_reading": F.expr("if(block % 3 = 1, concat('read ', block), null)")})
+    return lines, regions
+
+
 _I = "(greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0)))"
 _A, _B = "((a.x1 - a.x0) * (a.y1 - a.y0))", "((b.x1 - b.x0) * (b.y1 - b.y0))"
 
+_PARSED = """
+nb AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY block) - 1 AS block, label, x0, y0, x1, y1 FROM v_block),
+ow AS (SELECT l.doc_id, l.ord, min(b.block) AS block FROM v_line l JOIN nb b ON l.doc_id = b.doc_id AND (l.x0 + l.x1) / 2.0 BETWEEN b.x0 AND b.x1 AND (l.y0 + l.y1) / 2.0 BETWEEN b.y0 AND b.y1 GROUP BY ALL),
+pl AS (SELECT l.*, ow.block FROM v_line l LEFT JOIN ow ON l.doc_id = ow.doc_id AND l.ord = ow.ord)"""
+_PLACED = "'p1_r' || lpad(CAST(block AS VARCHAR), CAST(greatest(3, length(CAST(block AS VARCHAR))) AS INTEGER), '0')"
+
 QUERIES = {
+    "schema_check": (schema_check, with_views("v_spec v_cond", """
+        x AS (SELECT field_key, concat_ws(',', CASE WHEN obligation IS NULL THEN 'no_obligation' END, CASE WHEN field_key NOT IN (SELECT field_key FROM v_cond) THEN 'no_conditions' END) AS problems FROM v_spec)
+        SELECT field_key, problems FROM x WHERE problems <> ''""")),
+    "stored_documents": (stored_documents, with_views("v_line v_block", _PARSED + f"""
+        SELECT doc_id, block, CASE WHEN block IS NOT NULL THEN {_PLACED} END AS region_id, row_number() OVER (PARTITION BY doc_id, block ORDER BY ord) - 1 AS ord, text, CASE WHEN ord % 2 = 0 THEN 'ocr' ELSE 'digital' END AS source, x1 FROM pl""")),
+    "rebuilt_views": (rebuilt_views, None),
     "box_functions": (box_functions, with_views("v_box", f"""
         b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page ORDER BY ord) AS rn FROM v_box) WHERE rn = 1)
         SELECT a.page, a.ord, CAST(floor({_I} * 1.0::DOUBLE / greatest(1, {_A} + {_B} - {_I}) * 1000) AS BIGINT) AS iou, CAST(floor({_I} * 1.0::DOUBLE / least(greatest(1, {_A}), greatest(1, {_B})) * 1000) AS BIGINT) AS inside,

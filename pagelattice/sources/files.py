@@ -29,13 +29,13 @@ def scan_files(spark: SparkSession, path: str, content: bool = False) -> DataFra
     return files.select("path", "length", route(F.col("path")).alias("track"), *(["content"] if content else []))
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Parsed documents, one JSON file each."""
-    return spark.read.schema(DOCUMENT).option("multiLine", "true").json(path)
+def read_documents(spark: SparkSession, path: str, one_to_a_file: bool = True) -> DataFrame:
+    """Parsed documents, one JSON file each; or, as ``write_documents`` leaves them, one to a line."""
+    return spark.read.schema(DOCUMENT).option("multiLine", str(one_to_a_file).lower()).json(path)
 
 
-def read_views(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(VIEW).option("multiLine", "true").json(path)
+def read_views(spark: SparkSession, path: str, one_to_a_file: bool = True) -> DataFrame:
+    return spark.read.schema(VIEW).option("multiLine", str(one_to_a_file).lower()).json(path)
 
 
 def lines_of(documents: DataFrame) -> DataFrame:
@@ -147,10 +147,55 @@ def asset_meta(encoded: Column) -> Column:
 
 
 def write_documents(documents: DataFrame, path: str, views: DataFrame | None = None) -> None:
-    """Sinks: parsed documents and lean views as JSON, a folder for each document."""
-    documents.write.mode("overwrite").partitionBy("doc_id").json(f"{path}/json")
-    if views is not None:
-        views.write.mode("overwrite").partitionBy("doc_id").json(f"{path}/llm_view")
+    """Sinks: parsed documents and lean views as JSON, one to a line, in files by ranges of doc_id."""
+    for rows, name in ((documents, "json"), (views, "llm_view")):
+        if rows is not None:
+            n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id").write.mode("overwrite").json(f"{path}/{name}")
+
+
+def documents_of(lines: DataFrame, regions: DataFrame) -> DataFrame:
+    """Parsed documents of one page each from flat tables: lines (doc_id, block or null, ord, text, confidence, source,
+    box) and regions (doc_id, block, region_id, label, role, box, vlm_reading)."""
+    box = lambda: F.when(F.col("x0").isNotNull(), F.array("x0", "y0", "x1", "y1"))
+    line = F.struct("ord", F.struct("text", box().alias("bbox"), "confidence", "source").alias("l"))
+    grouped = lines.groupBy("doc_id", "block").agg(F.transform(F.array_sort(F.collect_list(line)), lambda s: s["l"]).alias("lines"))
+    held = regions.join(grouped, ["doc_id", "block"], "left").withColumn("lines", F.coalesce("lines", F.array().cast(grouped.schema["lines"].dataType)))
+    region = F.struct("block", F.struct("region_id", box().alias("bbox"), "label", "role", "lines", "vlm_reading").alias("r"))
+    own = held.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(region)), lambda s: s["r"]).alias("regions"))
+    rest = grouped.where("block is null").select("doc_id", F.col("lines").alias("unassigned_lines"))
+    both = own.join(rest, "doc_id", "full")
+    page = F.struct(F.lit(1).alias("page_no"), F.coalesce("regions", F.array().cast(own.schema["regions"].dataType)).alias("regions"), F.coalesce("unassigned_lines", F.array().cast(grouped.schema["lines"].dataType)).alias("unassigned_lines"))
+    return both.select(F.col("doc_id").cast("string").alias("doc_id"), F.array(page).alias("pages"))
+
+
+def views_of(documents: DataFrame) -> DataFrame:
+    """Lean views of stored documents, built anew: regions in the order they are read in, with their lines' text by
+    visual rows, and candidates only where they differ; unassigned lines as one text."""
+    from ..operators import layout as L
+
+    keys = ["doc_id", "page_no"]
+    lines = lines_of(documents)
+    text = L.merged_text(lines.where("block is not null"), [*keys, "block"])
+    tops = lines.where("block is not null").groupBy(*keys, "block").agg(F.min("y0").alias("min_y"), F.min("x0").alias("min_x"))
+    pages = documents.select("doc_id", F.explode("pages").alias("p"))
+    r = pages.select("doc_id", F.col("p.page_no").alias("page_no"), F.posexplode("p.regions").alias("block", "r"))
+    r = r.select(*keys, "block", "r.region_id", "r.role", "r.card_no", "r.vlm_reading", *[F.get("r.bbox", F.lit(k)).alias(n) for k, n in enumerate(("x0", "y0", "x1", "y1"))])
+    r = r.join(text, [*keys, "block"], "left").join(tops, [*keys, "block"], "left").withColumn("text", F.coalesce("text", F.lit("")))
+    shown = L.page_view(r, keys).join(r.select(*keys, "block", "region_id"), [*keys, "block"])
+    regions = shown.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", F.struct("region_id", "role", "text", "vlm_reading").alias("r")))), lambda s: s["r"]).alias("regions"))
+    rest = L.merged_text(lines.where("block is null"), keys).withColumnRenamed("text", "unassigned")
+    every = pages.select("doc_id", F.col("p.page_no").alias("page_no"))
+    view = every.join(regions, keys, "left").join(rest, keys, "left")
+    page = F.struct(F.col("page_no").alias("page_number"), F.coalesce("regions", F.array().cast(regions.schema["regions"].dataType)).alias("regions"), "unassigned")
+    return view.groupBy("doc_id").agg(F.array_sort(F.collect_list(page)).alias("pages"))
+
+
+def rebuild_views(spark: SparkSession, path: str) -> None:
+    """Sink: the views below ``path`` anew from the documents stored there."""
+    views = views_of(read_documents(spark, f"{path}/json", one_to_a_file=False))
+    write = views.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id").write
+    write.mode("overwrite").json(f"{path}/llm_view")
 
 
 def write_results(results: DataFrame, summary: DataFrame, path: str) -> None:

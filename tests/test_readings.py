@@ -92,3 +92,8 @@ def test_sweep_counts_what_it_accepted(spark):
     known = spark.createDataFrame([(0, 0, "abc def")], "p int, ord long, text string")
     swept = spark.createDataFrame([(0, 0, "c d"), (0, 1, "new one"), (0, 2, "NEW, one"), (0, 3, " ")], "p int, ord long, text string")
     assert [r["ord"] for r in R.sweep_new_lines(swept, known, ["p"]).collect()] == [1]
+
+
+def test_shares_round_by_their_exact_value(spark):
+    rows = spark.createDataFrame([(k / 400,) for k in range(401)] + [(k / 7,) for k in range(8)] + [(0.5,), (0.125,), (0.375,), (1 / 3,)], "x double")
+    assert all(r["t"] == f"{r['x']:.2f}" for r in rows.select("x", T.two_places(F.col("x")).alias("t")).collect())
