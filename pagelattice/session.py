@@ -12,6 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_marked: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -59,9 +60,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def _stages(spark: SparkSession) -> str:
+    """The application's own folder for stage tables; it goes when the driver's JVM ends."""
+    folder = f"{shared_folder(spark)}/stages-{spark.sparkContext.applicationId}"
+    if folder not in _marked:
+        path, fs = _hadoop(spark, folder)
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _marked.add(folder)
+    return folder
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete the application's stage tables: for long sessions, once no DataFrame made of them is needed any more."""
+    path, fs = _hadoop(spark, _stages(spark))
+    fs.delete(path, True)
+    fs.mkdirs(path)
+
+
+def _hadoop(spark: SparkSession, folder: str) -> tuple:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def stage_table(df: DataFrame, tag: str) -> DataFrame:
     """A stage's outcome as a table in the shared folder, read back: later steps start from files instead of
     the whole lineage, whatever executors are lost."""
-    path = f"{shared_folder(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    path = f"{_stages(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
