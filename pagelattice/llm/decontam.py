@@ -399,16 +399,16 @@ def build_block(spark: SparkSession, items: list[tuple], counts: np.ndarray, n_d
 
 def matches(
     spark: SparkSession, docs: DataFrame, benchmark: DataFrame, answer_col: str | None = None, block_items: int = 240, sample_docs: int = 2000, max_features: int = 4096,
-    max_rank: int = 224, explained: float = 0.95, min_cosine: float = 0.4, paraphrase: float = 0.5, verbatim: float = 0.8, answer_share: float = 0.6, key_col: str | None = None,
+    max_rank: int = 224, explained: float = 0.95, min_cosine: float = 0.4, paraphrase: float = 0.5, verbatim: float = 0.8, answer_share: float = 0.6, drop: bool = False,
 ) -> DataFrame:
-    """``(doc_id[, key_col], item_id, start_word, lcs_share, cosine)``: one row for each document and item found in it.
+    """``(doc_id, item_id, start_word, lcs_share, cosine)``: one row for each document and item found in it.
 
-    Repeated rows of a document return their rows again. ``key_col``: a bigint column that is passed on.
+    Repeated rows of a document return their rows again. ``drop``: instead the rows of ``docs``, with all their columns,
+    that hold no item; they are judged where they are read, so nothing is joined or shuffled.
     """
-    names = ["doc_id", *([key_col] if key_col else []), "item_id", "start_word", "lcs_share", "cosine"]
+    names = ["doc_id", "item_id", "start_word", "lcs_share", "cosine"]
     schema = ", ".join(f"`{n}` " + ("double" if n in ("lcs_share", "cosine") else "bigint") for n in names)
-    passed = [F.col(key_col).cast("bigint").alias(key_col)] if key_col else []
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *passed)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     answer = F.col(answer_col).cast("string") if answer_col else F.lit(None).cast("string")
     queries = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"), answer.alias("answer"))
     counts, n_docs = document_counts(rows)
@@ -416,24 +416,26 @@ def matches(
     sampled = rows.join(F.broadcast(picked.distinct()), "doc_id", "left_semi")  # sample_docs rows at most
     # the sample is of one size however large the input, and each of its parts sends a matrix to the driver
     sample = materialize(spark, sampled.select("text").repartition(SAMPLE_PARTS), "passages")
-    parts, blocks, items = [], [], []
+    parts, blocks, items, left = [], [], [], docs if drop else rows
 
-    def seek(blocks: list) -> DataFrame:
+    def seek(blocks: list, left: DataFrame) -> DataFrame:
         shared = spark.sparkContext.broadcast(blocks)  # bounded by BLOCKS, block_items, max_features and max_rank
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             one_thread()
             for part in chunks(batches, max_bytes=SEARCH_BYTES):
-                encoded, found = encode(part.column(1)), []
+                encoded, found = encode(part.column("text")), []
                 for block in shared.value:
                     found += [(d, block.item_ids[q], *more) for d, q, *more in search(block, encoded, min_cosine, paraphrase, verbatim, answer_share)]
-                if found:
-                    at = pa.array([f[0] for f in found], pa.int64())
-                    cols = [part.column(0).take(at), *(part.column(k).take(at) for k in range(2, part.num_columns))]
-                    cols += [pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int64()), *(pa.array([f[k] for f in found], pa.float64()) for k in (3, 4))]
+                if drop:
+                    clean = np.ones(part.num_rows, bool)
+                    clean[[f[0] for f in found]] = False
+                    yield part.filter(pa.array(clean))
+                elif found:
+                    cols = [part.column(0).take(pa.array([f[0] for f in found], pa.int64())), *(pa.array([f[k] for f in found], t) for k, t in ((1, pa.int64()), (2, pa.int64()), (3, pa.float64()), (4, pa.float64())))]
                     yield pa.RecordBatch.from_arrays(cols, names)
 
-        return rows.mapInArrow(run, schema)
+        return left.mapInArrow(run, docs.schema if drop else schema)
 
     def block_of(items: list) -> list:
         made = build_block(spark, items, counts, n_docs, sample, max_features, max_rank, explained)
@@ -444,11 +446,14 @@ def matches(
         if len(items) == block_items:
             blocks, items = blocks + block_of(items), []
             if len(blocks) == BLOCKS:
-                parts, blocks = [*parts, seek(blocks)], []
+                parts, blocks = [*parts, seek(blocks, left)], []
+                left = parts[-1] if drop else rows
     if items:
         blocks = blocks + block_of(items)
     if blocks:
-        parts.append(seek(blocks))
+        parts.append(seek(blocks, left))
+    if drop:
+        return parts[-1] if parts else docs
     if not parts:
         return spark.createDataFrame([], schema)
     out = parts[0]

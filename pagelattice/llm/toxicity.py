@@ -43,8 +43,6 @@ WIDTHS = (1, 2, 3)
 FILTERS = 8
 #: Texts that a row must be met in to be trained without evidence of its own: words that tell something in company.
 COMMON = 20
-#: Shares that the training rows come to the driver in.
-SHARES = 8
 #: Parts of the labelled texts that calibrate in turn; errors that a false alarm weighs; texts of each kind for a
 #: threshold of one's own.
 FOLDS, ALARM, ENOUGH = 2, 4, 8
@@ -329,17 +327,10 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_negative: int = 5000, seed: int = 7) -> Model:
     rows = training_rows(docs, labels, max_positive, max_negative).select("doc_id", "toxic", "text", F.xxhash64("text").alias("tie"))
     packed = rows.mapInArrow(_packed, "doc_id bigint, toxic int, spoken int, words binary, tie bigint")
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)).cast("int")
-    packed = materialize(docs.sparkSession, packed.withColumn("share", share).repartition(SHARES, "share"), "training")
-
-    def read(*columns: str) -> Iterator:
-        """The rows, a share at a time, so that little of them is on the driver at once."""
-        for k in range(SHARES):
-            yield from packed.where(F.col("share") == k).select(*columns).toLocalIterator()
-
+    packed = materialize(docs.sparkSession, packed, "training")
     # two passes, a partition at a time: the distinct words and the sizes, then each text as four bytes a word
     vocabulary, heads, fresh = np.zeros(0, np.uint64), [], []
-    for r in read("doc_id", "tie", "toxic", "spoken", "words"):
+    for r in packed.toLocalIterator():
         words = np.frombuffer(r["words"], "<u8")
         heads.append((r["doc_id"], r["tie"], r["toxic"], r["spoken"], len(words)))
         fresh.append(np.unique(words))
@@ -351,7 +342,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_negati
     marks, spoken = np.array([heads[k][2] for k in order], np.int64), np.array([heads[k][3] for k in order], np.int64)
     codes = np.empty(int(ends[-1]) if len(ends) else 0, np.int32)
     place = {k: int(ends[j]) for j, k in enumerate(order)}
-    for k, r in enumerate(read("words")):
+    for k, r in enumerate(packed.toLocalIterator()):
         words = np.frombuffer(r["words"], "<u8")
         codes[place[k] - len(words) : place[k]] = np.searchsorted(vocabulary, words)
     of_word = vocabulary.astype("<u8").view("<u2").reshape(-1, 4).astype(np.int64)
@@ -360,23 +351,36 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_negati
     return model
 
 
-def score(spark: SparkSession, docs: DataFrame, model: Model, key_col: str | None = None) -> DataFrame:
-    """``(doc_id[, key_col], held_out, score, predicted)`` for each row of ``docs``; ``key_col``: a bigint column that is
-    passed on."""
+def _scores(model: Model, column: pa.Array) -> np.ndarray:
+    if not model.trained:
+        return np.zeros(len(column))
+    return 1 / (1 + np.exp(-np.clip(logits(model, column).astype(np.float64), -40, 40)))
+
+
+def accepted(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that score below ``CUT``, with all their columns: rows are judged where they are read, so
+    nothing is joined or shuffled."""
+    shared = spark.sparkContext.broadcast(model)  # its size is fixed by ROWS, DIMS and FILTERS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_thread()
+        for part in chunks(batches):
+            yield part.filter(pa.array(_scores(shared.value, part.column("text")) < CUT))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def score(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
+    """``(doc_id, held_out, score, predicted)`` for each row of ``docs``."""
     shared = spark.sparkContext.broadcast(model)  # its size is fixed by ROWS, DIMS and FILTERS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         one_thread()
         for part in chunks(batches):
-            if model.trained:
-                s = 1 / (1 + np.exp(-np.clip(logits(model, part.column(1)).astype(np.float64), -40, 40)))
-            else:
-                s = np.zeros(part.num_rows)
-            yield pa.RecordBatch.from_arrays([part.column(0), *(part.column(k) for k in range(2, part.num_columns)), pa.array(s)], ["doc_id", *part.schema.names[2:], "score"])
-
-    own = [F.col(key_col).cast("bigint").alias(key_col)] if key_col else []
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *own)
-    scored = rows.mapInArrow(run, "doc_id bigint, " + (f"`{key_col}` bigint, " if key_col else "") + "score double")
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_scores(model, part.column(1)))], ["doc_id", "score"])
+
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    scored = rows.mapInArrow(run, "doc_id bigint, score double")
     held = F.coalesce(F.expr("crc32(cast(doc_id as string)) % 3 = 1"), F.lit(False))
-    return scored.select("doc_id", *([key_col] if key_col else []), held.alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
