@@ -55,6 +55,13 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def settle(spark: SparkSession) -> None:
+    """Collect garbage on the driver, Python's and the JVM's: Spark's cleaner only drops the shuffle files and broadcasts
+    of plans that are gone when the JVM collects, which an idle driver seldom does."""
+    give_back()
+    spark.sparkContext._jvm.System.gc()
+
+
 def one_thread() -> None:
     """Keep numpy's matrix products of a task in its own thread: a task has one core, and waiting threads would take
     those of others."""

@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, drop_codes, hash_words, materialize, one_thread, words_of
+from .common import chunks, drop_codes, hash_words, materialize, one_thread, settle, words_of
 
 BUCKETS = 1 << 18
 #: Words of a passage of the sample, passages of one document, parts that the sample is dealt out in, weight of items.
@@ -411,6 +411,7 @@ def matches(
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     answer = F.col(answer_col).cast("string") if answer_col else F.lit(None).cast("string")
     queries = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"), answer.alias("answer"))
+    settle(spark)
     counts, n_docs = document_counts(rows)
     picked = rows.where("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
     sampled = rows.join(F.broadcast(picked.distinct()), "doc_id", "left_semi")  # sample_docs rows at most

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, drop_codes, give_back, materialize, one_thread, words_of
+from .common import chunks, drop_codes, materialize, one_thread, settle, words_of
 
 CUT = 0.7
 ROWS = 1 << 16
@@ -43,6 +43,8 @@ WIDTHS = (1, 2, 3)
 FILTERS = 8
 #: Texts that a row must be met in to be trained without evidence of its own: words that tell something in company.
 COMMON = 20
+#: Shares that the training rows come to the driver in.
+SHARES = 8
 #: Parts of the labelled texts that calibrate in turn; errors that a false alarm weighs; texts of each kind for a
 #: threshold of one's own.
 FOLDS, ALARM, ENOUGH = 2, 4, 8
@@ -327,10 +329,18 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_negative: int = 5000, seed: int = 7) -> Model:
     rows = training_rows(docs, labels, max_positive, max_negative).select("doc_id", "toxic", "text", F.xxhash64("text").alias("tie"))
     packed = rows.mapInArrow(_packed, "doc_id bigint, toxic int, spoken int, words binary, tie bigint")
-    packed = materialize(docs.sparkSession, packed, "training")
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)).cast("int")
+    packed = materialize(docs.sparkSession, packed.withColumn("share", share).repartition(SHARES, "share"), "training")
+    settle(docs.sparkSession)
+
+    def read(*columns: str) -> Iterator:
+        """The rows, a share at a time, so that little of them is on the driver at once."""
+        for k in range(SHARES):
+            yield from packed.where(F.col("share") == k).select(*columns).toLocalIterator()
+
     # two passes, a partition at a time: the distinct words and the sizes, then each text as four bytes a word
     vocabulary, heads, fresh = np.zeros(0, np.uint64), [], []
-    for r in packed.toLocalIterator():
+    for r in read("doc_id", "tie", "toxic", "spoken", "words"):
         words = np.frombuffer(r["words"], "<u8")
         heads.append((r["doc_id"], r["tie"], r["toxic"], r["spoken"], len(words)))
         fresh.append(np.unique(words))
@@ -342,12 +352,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_negati
     marks, spoken = np.array([heads[k][2] for k in order], np.int64), np.array([heads[k][3] for k in order], np.int64)
     codes = np.empty(int(ends[-1]) if len(ends) else 0, np.int32)
     place = {k: int(ends[j]) for j, k in enumerate(order)}
-    for k, r in enumerate(packed.toLocalIterator()):
+    for k, r in enumerate(read("words")):
         words = np.frombuffer(r["words"], "<u8")
         codes[place[k] - len(words) : place[k]] = np.searchsorted(vocabulary, words)
     of_word = vocabulary.astype("<u8").view("<u2").reshape(-1, 4).astype(np.int64)
     model = train_encoded(codes, ends, of_word, spoken, marks, seed)
-    give_back()
+    settle(docs.sparkSession)
     return model
 
 
