@@ -2,12 +2,11 @@
 
 1. One pass counts in how many documents each hashed word occurs (all documents; the table has ``BUCKETS``
    rows whatever the input, so rare words that fall into one bucket share a count).
-2. A distributed randomised SVD finds the latent directions of TF-IDF passages: benchmark items, weighted by
-   ``ITEM_WEIGHT``, and passages of a bounded sample of documents (``sample_docs`` by hash order, of each at most
-   ``PER_DOC`` passages spread evenly over its whole text). Its vocabulary are the words of the items and the
-   ``max_features`` words that occur in most documents. Each pass of the subspace iteration is a Spark job that sums
-   A^T(A Q) over the tasks; only that small matrix returns. As many directions are kept as explain ``explained`` of
-   the items, at most ``max_rank``.
+2. A distributed randomised SVD finds the latent directions of TF-IDF passages: all passages of all documents, and the
+   benchmark items, weighted by ``ITEM_WEIGHT`` for every ``BALANCE`` passages, so that a large corpus doesn't drown
+   them. Its vocabulary are the words of the items and the ``max_features`` words that occur in most documents. Each
+   pass of the subspace iteration is a Spark job that reads every text and sums A^T(A Q) over the tasks; only that
+   small matrix returns. As many directions are kept as explain ``explained`` of the items, at most ``max_rank``.
 3. Every whole text is cut into cells of ``CELL`` words, folded into the latent space (a passage times the directions,
    over the singular values). Sums of cells are windows of one to two and a half times an item's length, so placed
    that any stretch as long as the item lies in one; items of similar length share their windows. The cosine of each
@@ -37,11 +36,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, drop_codes, hash_words, materialize, one_thread, settle, words_of
+from .common import chunks, drop_codes, hash_words, one_thread, settle, words_of
 
 BUCKETS = 1 << 18
-#: Words of a passage of the sample, passages of one document, parts that the sample is dealt out in, weight of items.
-PASSAGE, PER_DOC, SAMPLE_PARTS, ITEM_WEIGHT = 40, 5, 6, 4.0
+#: Words of a passage, weight of items, passages it holds for (beyond, it grows by the root of their number).
+PASSAGE, ITEM_WEIGHT, BALANCE = 40, 4.0, 10_000
+#: Passages that are multiplied at a time, so that they stay in the cache; tasks for each core in a pass of the SVD.
+ROWS, TASKS = 32, 2
 #: Words of a cell; cells between windows, which are three times as long (each divides the last one that is below 48).
 CELL, STRIDES, WHOLE = 4, (2, 3, 4, 6, 8, 12, 24), 24
 #: Cells that are folded in at a time, so that their sums stay in the cache; text bytes of a search; blocks of items in
@@ -111,16 +112,14 @@ def document_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _passages(codes: np.ndarray, ends: np.ndarray, feature: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """TF-IDF entries (row, column, value) of passages; of a long text, ``PER_DOC`` at even distances. Rows have unit
-    length at most, words without a feature counting towards it."""
+    """TF-IDF entries (row, column, value) of all passages of texts, rows ascending, and the number of passages. Rows have
+    unit length at most, words without a feature counting towards it."""
     starts = np.concatenate([[0], ends[:-1]])
+    many = -(-(ends - starts) // PASSAGE)
+    first = np.cumsum(many) - many
     doc = np.repeat(np.arange(len(ends)), ends - starts)
-    number = (np.arange(len(codes)) - starts[doc]) // PASSAGE if len(codes) else codes
-    step = np.maximum(1, -(-(-(-(ends - starts) // PASSAGE)) // PER_DOC))
-    kept = number % step[doc] == 0 if len(codes) else np.zeros(0, bool)
-    codes, doc, number = codes[kept], doc[kept], number[kept]
-    row = np.cumsum(np.concatenate([[False], (doc[1:] != doc[:-1]) | (number[1:] != number[:-1])])) if len(codes) else codes
-    n = int(row[-1]) + 1 if len(row) else 0
+    row = first[doc] + (np.arange(len(codes)) - starts[doc]) // PASSAGE
+    n = int(many.sum())
     weight = idf[codes]
     length = np.sqrt(np.bincount(row, weights=weight**2, minlength=n))
     good = feature[codes] >= 0
@@ -128,42 +127,36 @@ def _passages(codes: np.ndarray, ends: np.ndarray, feature: np.ndarray, idf: np.
 
 
 def _times(entries: tuple, q: np.ndarray) -> np.ndarray:
-    """A^T (A q) for a sparse A given by its entries."""
-    row, col, val, n = entries
-    order = np.argsort(row, kind="stable")
-    row, col, val = row[order], col[order], val[order]
+    """A^T (A q) for a sparse A given by its entries, rows ascending: some rows at a time, as a dense matrix of the
+    columns that they have."""
+    row, col, val, _ = entries
     out = np.zeros_like(q)
-    step = 1 << 16
     lo = 0
     while lo < len(row):
-        hi = len(row) if lo + step >= len(row) else int(np.searchsorted(row, row[lo + step]))
-        if hi <= lo:
-            hi = int(np.searchsorted(row, row[lo], side="right"))
-        r, c, x = row[lo:hi], col[lo:hi], val[lo:hi, None].astype(np.float32)
-        heads = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-        y = np.add.reduceat(q[c] * x, heads, axis=0)
-        back = np.repeat(y, np.diff(np.append(heads, len(r))), axis=0) * x
-        by = np.argsort(c, kind="stable")
-        cuts = np.flatnonzero(np.concatenate([[True], c[by][1:] != c[by][:-1]]))
-        out[c[by][cuts]] += np.add.reduceat(back[by], cuts, axis=0)
+        hi = int(np.searchsorted(row, row[lo] + ROWS))
+        own, at = np.unique(col[lo:hi], return_inverse=True)
+        part = np.bincount((row[lo:hi] - row[lo]) * len(own) + at, weights=val[lo:hi], minlength=ROWS * len(own))
+        part = part.reshape(ROWS, len(own)).astype(np.float32)
+        out[own] += part.T @ (part @ q[own])
         lo = hi
     return out
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sum of matrices, one to a row."""
-    total = None
+    """The sums of matrices and of numbers, one of each to a row."""
+    total, n = None, 0
     for batch in batches:
         for part in batch.column(0):
             own = np.frombuffer(part.as_buffer(), np.float32)
             total = own.copy() if total is None else np.add(total, own, out=total)
+        n += pc.sum(batch.column(1)).as_py() or 0
     if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([n], pa.int64())], ["part", "n"])
 
 
-def randomised_svd(spark: SparkSession, sample: DataFrame, extra: tuple, feature: np.ndarray, idf: np.ndarray, n_features: int, rank: int, rounds: int = 3, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """Latent directions (n_features x rank) and singular values of the passages of ``sample`` and the entries in
-    ``extra``; ``feature``: bucket to feature, -1: none.
+def randomised_svd(spark: SparkSession, docs: DataFrame, extra: tuple, feature: np.ndarray, idf: np.ndarray, n_features: int, rank: int, rounds: int = 3, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """Latent directions (n_features x rank) and singular values of the passages of ``docs`` and the entries in
+    ``extra`` (from ``BALANCE`` passages on, these keep their share); ``feature``: bucket to feature, -1: none.
 
     Subspace iteration with a random start; each round sums A^T(A Q) over the tasks of one job.
     """
@@ -171,6 +164,8 @@ def randomised_svd(spark: SparkSession, sample: DataFrame, extra: tuple, feature
     wide = min(n_features, rank + 16)
     q = np.linalg.qr(np.random.default_rng(seed).normal(size=(n_features, wide)))[0].astype(np.float32)
     z = last = q
+    # a task goes through several partitions, so the matrices that are shuffled grow with the cores, not with the input
+    texts = docs.select("text").coalesce(TASKS * spark.sparkContext.defaultParallelism)
     for _ in range(rounds):
         z = _times(extra, q)
         shared = spark.sparkContext.broadcast((feature, idf, q))  # sizes are fixed by the bounds on features and rank
@@ -178,18 +173,19 @@ def randomised_svd(spark: SparkSession, sample: DataFrame, extra: tuple, feature
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             one_thread()
             feature, idf, q = shared.value
-            total = None
+            total, n = None, 0
             for part in chunks(batches):
                 codes, ends, _, own = encode(part.column(0))
-                got = _times(_passages(codes, ends, feature[own], idf[own]), q)
-                total = got if total is None else total + got
+                entries = _passages(codes, ends, feature[own], idf[own])
+                got = _times(entries, q)
+                total, n = got if total is None else np.add(total, got, out=total), n + entries[3]
             if total is not None:
-                yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()], pa.binary())], ["part"])
+                yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()], pa.binary()), pa.array([n], pa.int64())], ["part", "n"])
 
         # the parts are summed on an executor, so one matrix comes back
-        whole = sample.select("text").mapInArrow(run, "part binary").repartition(1).mapInArrow(_added, "part binary")
+        whole = texts.mapInArrow(run, "part binary, n bigint").repartition(1).mapInArrow(_added, "part binary, n bigint")
         for row in whole.collect():
-            z += np.frombuffer(row["part"], np.float32).reshape(q.shape)
+            z = z * np.float32(max(1, row["n"] / BALANCE)) + np.frombuffer(row["part"], np.float32).reshape(q.shape)
         shared.unpersist()
         last, q = q, np.linalg.qr(z)[0].astype(np.float32)
     # Rayleigh-Ritz in the last space but one, for which A^T A Q is known
@@ -352,7 +348,7 @@ def search(block: Block, encoded: tuple, min_cosine: float, paraphrase: float, v
     return [(d, q, start, share, near) for (d, q), (share, near, start) in best.items()]
 
 
-def build_block(spark: SparkSession, items: list[tuple], counts: np.ndarray, n_docs: int, sample: DataFrame, max_features: int, max_rank: int, explained: float) -> Block | None:
+def build_block(spark: SparkSession, items: list[tuple], counts: np.ndarray, n_docs: int, docs: DataFrame, max_features: int, max_rank: int, explained: float) -> Block | None:
     """``items``: (item_id, text, answer or None). None if no item has words."""
     toks = [tokens(text) for _, text, _ in items]
     kept = [k for k, t in enumerate(toks) if t]
@@ -372,7 +368,7 @@ def build_block(spark: SparkSession, items: list[tuple], counts: np.ndarray, n_d
     column = feature[np.concatenate([np.array(t) for t in coded])]
     length = np.sqrt(np.bincount(row, weights=idf[vocabulary[column]] ** 2))
     extra = (row, column, ITEM_WEIGHT * idf[vocabulary[column]] / length[row], len(toks))
-    directions, values = randomised_svd(spark, sample, extra, feature.astype(np.int32), light, n, max_rank)
+    directions, values = randomised_svd(spark, docs, extra, feature.astype(np.int32), light, n, max_rank)
     plain = np.zeros((len(toks), n), np.float32)
     np.add.at(plain, (row, column), idf[vocabulary[column]])
     held = np.cumsum(((plain @ directions) ** 2).sum(axis=0)) / (plain**2).sum()
@@ -398,8 +394,8 @@ def build_block(spark: SparkSession, items: list[tuple], counts: np.ndarray, n_d
 
 
 def matches(
-    spark: SparkSession, docs: DataFrame, benchmark: DataFrame, answer_col: str | None = None, block_items: int = 240, sample_docs: int = 2000, max_features: int = 4096,
-    max_rank: int = 224, explained: float = 0.95, min_cosine: float = 0.4, paraphrase: float = 0.5, verbatim: float = 0.8, answer_share: float = 0.6, drop: bool = False,
+    spark: SparkSession, docs: DataFrame, benchmark: DataFrame, answer_col: str | None = None, block_items: int = 240, max_features: int = 4096, max_rank: int = 224,
+    explained: float = 0.95, min_cosine: float = 0.4, paraphrase: float = 0.5, verbatim: float = 0.8, answer_share: float = 0.6, drop: bool = False,
 ) -> DataFrame:
     """``(doc_id, item_id, start_word, lcs_share, cosine)``: one row for each document and item found in it.
 
@@ -413,10 +409,6 @@ def matches(
     queries = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"), answer.alias("answer"))
     settle(spark)
     counts, n_docs = document_counts(rows)
-    picked = rows.where("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    sampled = rows.join(F.broadcast(picked.distinct()), "doc_id", "left_semi")  # sample_docs rows at most
-    # the sample is of one size however large the input, and each of its parts sends a matrix to the driver
-    sample = materialize(spark, sampled.select("text").repartition(SAMPLE_PARTS), "passages")
     parts, blocks, items, left = [], [], [], docs if drop else rows
 
     def seek(blocks: list, left: DataFrame) -> DataFrame:
@@ -439,7 +431,7 @@ def matches(
         return left.mapInArrow(run, docs.schema if drop else schema)
 
     def block_of(items: list) -> list:
-        made = build_block(spark, items, counts, n_docs, sample, max_features, max_rank, explained)
+        made = build_block(spark, items, counts, n_docs, rows, max_features, max_rank, explained)
         return [] if made is None else [made]
 
     for item in queries.toLocalIterator():  # the query set, a block at a time

@@ -332,6 +332,29 @@ def test_svd_directions(spark):
     assert np.allclose(values, exact[:5], rtol=0.05)
 
 
+def test_svd_takes_every_passage(spark):
+    """Long texts: the directions are those of all their passages, and beside many passages items keep their share."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(WORDS[5 * (k % 6) : 5 * (k % 6) + 5], 40)) for k in range(30) for _ in range(400)]
+    docs = spark.createDataFrame([(" ".join(texts[lo : lo + 600]),) for lo in range(0, 12_000, 600)], "text string").repartition(3)
+    vocabulary = sorted({decontam.bucket(w) for w in WORDS[:30]})
+    feature = np.full(decontam.BUCKETS, -1, np.int64)
+    feature[vocabulary] = np.arange(len(vocabulary))
+    codes, ends, _, own = decontam.encode(pa.array([r["text"] for r in docs.collect()]))
+    row, col, val, n = decontam._passages(codes, ends, feature[own], np.ones(decontam.BUCKETS)[own])
+    assert n == 12_000 and len(np.unique(row)) == 12_000
+    item = (np.zeros(2, np.int64), np.array([0, 29]), np.array([4.0, 4.0]), 1)
+    found, values = decontam.randomised_svd(spark, docs, item, feature, np.ones(decontam.BUCKETS), 30, 8, rounds=6)
+    a = np.zeros((12_001, 30))
+    for k, t in enumerate(texts):
+        for w in t.split():
+            a[k, feature[decontam.bucket(w)]] += 1 / 40**0.5
+    a[12_000, [0, 29]] = 4 * (12_000 / decontam.BALANCE) ** 0.5
+    exact = np.linalg.svd(a)[1]
+    assert np.linalg.norm(a @ found) >= 0.999 * np.linalg.norm(exact[:8])
+    assert np.allclose(values, exact[:8], rtol=0.01)
+
+
 def test_recall_of_paraphrases(spark):
     """Half to four fifths of an item's words, with its answer, in texts of words as common as its own."""
     rng = random.Random(18)
