@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelattice.llm import decontam, near_copies, pii, queries, sp_wfst, toxicity
-from pagelattice.llm.common import materialize, table
+from pagelattice.llm.common import materialize, settle, table
 from pagelattice.session import ship
 
 #: Hash of a row's text beside the columns of ``documents``.
@@ -28,6 +28,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: documents that the classifier rejects (score 0.7 or more) go."""
+    settle(spark)
     return toxicity.accepted(spark, docs, toxicity.fit(docs, table(ship(spark), sf_dir, "labels")))
 
 
@@ -35,6 +36,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Operator 8 at the stage's similarity: of each component of texts that share 0.8 of their 5-word shingles
     (Jaccard), one document stays: the one with the least doc_id, or without any id the one with the least key."""
     found = materialize(spark, near_copies.near_copies(ship(spark), _keyed(docs), KEY), "components")
+    settle(spark)
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", KEY)
     stays = found.groupBy("component").agg(F.min(rank).alias("stays"))
     gone = found.join(stays, "component").where(~rank.eqNullSafe(F.col("stays")))
@@ -58,13 +60,14 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: personal numbers, dates and mail names become format-preserving pseudonyms."""
+    settle(spark)
     done = pii.pseudonymise(docs)
     return done.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: piece ids of each document, and whether they decode to its text."""
-    ship(spark)
+    settle(ship(spark))
     return sp_wfst.encode_documents(docs, queries.tokenizer_bytes())
 
 

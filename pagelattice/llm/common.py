@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import stage_table
@@ -56,10 +57,26 @@ def give_back() -> None:
 
 
 def settle(spark: SparkSession) -> None:
-    """Collect garbage on the driver, Python's and the JVM's: Spark's cleaner only drops the shuffle files and broadcasts
-    of plans that are gone when the JVM collects, which an idle driver seldom does."""
+    """Collect garbage on the driver, Python's and the JVM's, and return freed memory to the system: Spark's cleaner only
+    drops the shuffle files and broadcasts of plans that are gone when the JVM collects, which an idle driver seldom does,
+    and the C library keeps what the JVM's compiler, buffers and threads have freed."""
     give_back()
-    spark.sparkContext._jvm.System.gc()
+    jvm, new = spark.sparkContext._jvm, spark.sparkContext._gateway.new_array
+    jvm.System.gc()
+
+    def array(kind: str, *items: object) -> object:
+        made = new(getattr(jvm.java.lang, kind), len(items))
+        for k, item in enumerate(items):
+            made[k] = item
+        return made
+
+    with contextlib.suppress(Py4JError):  # a JVM without this command
+        kind = jvm.java.lang.Class.forName
+        kinds = [kind(n) for n in ("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")]
+        call = kind("javax.management.MBeanServer").getMethod("invoke", array("Class", *kinds))  # the server's own class is hidden
+        commands = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+        server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+        call.invoke(server, array("Object", commands, "systemTrimNativeHeap", array("Object"), array("String")))
 
 
 def one_thread() -> None:

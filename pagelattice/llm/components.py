@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, settle
 
 
 def _figures(edges: DataFrame) -> tuple:
@@ -47,6 +47,7 @@ def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> D
         if after == before:
             break
         before = after
+        settle(spark)
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = edges.select(F.col("b").alias("node")).distinct()

@@ -432,6 +432,7 @@ def matches(
 
     def block_of(items: list) -> list:
         made = build_block(spark, items, counts, n_docs, rows, max_features, max_rank, explained)
+        settle(spark)
         return [] if made is None else [made]
 
     for item in queries.toLocalIterator():  # the query set, a block at a time

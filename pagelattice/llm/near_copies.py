@@ -187,6 +187,7 @@ def links(spark: SparkSession, docs: DataFrame, prints: DataFrame) -> DataFrame:
     own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
     block = members.select("bucket", "fp", own.cast("int").alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     block = block.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
+    settle(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = block.join(sets, "fp").select("bucket", "i", "j", "fp", "sim", "hashes").repartition(n, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     return rows.mapInArrow(_edges, "a bigint, b bigint").distinct()
@@ -203,6 +204,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, key_col: str | None = None
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *own)
     kinds = ", ".join([*([f"`{key_col}` bigint"] if key_col else []), "doc_id bigint, fp bigint, bands array<bigint>"])
     prints = materialize(spark, docs.select("doc_id", "text", *own).mapInArrow(_signed, kinds), "prints")
+    settle(spark)
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(spark, links(spark, docs, prints))
     joined = least.join(roots.withColumnRenamed("node", "fp"), "fp")

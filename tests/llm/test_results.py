@@ -6,8 +6,10 @@ import itertools
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from pagelattice.llm import components, decontam, html_extract, jpeg_media, lpt_shards, pii, queries, simhash, sp_wfst, toxicity, url_rules, warc_revisit
+from pagelattice.llm import common, components, decontam, html_extract, jpeg_media, lpt_shards, pii, queries, simhash, sp_wfst, toxicity, url_rules, warc_revisit
 
 WORDS = ["".join(p) for p in itertools.product("bdgkmnprst", "aeiou", "lmnrs")]
 
@@ -332,6 +334,23 @@ def test_svd_directions(spark):
     assert np.allclose(values, exact[:5], rtol=0.05)
 
 
+def test_settling_returns_native_memory(spark):
+    """What the driver's JVM has freed between what it still holds goes back to the system."""
+    jvm = spark.sparkContext._jvm
+    status = Path(f"/proc/{jvm.java.lang.ProcessHandle.current().pid()}/status")
+    if not status.exists():
+        pytest.skip("memory can't be read here")
+    resident = lambda: int(status.read_text().split("VmRSS:")[1].split()[0]) / 1024
+    buffers = [jvm.java.nio.ByteBuffer.allocateDirect(100_000) for _ in range(4000)]
+    held = buffers[::20]
+    full = resident()
+    del buffers
+    for _ in range(3):  # the JVM frees buffers some time after it has found them unused
+        common.settle(spark)
+        time.sleep(1)
+    assert len(held) == 200 and resident() < full - 200
+
+
 def test_svd_takes_every_passage(spark):
     """Long texts: the directions are those of all their passages, and beside many passages items keep their share."""
     rng = np.random.default_rng(4)
