@@ -4,9 +4,10 @@
    rows whatever the input, so rare words that fall into one bucket share a count).
 2. A distributed randomised SVD finds the latent directions of TF-IDF passages: all passages of all documents, and the
    benchmark items, weighted by ``ITEM_WEIGHT`` for every ``BALANCE`` passages, so that a large corpus doesn't drown
-   them. Its vocabulary are the words of the items and the ``max_features`` words that occur in most documents. Each
-   pass of the subspace iteration is a Spark job that reads every text and sums A^T(A Q) over the tasks; only that
-   small matrix returns. As many directions are kept as explain ``explained`` of the items, at most ``max_rank``.
+   them. Its vocabulary are the words of the items and the ``max_features`` words that occur in most documents. One
+   pass reads every text and sums A^T A over the tasks, by bands of its upper triangle; a passage adds the pairs of its
+   words, so that costs less than one product A^T(A Q). The subspace iteration runs on the sum, in a task; only the
+   directions return. As many are kept as explain ``explained`` of the items, at most ``max_rank``.
 3. Every whole text is cut into cells of ``CELL`` words, folded into the latent space (a passage times the directions,
    over the singular values). Sums of cells are windows of one to two and a half times an item's length, so placed
    that any stretch as long as the item lies in one; items of similar length share their windows. The cosine of each
@@ -27,7 +28,7 @@ ignored.
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,8 +42,10 @@ from .common import chunks, drop_codes, hash_words, one_thread, settle, words_of
 BUCKETS = 1 << 18
 #: Words of a passage, weight of items, passages it holds for (beyond, it grows by the root of their number).
 PASSAGE, ITEM_WEIGHT, BALANCE = 40, 4.0, 10_000
-#: Passages that are multiplied at a time, so that they stay in the cache; tasks for each core in a pass of the SVD.
-ROWS, TASKS = 32, 2
+#: Passages that are multiplied at a time, and those whose pairs are added at a time, so that they stay in the cache.
+ROWS, PAIR_ROWS = 32, 2048
+#: Cells of a band of A^T A, in which its parts are shuffled; tasks for each core in which the bands are summed.
+BAND, TASKS = 1 << 16, 4
 #: Words of a cell; cells between windows, which are three times as long (each divides the last one that is below 48).
 CELL, STRIDES, WHOLE = 4, (2, 3, 4, 6, 8, 12, 24), 24
 #: Cells that are folded in at a time, so that their sums stay in the cache; text bytes of a search; blocks of items in
@@ -142,51 +145,67 @@ def _times(entries: tuple, q: np.ndarray) -> np.ndarray:
     return out
 
 
+def _triangle(n: int) -> np.ndarray:
+    """Where column zero of each row would stand in the upper triangle of an n x n matrix, kept row by row."""
+    row = np.arange(n)
+    return row * (2 * n - row - 1) // 2
+
+
+def _add_pairs(entries: tuple, half: np.ndarray, start: np.ndarray) -> None:
+    """Add A^T A, for a sparse A given by its entries, to ``half``: its upper triangle with half of the diagonal, in
+    places by ``start``. Rows of many entries come first, so the k-th entries are those of the first rows."""
+    row, col, val, _ = entries
+    if not len(row):
+        return
+    order = np.argsort(row * len(start) + col)
+    row, col, val = row[order], col[order], val[order]
+    np.add.at(half, start[col] + col, val**2 / 2)
+    heads = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+    size = np.diff(np.append(heads, len(row)))
+    by = np.argsort(-size, kind="stable")
+    heads, size = heads[by], size[by]
+    for lo in range(0, len(heads), PAIR_ROWS):
+        head, less = heads[lo : lo + PAIR_ROWS], -size[lo : lo + PAIR_ROWS]
+        many = np.searchsorted(less, -np.arange(-less[0]))  # rows that have more than k entries
+        c, v = np.zeros((len(many), len(head)), np.int64), np.zeros((len(many), len(head)))
+        for k, m in enumerate(many):
+            c[k, :m], v[k, :m] = col[head[:m] + k], val[head[:m] + k]
+        at = start[c]
+        for k, m in enumerate(many[1:], 1):  # each entry with those before it; columns rise within a row
+            np.add.at(half, (at[:k, :m] + c[k, :m]).ravel(), (v[:k, :m] * v[k, :m]).ravel())
+
+
+def _bands(half: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
+    """The bands that aren't all zero, and the first one, which carries the number of passages."""
+    for k in range(0, len(half), BAND):
+        part = half[k : k + BAND]
+        if k == 0 or part.any():
+            yield _band(k // BAND, part, 0 if k else n)
+
+
+def _band(band: int, part: np.ndarray, n: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([band], pa.int64()), pa.array([part.astype(np.float32).tobytes()], pa.binary()), pa.array([n], pa.int64())], ["band", "part", "n"])
+
+
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sums of matrices and of numbers, one of each to a row."""
-    total, n = None, 0
+    """The sums of each band's parts and numbers."""
+    total: dict = {}
     for batch in batches:
-        for part in batch.column(0):
+        for band, part, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
             own = np.frombuffer(part.as_buffer(), np.float32)
-            total = own.copy() if total is None else np.add(total, own, out=total)
-        n += pc.sum(batch.column(1)).as_py() or 0
-    if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([n], pa.int64())], ["part", "n"])
+            held, many = total.get(band, (0.0, 0))
+            total[band] = held + own.astype(np.float64), many + n
+    for band, (part, n) in total.items():
+        yield _band(band, part, n)
 
 
-def randomised_svd(spark: SparkSession, docs: DataFrame, extra: tuple, feature: np.ndarray, idf: np.ndarray, n_features: int, rank: int, rounds: int = 3, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """Latent directions (n_features x rank) and singular values of the passages of ``docs`` and the entries in
-    ``extra`` (from ``BALANCE`` passages on, these keep their share); ``feature``: bucket to feature, -1: none.
-
-    Subspace iteration with a random start; each round sums A^T(A Q) over the tasks of one job.
-    """
-    rank = min(rank, n_features)
+def _iterated(times: Callable[[np.ndarray], np.ndarray], n_features: int, rank: int, rounds: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Directions and singular values by subspace iteration from a random start; ``times``: A^T A by a matrix."""
     wide = min(n_features, rank + 16)
     q = np.linalg.qr(np.random.default_rng(seed).normal(size=(n_features, wide)))[0].astype(np.float32)
     z = last = q
-    # a task goes through several partitions, so the matrices that are shuffled grow with the cores, not with the input
-    texts = docs.select("text").coalesce(TASKS * spark.sparkContext.defaultParallelism)
     for _ in range(rounds):
-        z = _times(extra, q)
-        shared = spark.sparkContext.broadcast((feature, idf, q))  # sizes are fixed by the bounds on features and rank
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            one_thread()
-            feature, idf, q = shared.value
-            total, n = None, 0
-            for part in chunks(batches):
-                codes, ends, _, own = encode(part.column(0))
-                entries = _passages(codes, ends, feature[own], idf[own])
-                got = _times(entries, q)
-                total, n = got if total is None else np.add(total, got, out=total), n + entries[3]
-            if total is not None:
-                yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()], pa.binary()), pa.array([n], pa.int64())], ["part", "n"])
-
-        # the parts are summed on an executor, so one matrix comes back
-        whole = texts.mapInArrow(run, "part binary, n bigint").repartition(1).mapInArrow(_added, "part binary, n bigint")
-        for row in whole.collect():
-            z = z * np.float32(max(1, row["n"] / BALANCE)) + np.frombuffer(row["part"], np.float32).reshape(q.shape)
-        shared.unpersist()
+        z = times(q)
         last, q = q, np.linalg.qr(z)[0].astype(np.float32)
     # Rayleigh-Ritz in the last space but one, for which A^T A Q is known
     values, turn = np.linalg.eigh((last.T @ z).astype(np.float64))
@@ -194,6 +213,63 @@ def randomised_svd(spark: SparkSession, docs: DataFrame, extra: tuple, feature:
     return (last @ turn[:, best]).astype(np.float32), np.sqrt(np.maximum(values[best], 1e-9))
 
 
+def randomised_svd(spark: SparkSession, docs: DataFrame, extra: tuple, feature: np.ndarray, idf: np.ndarray, n_features: int, rank: int, rounds: int = 3, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """Latent directions (n_features x rank) and singular values of the passages of ``docs`` and the entries in
+    ``extra`` (from ``BALANCE`` passages on, these keep their share); ``feature``: bucket to feature, -1: none.
+
+    The texts are read once, whatever the rounds: one job sums A^T A over the tasks and iterates on the sum.
+    """
+    rank = min(rank, n_features)
+    cores = spark.sparkContext.defaultParallelism
+    # a task goes through several partitions, so the parts that are shuffled grow with the cores, not with the input
+    texts = docs.select("text").coalesce(cores)
+    # in the sum, features of the commonest words come first: the cells that are added to most lie together
+    known = feature >= 0
+    light = np.zeros(n_features)
+    light[feature[known]] = idf[known]
+    order = np.argsort(light, kind="stable")
+    place = np.argsort(order)
+    # sizes are fixed by the bounds on features and items
+    shared = spark.sparkContext.broadcast((np.where(known, place[feature], -1).astype(np.int32), idf, extra, order, place))
+    cells = n_features * (n_features + 1) // 2
+
+    def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        feature, idf = shared.value[:2]
+        half, start, n = None, _triangle(n_features), 0
+        for part in chunks(batches):
+            codes, ends, _, own = encode(part.column(0))
+            entries = _passages(codes, ends, feature[own], idf[own])
+            half, n = np.zeros(cells) if half is None else half, n + entries[3]
+            _add_pairs(entries, half, start)
+        if half is not None:
+            yield from _bands(half, n)
+
+    def solve(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        one_thread()
+        extra, order, place = shared.value[2:]
+        half, n = np.zeros(cells, np.float32), 0
+        for batch in batches:
+            for band, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = np.frombuffer(part.as_buffer(), np.float32)
+                half[band * BAND : band * BAND + len(own)] = own
+            n += pc.sum(batch.column(2)).as_py() or 0
+        whole = np.zeros((n_features, n_features), np.float32)
+        for k, at in enumerate(_triangle(n_features)):
+            whole[k, k:] = half[at + k : at + n_features]
+        whole += whole.T
+        held = np.float32(max(1, n / BALANCE))
+        found = _iterated(lambda q: _times(extra, q) * held + (whole @ q[order])[place], n_features, rank, rounds, seed)
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in found], ["directions", "sizes"])
+
+    schema = "band bigint, part binary, n bigint"
+    summed = texts.mapInArrow(run, schema).repartition(TASKS * cores, "band").mapInArrow(_added, schema)
+    rows = summed.repartition(1).mapInArrow(solve, "directions binary, sizes binary").collect()
+    shared.unpersist()
+    for row in rows:
+        return np.frombuffer(row["directions"], np.float32).reshape(n_features, -1), np.frombuffer(row["sizes"], np.float64)
+    return _iterated(lambda q: _times(extra, q), n_features, rank, rounds, seed)  # no documents
+
+
 def places(a: list) -> dict:
     """Where each word of a list stands, as bits."""
     where: dict = {}

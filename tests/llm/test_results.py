@@ -7,6 +7,7 @@ import random
 import re
 import struct
 import time
+import uuid
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -374,6 +375,39 @@ def test_svd_takes_every_passage(spark):
     assert np.allclose(values, exact[:8], rtol=0.01)
 
 
+def test_svd_reads_texts_once(spark, tmp_path):
+    """Whatever the rounds, one pass over the texts; what it sums is A^T A, words that repeat in a passage included."""
+    rng = np.random.default_rng(5)
+    rows = [(" ".join(rng.choice(WORDS[:30], 100)),) for _ in range(60)] + [(None,), ("",), ("unknown",), (WORDS[0],)]
+    plain = spark.createDataFrame(rows, "text string").repartition(3).cache()
+    plain.count()
+
+    def noted(batches):
+        (tmp_path / uuid.uuid4().hex).touch()
+        yield from batches
+
+    docs = plain.mapInArrow(noted, "text string")
+    vocabulary = sorted({decontam.bucket(w) for w in WORDS[:30]})
+    n = len(vocabulary)
+    feature = np.full(decontam.BUCKETS, -1, np.int64)
+    feature[vocabulary] = np.arange(n)
+    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), 0)
+    found, values = decontam.randomised_svd(spark, docs, none, feature, np.ones(decontam.BUCKETS), n, n, rounds=6)
+    assert len(list(tmp_path.iterdir())) == 3
+    codes, ends, _, own = decontam.encode(pa.array([t for t, in rows]))
+    entries = decontam._passages(codes, ends, feature[own], np.ones(decontam.BUCKETS)[own])
+    a = np.zeros((entries[3], n))
+    np.add.at(a, entries[:2], entries[2])
+    half = np.zeros(n * (n + 1) // 2)
+    decontam._add_pairs(entries, half, decontam._triangle(n))
+    whole = np.zeros((n, n))
+    whole[np.triu_indices(n)] = half
+    assert np.allclose(whole + whole.T, a.T @ a)
+    assert np.allclose(found * values**2 @ found.T, a.T @ a, atol=1e-3)
+    nothing = decontam.randomised_svd(spark, plain.limit(0), (np.zeros(1, np.int64), np.array([2]), np.array([4.0]), 1), feature, np.ones(decontam.BUCKETS), n, 1)
+    assert np.allclose(np.abs(nothing[0][:, 0]), np.arange(n) == 2, atol=1e-3) and np.allclose(nothing[1], 4)
+
+
 def test_recall_of_paraphrases(spark):
     """Half to four fifths of an item's words, with its answer, in texts of words as common as its own."""
     rng = random.Random(18)
