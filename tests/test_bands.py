@@ -113,3 +113,19 @@ def test_pictures_to_profiles(spark):
     luma = page(40, 30, [(5, 15)])
     got = B.edge_profiles(spark.createDataFrame([(1, luma.tolist())], "page long, luma array<array<int>>"), "page").first()["profile"]
     assert np.allclose(got, P.edge_profile(luma)) and got[3] == 0 < got[4] and got[30] == 0
+
+
+@pytest.mark.parametrize("name", ["line_clusters", "missed_blocks"])
+def test_blank_lines_cluster_as_the_sql_says(spark, tmp_path, name):
+    import duckdb
+
+    from pagelattice.plans import bands as queries
+
+    texts = ["\nfirst line is blank", "", "\n" * 62 + "x", "one\ntwo\n\nthree\nfour\nfive\nsix\nseven\neight\nnine\nten"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    query, sql = queries.QUERIES[name]
+    df = query(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    other = con.execute(f"select {', '.join(df.columns)} from ({sql})").fetchall()
+    assert sorted(map(tuple, df.collect())) == sorted(other)
