@@ -35,6 +35,16 @@ def test_relations(spark):
     assert [(r["k"], r["kind"]) for r in got if r["kind"] != r["expected"]] == []
 
 
+@pytest.mark.parametrize("full", [False, True])
+def test_filters_dont_normalise_again(spark, full):
+    rows = spark.createDataFrame([(k, a, b) for k, (a, b, _) in enumerate(RELATIONS)], "k int, ocr string, cand string")
+    found = R.classify_readings(rows, full=full).where("relation is not null and relation.kind <> 'same'").select("k", "relation.kind")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[0-9A-Za-z가-힣]+") == 2
+    want = {k for k, (_, _, e) in enumerate(RELATIONS) if e != "same"}
+    assert {r["k"] for r in found.collect()} <= want and (not full or found.count() == len(want))
+
+
 def test_norm(spark):
     row = spark.createDataFrame([("0.1%p : 「AB두루e통장」", "⑩ ⑴ ⓽ ①")], "a string, b string").select(T.norm(F.col("a")), T.norm(F.col("b"))).first()
     assert tuple(row) == ("01pab두루e통장", "10191")
