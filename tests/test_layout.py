@@ -140,3 +140,13 @@ def test_geometry_of_points(spark):
     assert got == [(10, 5, 100, 50), None, None, (0, 0, 30, 40), None, None]
     points = spark.createDataFrame([([[9, 1], [2, 8], [5, 200]],), ([],)], "p array<array<int>>")
     assert [tuple(r[0]) if r[0] else None for r in points.select(G.around(F.col("p"), F.lit(100), F.lit(100))).collect()] == [(2, 1, 9, 100), None]
+
+
+def test_texts_stay_out_of_the_steps_on_boxes(spark, tiny, monkeypatch):
+    from pagelattice.plans import pipelines as P
+
+    staged = {}
+    monkeypatch.setattr(P, "stage_table", lambda df, tag, keep=P.stage_table: staged.setdefault(tag, keep(df, tag)))
+    P.parse_pipeline(spark, tiny)
+    assert not any("text" in staged[tag].columns for tag in ("kept", "placed", "clean", "readings"))
+    assert staged["readings"].count() == staged["roles"].select("text").distinct().count()
