@@ -150,3 +150,20 @@ def test_texts_stay_out_of_the_steps_on_boxes(spark, tiny, monkeypatch):
     P.parse_pipeline(spark, tiny)
     assert not any("text" in staged[tag].columns for tag in ("kept", "placed", "clean", "readings"))
     assert staged["readings"].count() == staged["roles"].select("text").distinct().count()
+
+
+def test_absorbing_makes_no_frame_for_each_page(spark, monkeypatch):
+    import pandas as pd
+
+    held = {}
+    monkeypatch.setattr(L, "by_pages", lambda rows, keys, run, schema: held.update(run=run, columns=rows.columns))
+    box = "0 as x0, 0 as y0, 10 as x1, 10 as y1"
+    L.absorb_unassigned(spark.sql(f"select 1L as page, 0L as ord, {box}"), spark.sql(f"select 1L as page, 0L as block, {box}, 900 as canvas_h"), ["page"])
+    one = [(0, 0, 0, 10, 10, True, None), (1, 0, 310, 10, 320, True, None), (1, 0, 0, 20, 10, None, 900), (2, 0, 700, 10, 710, True, None), (3, 0, 0, 10, 10, False, None)]
+    rows = pd.DataFrame([(p, *r) for p in range(500) for r in one], columns=held["columns"]).astype({"precise": object})
+    calls = []
+    monkeypatch.setattr(pd.DataFrame, "__getitem__", lambda df, k, get=pd.DataFrame.__getitem__: calls.append(1) or get(df, k))
+    out = held["run"](rows)
+    # the second line grows the region, so that the third is no further than 400 rows from it, but over the reach of 300
+    assert len(calls) < 100
+    assert [None if pd.isna(b) else int(b) for b in out.block][:8] == [1, 1, None, None] * 2
