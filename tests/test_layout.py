@@ -167,3 +167,13 @@ def test_absorbing_makes_no_frame_for_each_page(spark, monkeypatch):
     # the second line grows the region, so that the third is no further than 400 rows from it, but over the reach of 300
     assert len(calls) < 100
     assert [None if pd.isna(b) else int(b) for b in out.block][:8] == [1, 1, None, None] * 2
+
+
+def test_pseudo_regions_deal_out_boxes_once(spark, tiny):
+    from pagelattice.plans import layout as queries
+
+    plan = queries.pseudo_regions(spark, tiny)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    rows = spark.sql("select * from values (1, 0L, 0, 0, 9, 10), (1, 1L, null, null, null, null), (1, 2L, 0, 26, 9, 36), (2, 0L, null, null, null, null) as t(page, ord, x0, y0, x1, y1)")
+    got = {(r["page"], r["region"], r["y1"], r["n_lines"], r["label"]) for r in L.pseudo_regions(rows, ["page"]).collect()}
+    assert got == {(1, 0, 10, 1, "text_cluster"), (1, 1, 36, 1, "text_cluster"), (2, 0, None, 1, "page")}
