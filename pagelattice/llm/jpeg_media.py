@@ -412,3 +412,10 @@ def read_media(media: DataFrame) -> DataFrame:
     """Dimensions, digests and thumbnail hashes from ``(doc_id, n_bytes, media)``; the payload is what the
     thumbnails hold."""
     return media.select("doc_id", "n_bytes", "media").mapInArrow(_read, "doc_id bigint, " + _READ)
+
+
+def store_and_read(docs: DataFrame) -> DataFrame:
+    """``read_media`` of ``store_texts`` in one Python step: the images of a few MB of texts are read where they were
+    made, instead of going through the JVM, which would gather thousands of them for a second worker of each task."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(lambda batches: _read(_store(batches)), "doc_id bigint, " + _READ)

@@ -29,7 +29,7 @@ def op1_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_jpeg_thumbnails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = jpeg_media.read_media(jpeg_media.store_texts(table(spark, sf_dir, "documents")))
+    read = jpeg_media.store_and_read(table(spark, sf_dir, "documents"))
     return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height")
 
 

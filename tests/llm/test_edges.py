@@ -161,3 +161,12 @@ def test_warc(spark):
     assert sorted(x[:3] for x in got if x[0] != 2) == [(3, "no url or date", None), (4, "no url or date", None), (5, "no earlier response", None), (6, "no validator", None), (6, "no validator", None)]
     assert [x[1:] for x in got if x[0] == 2] == [("resolved", 1, {"etag": 'W/"1"', "x": "y", "expires": "e"})]
     assert warc_revisit.resolve(spark, df.limit(0)).count() == 0
+
+
+def test_media_are_read_where_they_are_made(spark, tiny):
+    from pagelattice.llm import jpeg_media, queries
+
+    plan = queries.media_digests(spark, tiny)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # one Python worker for each task
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(["", None, "a b", "é" * 5000])], "doc_id long, text string")
+    assert sorted(jpeg_media.store_and_read(docs).collect()) == sorted(jpeg_media.read_media(jpeg_media.store_texts(docs)).collect())
