@@ -40,11 +40,25 @@ def test_filters_dont_normalise_again(spark, full):
     rows = spark.createDataFrame([(k, a, b) for k, (a, b, _) in enumerate(RELATIONS)], "k int, ocr string, cand string")
     found = R.classify_readings(rows, full=full).where("relation is not null and relation.kind <> 'same'").select("k", "relation.kind")
     plan = found._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("[0-9A-Za-z가-힣]+") == 2
+    assert plan.count("[" + T.LOWER + "가-힣]+") == 2
     want = {k for k, (_, _, e) in enumerate(RELATIONS) if e != "same"}
     assert {r["k"] for r in found.collect()} <= want and (not full or found.count() == len(want))
 
 
+def test_forms_keep_what_they_kept(spark):
+    texts = ["".join(map(chr, range(k, k + 64))) for k in [*range(1, 0x2500, 64), 0x3000, 0xAC00, 0xD780, 0xFF00]] + ["Ab p9 ①x「y」—z -[q]{r}\\ \t\x0b\x0c\r\nend"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.lower(F.regexp_replace("t", r"[0-9①②③④⑤⑥⑦⑧⑨⑩\s%p.,:;·「」『』\"'`~()\[\]{}\-—]+", ""))
+    kept = F.regexp_replace(T.casefold(T.plain_numbers(F.col("t"))), "[^0-9A-Za-z가-힣]+", "")
+    token = F.regexp_replace(T.casefold(F.col("t")), "[^0-9a-z가-힣.%]+", "")
+    coarse = F.lower(F.regexp_replace("t", r"[\s,.~:：%()\[\]{}'\"`「」『』<>·※*!?|#-]", ""))
+    scored = F.regexp_replace("t", r"[\s,~:：%()\[\]{}'\"`´『』「」〈〉<>【】·※*ㆍ■□|“”‘’]", "")
+    assert rows.where((T.coarse(F.col("t")) != coarse) | (F.regexp_replace("t", T.EVAL_DROPS, "") != scored)).count() == 0
+    assert rows.where((T.stable_core(F.col("t")) != plain) | (T.norm(F.col("t")) != kept) | (T.token_norm(F.col("t")) != token)).count() == 0
+    # no range below 256, which would be tried by itself for each character
+    assert "0-9" not in T.STABLE_DROPS and "\\s" not in T.STABLE_DROPS
+
+
 def test_norm(spark):
     row = spark.createDataFrame([("0.1%p : 「AB두루e통장」", "⑩ ⑴ ⓽ ①")], "a string, b string").select(T.norm(F.col("a")), T.norm(F.col("b"))).first()
     assert tuple(row) == ("01pab두루e통장", "10191")
