@@ -159,13 +159,16 @@ def documents_of(lines: DataFrame, regions: DataFrame) -> DataFrame:
     box) and regions (doc_id, block, region_id, label, role, box, vlm_reading)."""
     box = lambda: F.when(F.col("x0").isNotNull(), F.array("x0", "y0", "x1", "y1"))
     line = F.struct("ord", F.struct("text", box().alias("bbox"), "confidence", "source").alias("l"))
-    grouped = lines.groupBy("doc_id", "block").agg(F.transform(F.array_sort(F.collect_list(line)), lambda s: s["l"]).alias("lines"))
-    held = regions.join(grouped, ["doc_id", "block"], "left").withColumn("lines", F.coalesce("lines", F.array().cast(grouped.schema["lines"].dataType)))
-    region = F.struct("block", F.struct("region_id", box().alias("bbox"), "label", "role", "lines", "vlm_reading").alias("r"))
-    own = held.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(region)), lambda s: s["r"]).alias("regions"))
-    rest = grouped.where("block is null").select("doc_id", F.col("lines").alias("unassigned_lines"))
-    both = own.join(rest, "doc_id", "full")
-    page = F.struct(F.lit(1).alias("page_no"), F.coalesce("regions", F.array().cast(own.schema["regions"].dataType)).alias("regions"), F.coalesce("unassigned_lines", F.array().cast(grouped.schema["lines"].dataType)).alias("unassigned_lines"))
+    # texts are dealt out once, by document; regions come to them without texts
+    grouped = lines.repartition("doc_id").groupBy("doc_id", "block").agg(F.transform(F.array_sort(F.collect_list(line)), lambda s: s["l"]).alias("lines"))
+    held = F.collect_list(F.when(F.col("block").isNotNull(), F.struct("block", "lines")))
+    texts = grouped.groupBy("doc_id").agg(held.alias("held"), F.first(F.when(F.col("block").isNull(), F.col("lines")), ignorenulls=True).alias("unassigned_lines"))
+    own = regions.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("block", "region_id", box().alias("bbox"), "label", "role", "vlm_reading"))).alias("own"))
+    none = F.array().cast(grouped.schema["lines"].dataType)
+    lines_in = lambda r: F.coalesce(F.get(F.filter("held", lambda h: h["block"] == r["block"]), F.lit(0))["lines"], none)
+    region = lambda r: F.struct(r["region_id"].alias("region_id"), r["bbox"].alias("bbox"), r["label"].alias("label"), r["role"].alias("role"), lines_in(r).alias("lines"), r["vlm_reading"].alias("vlm_reading"))
+    both = own.join(texts, "doc_id", "full").select("doc_id", "unassigned_lines", F.transform("own", region).alias("regions"))
+    page = F.struct(F.lit(1).alias("page_no"), F.coalesce("regions", F.array().cast(both.schema["regions"].dataType)).alias("regions"), F.coalesce("unassigned_lines", none).alias("unassigned_lines"))
     return both.select(F.col("doc_id").cast("string").alias("doc_id"), F.array(page).alias("pages"))
 
 
@@ -182,7 +185,7 @@ def views_of(documents: DataFrame) -> DataFrame:
     r = pages.select("doc_id", F.col("p.page_no").alias("page_no"), F.posexplode("p.regions").alias("block", "r"))
     r = r.select(*keys, "block", "r.region_id", "r.role", "r.card_no", "r.vlm_reading", *[F.get("r.bbox", F.lit(k)).alias(n) for k, n in enumerate(("x0", "y0", "x1", "y1"))])
     r = r.join(text, [*keys, "block"], "left").join(tops, [*keys, "block"], "left").withColumn("text", F.coalesce("text", F.lit("")))
-    shown = L.page_view(r, keys).join(r.select(*keys, "block", "region_id"), [*keys, "block"])
+    shown = L.page_view(r, keys, extra=("region_id",))
     regions = shown.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", F.struct("region_id", "role", "text", "vlm_reading").alias("r")))), lambda s: s["r"]).alias("regions"))
     rest = L.merged_text(lines.where("block is null"), keys).withColumnRenamed("text", "unassigned")
     every = pages.select("doc_id", F.col("p.page_no").alias("page_no"))

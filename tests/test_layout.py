@@ -177,3 +177,15 @@ def test_pseudo_regions_deal_out_boxes_once(spark, tiny):
     rows = spark.sql("select * from values (1, 0L, 0, 0, 9, 10), (1, 1L, null, null, null, null), (1, 2L, 0, 26, 9, 36), (2, 0L, null, null, null, null) as t(page, ord, x0, y0, x1, y1)")
     got = {(r["page"], r["region"], r["y1"], r["n_lines"], r["label"]) for r in L.pseudo_regions(rows, ["page"]).collect()}
     assert got == {(1, 0, 10, 1, "text_cluster"), (1, 1, 36, 1, "text_cluster"), (2, 0, None, 1, "page")}
+
+
+def test_documents_deal_out_their_texts_once(spark):
+    from pagelattice.sources import files as S
+
+    lines = spark.sql("select * from values ('a', 0L, 0L, 't'), ('a', null, 1L, 'u'), ('b', null, 0L, 'v') as t(doc_id, block, ord, text)").selectExpr("*", "0.5D as confidence", "'ocr' as source", "0 as x0", "0 as y0", "9 as x1", "9 as y1")
+    regions = spark.sql("select 'a' as doc_id, k as block, concat('r', k) as region_id, 'text' as label, 'x' as role, 0 as x0, 0 as y0, 9 as x1, 9 as y1, null as vlm_reading from (select explode(array(0L, 1L)) as k)")
+    documents = S.documents_of(lines, regions)
+    assert documents._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    pages = {r["doc_id"]: r["pages"][0] for r in documents.collect()}
+    assert [[x["text"] for x in r["lines"]] for r in pages["a"]["regions"]] == [["t"], []] and pages["b"]["regions"] == []
+    assert [x["text"] for x in pages["a"]["unassigned_lines"]] == ["u"] and [x["text"] for x in pages["b"]["unassigned_lines"]] == ["v"]
